@@ -30,17 +30,21 @@ def lookup_join(
     fact_key: Column,
     lookup_key: str,
     how: str = "left",
+    unique: bool = False,
     max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Join a lookup on its key, made unique first so that no row multiplies.
 
+    `unique` says that it is already.
+
     Only left-sided joins (left, inner, left_semi, left_anti) are allowed: in
     those a hot key of the facts can be split over tasks.
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"not a left-sided join: {how}")
-    unique = first_per_key(lookup, [lookup_key])
-    right = bounded_broadcast(unique, max_bytes)
+    if not unique:
+        lookup = first_per_key(lookup, [lookup_key])
+    right = bounded_broadcast(lookup, max_bytes)
     return facts.join(right, fact_key == F.col(f"`{lookup_key}`"), how)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,8 +42,10 @@ def infer_json_type(df: DataFrame, column: str = "value") -> str:
     found = df.agg(merged).first()[0]
     if not found or not found.startswith("OBJECT<"):
         raise ValueError(f"the texts of {column} do not share an object type: {found}")
-    # A field that is null everywhere has no type of its own; text fits.
-    return found.replace("OBJECT<", "STRUCT<").replace(": VOID", ": STRING")
+    # Decimal literals become doubles, and a field that is null everywhere,
+    # which has no type of its own, becomes text.
+    found = re.sub(r"DECIMAL\(\d+,\s*\d+\)", "DOUBLE", found)
+    return re.sub(r"\bVOID\b", "STRING", found.replace("OBJECT<", "STRUCT<"))
 
 
 def parse_json(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 
 def save(
@@ -31,10 +31,9 @@ def save_and_read(df: DataFrame, path: str, **options: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def save_once(df: DataFrame, path: str, spark: SparkSession) -> DataFrame:
+def save_once(df: DataFrame, path: str) -> DataFrame:
     """Write a projection the first time, then always read what was written."""
-    df.write.mode("ignore").parquet(path)
-    return spark.read.parquet(path)
+    return save_and_read(df, path, mode="ignore")
 
 
 def save_single_json(df: DataFrame, path: str) -> DataFrame:
