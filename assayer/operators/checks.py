@@ -17,8 +17,6 @@ from assayer.functions import jsonrules
 from assayer.functions.lookup import literal_map
 from assayer.operators.lookups import lookup_join
 
-NO_REASON = F.lit(None).cast("string")
-
 
 def classify_lines(lines: DataFrame, schema: Mapping | None = None) -> DataFrame:
     """Check JSON texts; adds is_valid, reason, error and the four key fields."""
@@ -29,7 +27,7 @@ def classify_lines(lines: DataFrame, schema: Mapping | None = None) -> DataFrame
         "value",
         jsonrules.is_object(parsed).alias("is_object"),
         *[value.alias(name) for name, value in jsonrules.required_strings(parsed)],
-        (NO_REASON if schema is None else jsonrules.first_violation(schema, parsed)).alias(
+        (F.lit(None).cast("string") if schema is None else jsonrules.first_violation(schema, parsed)).alias(
             "violation"
         ),
     )

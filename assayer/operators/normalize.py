@@ -6,7 +6,7 @@ Every step leaves the record's schema as it is and notes what it did in the
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assayer.config import ENSEMBL_PREFIX, UNIPROT_PREFIX, EvidenceConfig
@@ -15,17 +15,19 @@ from assayer.functions.text import disease_code, evidence_codes, url_basename
 from assayer.operators.lookups import lookup_join
 from assayer.operators.nested import append_struct, mutate, mutate_columns
 
-NO_CODES = F.array().cast("array<string>")
-
 # --- fixed values: what a score assigned by evidence code says of itself ---
 ENFORCED_DESCRIPTION = "Score assigned manually from evidence code"
 ENFORCED_TYPE = "probability"
 
 
+def no_codes() -> Column:
+    return F.array().cast("array<string>")
+
+
 def accession_lookup(genes: DataFrame) -> DataFrame:
     """Each protein accession, primary or not, with its gene; distinct pairs."""
     accessions = F.concat(
-        F.array("uniprot_id"), F.coalesce(F.col("uniprot_accessions"), NO_CODES)
+        F.array("uniprot_id"), F.coalesce(F.col("uniprot_accessions"), no_codes())
     )
     pairs = genes.filter("ensembl_gene_id IS NOT NULL").select(
         "ensembl_gene_id", F.explode(accessions).alias("uniprot_id")
@@ -119,7 +121,7 @@ def normalize_evidence_codes(df: DataFrame) -> DataFrame:
     """
 
     def codes(part: str):
-        return F.coalesce(F.col(f"evidence.{part}.evidence_codes"), NO_CODES)
+        return F.coalesce(F.col(f"evidence.{part}.evidence_codes"), no_codes())
 
     consequence = F.col("evidence.gene2variant.functional_consequence")
     origins = {
@@ -129,7 +131,7 @@ def normalize_evidence_codes(df: DataFrame) -> DataFrame:
             F.concat(
                 codes("variant2disease"),
                 codes("gene2variant"),
-                F.when(consequence.isNull(), NO_CODES).otherwise(F.array(consequence)),
+                F.when(consequence.isNull(), no_codes()).otherwise(F.array(consequence)),
             ),
         ),
         "t2d": ("target2drug", F.concat(codes("target2drug"), codes("drug2clinic"))),
@@ -140,7 +142,7 @@ def normalize_evidence_codes(df: DataFrame) -> DataFrame:
         here = F.col(f"evidence.{part}").isNotNull()
         label = F.when(here, name) if label is None else label.when(here, name)
         urls = F.when(here, value) if urls is None else urls.when(here, value)
-    found = F.array_distinct(evidence_codes(urls.otherwise(NO_CODES)))
+    found = F.array_distinct(evidence_codes(urls.otherwise(no_codes())))
     # The label reads the list that the rewrite replaces, so it comes first.
     df = df.withColumn("evidence_codes_source", label)
     df = mutate(df, {"evidence.evidence_codes": found})
