@@ -9,7 +9,7 @@ nothing but the plan is shipped to executors.
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
@@ -75,15 +75,29 @@ TYPE_PATTERNS = {
     "number": r"^(BIGINT|DOUBLE|FLOAT|DECIMAL.*)$",
     "null": "^VOID$",
     "object": "^OBJECT<",
-    "array": "^ARRAY<",
+    "array": None,
 }
 
 
-def is_type(node: Node, *names: str) -> Column:
+def is_type(node: Node, *names: str, hints: Iterable[str] = ()) -> Column:
+    """Whether a value has one of some JSON types.
+
+    `schema_of_variant` walks all of an object or array, so it comes last: a
+    value with one of the hinted properties is an object without a look at it,
+    and for an array it is enough that it can be read as one.
+    """
     unknown = set(names) - set(TYPE_PATTERNS)
     if unknown:
         raise ValueError(f"unknown JSON types: {sorted(unknown)}")
-    return node.kind.rlike("|".join(TYPE_PATTERNS[n] for n in names))
+    found = []
+    if "object" in names:
+        found += [node.child(hint).present for hint in hints]
+    if "array" in names:
+        found.append(node.get("array<variant>").isNotNull())
+    rest = [TYPE_PATTERNS[n] for n in names if n != "array"]
+    if rest:
+        found.append(node.kind.rlike("|".join(rest)))
+    return reduce(lambda a, b: a | b, found)
 
 
 def string_at(node: Node) -> Column:
@@ -116,13 +130,14 @@ def _message(node: Node, keyword: str) -> str:
 
 def _type(rule, node, schema, root):
     names = [rule] if isinstance(rule, str) else list(rule)
-    return [(~is_type(node, *names), _message(node, "type"))]
+    hints = dict.fromkeys([*schema.get("required", []), *schema.get("properties", {})])
+    return [(~is_type(node, *names, hints=hints), _message(node, "type"))]
 
 
 def _required(rule, node, schema, root):
-    is_object = is_type(node, "object")
+    is_object = is_type(node, "object", hints=rule)
     return [
-        (is_object & ~node.child(name).present, _message(node.child(name), "required"))
+        (~node.child(name).present & is_object, _message(node.child(name), "required"))
         for name in rule
     ]
 
@@ -141,7 +156,8 @@ def _additional(rule, node, schema, root):
     allowed = F.array(*[F.lit(n) for n in schema.get("properties", {})]).cast("array<string>")
     keys = F.map_keys(node.get("map<string,variant>"))
     extra = F.size(F.array_except(keys, allowed)) > 0
-    return [(is_type(node, "object") & extra, _message(node, "additionalProperties"))]
+    # Anything but an object has no keys, which makes the condition NULL.
+    return [(extra, _message(node, "additionalProperties"))]
 
 
 def _enum(rule, node, schema, root):
@@ -182,12 +198,13 @@ def _items(rule, node, schema, root):
     broken = F.exists(
         node.get("array<variant>"), lambda item: ~complies(rule, Node(item), root)
     )
-    return [(is_type(node, "array") & broken, _message(node, "items"))]
+    # Anything but an array reads as NULL, and so does the condition.
+    return [(broken, _message(node, "items"))]
 
 
 def _min_items(rule, node, schema, root):
     short = F.size(node.get("array<variant>")) < rule
-    return [(is_type(node, "array") & short, _message(node, "minItems"))]
+    return [(short, _message(node, "minItems"))]
 
 
 def _matches(rule, node, root) -> Column:
@@ -252,7 +269,8 @@ def first_violation(schema: Mapping, parsed: Column) -> Column:
 
 def is_object(parsed: Column) -> Column:
     """Whether a parsed text is a JSON object; false for text that is not JSON."""
-    return F.coalesce(is_type(Node(parsed), "object"), F.lit(False))
+    hints = [path.split(".")[1] for _, path, _ in REQUIRED_STRINGS]
+    return F.coalesce(is_type(Node(parsed), "object", hints=hints), F.lit(False))
 
 
 def required_strings(parsed: Column) -> list[tuple[str, Column]]:

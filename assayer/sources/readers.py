@@ -11,9 +11,20 @@ from pyspark.sql import types as T
 from assayer.sources import schemas
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Deal out the rows of a scan if it has fewer partitions than there are cores.
+
+    A gzip file or a Parquet file of one row group is read by one task, and the
+    work per row that follows would stay in it. A scan with enough partitions is
+    left alone. Meant for plain scans: their partitions are known without a job.
+    """
+    wanted = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(wanted) if scan.rdd.getNumPartitions() < wanted else scan
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """One row per text line, in a column `value`."""
-    return spark.read.text(path)
+    return spread(spark.read.text(path))
 
 
 def read_json(

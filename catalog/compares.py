@@ -1,0 +1,189 @@
+"""Comparison of two releases of the same records."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from assayer.operators import compare
+from catalog.registry import query
+from catalog.views import table, text
+
+# Two releases of the orders: each lacks some, some fields differ.
+RELEASES_SQL = """
+v1 AS (
+  SELECT o_orderkey AS id, o_orderpriority AS source, o_custkey AS cust, o_totalprice AS score,
+    CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE o_orderstatus END AS status
+  FROM orders WHERE o_orderkey % 10 <> 1
+),
+v2 AS (
+  SELECT o_orderkey AS id, o_orderpriority AS source,
+    CASE WHEN o_orderkey % 7 = 0 THEN o_custkey + 1 ELSE o_custkey END AS cust,
+    CASE WHEN o_orderkey % 9 = 0 THEN o_totalprice + 1
+         WHEN o_orderkey % 9 = 1 THEN o_totalprice + 0.0000001 ELSE o_totalprice END AS score,
+    CASE WHEN o_orderkey % 6 = 0 THEN NULL ELSE o_orderstatus END AS status
+  FROM orders WHERE o_orderkey % 10 <> 2
+)"""
+
+
+def releases(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").withColumnsRenamed(
+        {"o_orderkey": "id", "o_orderpriority": "source"}
+    )
+    key, cust, price = F.col("id"), F.col("o_custkey"), F.col("o_totalprice")
+    status = F.col("o_orderstatus")
+    v1 = orders.filter(key % 10 != 1).select(
+        "id", "source", cust.alias("cust"), price.alias("score"),
+        F.when(key % 4 != 0, status).alias("status"),
+    )
+    v2 = orders.filter(key % 10 != 2).select(
+        "id",
+        "source",
+        F.when(key % 7 == 0, cust + 1).otherwise(cust).alias("cust"),
+        F.when(key % 9 == 0, price + 1)
+        .when(key % 9 == 1, price + 0.0000001)
+        .otherwise(price)
+        .alias("score"),
+        F.when(key % 6 != 0, status).alias("status"),
+    )
+    return v1, v2
+
+
+PRESENCE = """SELECT coalesce(v2.id, v1.id) AS id, coalesce(v2.source, v1.source) AS source,
+  CASE WHEN v1.id IS NULL THEN 'v2_only' WHEN v2.id IS NULL THEN 'v1_only' ELSE 'both' END
+  AS status FROM v1 FULL JOIN v2 ON v1.id = v2.id"""
+
+
+@query("presence_diff", f"WITH {RELEASES_SQL} {PRESENCE}")
+def presence_diff(spark, sf_dir):
+    return compare.presence(*releases(spark, sf_dir), ["id"], ["source"])
+
+
+@query(
+    "presence_counts",
+    f"WITH {RELEASES_SQL}, p AS ({PRESENCE}) "
+    "SELECT source, status, count(*) AS n FROM p GROUP BY ALL",
+)
+def presence_counts(spark, sf_dir):
+    found = compare.presence(*releases(spark, sf_dir), ["id"], ["source"])
+    return found.groupBy("source", "status").agg(F.count(F.lit(1)).alias("n"))
+
+
+def field_sql(field: str, equal: str) -> str:
+    return f"""SELECT a.source, '{field}' AS field,
+      CASE WHEN a.{field} IS NULL AND b.{field} IS NULL THEN 'both_null'
+        WHEN b.{field} IS NULL THEN 'v2_null' WHEN a.{field} IS NULL THEN 'v1_null'
+        ELSE 'not_null' END AS status, coalesce({equal}, false) AS equal
+      FROM v1 a JOIN v2 b ON a.id = b.id"""
+
+
+FIELDS_SQL = " UNION ALL ".join(
+    [
+        field_sql("source", "a.source IS NOT DISTINCT FROM b.source"),
+        field_sql("cust", "a.cust = b.cust"),
+        field_sql("score", "abs(a.score - b.score) < 1e-6"),
+        field_sql("status", "a.status IS NOT DISTINCT FROM b.status"),
+    ]
+)
+
+
+@query(
+    "field_diff",
+    f"""WITH {RELEASES_SQL}, f AS ({FIELDS_SQL})
+    SELECT source, field, status, equal, count(*) AS count FROM f GROUP BY ALL""",
+)
+def field_diff(spark, sf_dir):
+    """All fields compared in one pass."""
+    fields = ["source", "cust", "score", "status"]
+    return compare.field_report(
+        *releases(spark, sf_dir), ["id"], fields, ["source"], tolerance=compare.TOLERANCE
+    )
+
+
+@query(
+    "field_diff_totals",
+    f"""WITH {RELEASES_SQL}, f AS ({FIELDS_SQL})
+    SELECT field, status, equal, count(*) AS n FROM f GROUP BY ALL""",
+)
+def field_diff_totals(spark, sf_dir):
+    """Counts by source added up over sources."""
+    fields = ["source", "cust", "score", "status"]
+    report = compare.field_report(
+        *releases(spark, sf_dir), ["id"], fields, ["source"], tolerance=compare.TOLERANCE
+    )
+    return report.groupBy("field", "status", "equal").agg(F.sum("count").alias("n"))
+
+
+@query(
+    "score_diff",
+    f"""WITH {RELEASES_SQL}, b AS (
+      SELECT coalesce(v1.source, v2.source) AS source, v1.score AS a, v2.score AS b
+      FROM v1 FULL JOIN v2 ON v1.id = v2.id)
+    SELECT source, a IS NULL AS v1_null, b IS NULL AS v2_null,
+      CASE WHEN a IS NOT NULL AND b IS NOT NULL THEN abs(a - b) < 1e-6 END AS is_equal,
+      count(*) AS count FROM b GROUP BY ALL""",
+)
+def score_diff(spark, sf_dir):
+    v1, v2 = releases(spark, sf_dir)
+    return compare.score_report(v1, v2, ["id", "source"], group=["source"])
+
+
+@query(
+    "frame_diff",
+    f"""WITH {RELEASES_SQL}
+    SELECT coalesce(a.id, b.id) AS id, CASE WHEN a.id IS NULL THEN '__missing_left'
+      WHEN b.id IS NULL THEN '__missing_right'
+      ELSE concat_ws(',', CASE WHEN a.cust <> b.cust THEN 'cust' END,
+        CASE WHEN abs(a.score - b.score) >= 1e-6 THEN 'score' END,
+        CASE WHEN a.status IS DISTINCT FROM b.status THEN 'status' END) END AS fields
+    FROM v1 a FULL JOIN v2 b ON a.id = b.id
+    WHERE a.id IS NULL OR b.id IS NULL OR a.cust <> b.cust OR abs(a.score - b.score) >= 1e-6
+      OR a.status IS DISTINCT FROM b.status""",
+)
+def frame_diff(spark, sf_dir):
+    found = compare.differences(*releases(spark, sf_dir), ["id"])
+    return found.withColumn("fields", F.array_join("fields", ","))
+
+
+@query(
+    "frame_diff_ordered",
+    """WITH a AS (SELECT *, row_number() OVER (ORDER BY o_orderkey) AS position FROM orders),
+    b AS (SELECT *, row_number() OVER (ORDER BY o_orderkey) AS position FROM orders
+          WHERE o_orderkey > 0)
+    SELECT coalesce(a.position, b.position) AS position FROM a
+    FULL JOIN b ON a.position = b.position
+    WHERE a.o_custkey IS DISTINCT FROM b.o_custkey OR a.o_orderkey IS DISTINCT FROM b.o_orderkey""",
+)
+def frame_diff_ordered(spark, sf_dir):
+    """Row by row after sorting: one row missing at the front shifts all others."""
+    orders = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey")
+    shifted = orders.filter("o_orderkey > 0")
+    return compare.ordered_differences(orders, shifted, ["o_orderkey"]).select("position")
+
+
+@query(
+    "dup_ids",
+    """WITH l AS (SELECT l_orderkey || '-' || l_linenumber AS id, l_returnflag AS grp,
+        l_partkey || ':' || l_suppkey AS pair FROM lineitem),
+    p AS (SELECT grp, id, count(*) AS n, count(DISTINCT pair) AS n_pairs FROM l GROUP BY ALL),
+    k AS (SELECT DISTINCT id FROM p WHERE n > 1)
+    SELECT grp, count(*) AS n_ids, CAST(sum(n) AS BIGINT) AS n_records,
+      count(*) FILTER (WHERE n = n_pairs) AS n_ids_all_different,
+      CAST(coalesce(sum(n) FILTER (WHERE n = n_pairs), 0) AS BIGINT) AS n_records_all_different
+    FROM p WHERE id IN (SELECT id FROM k)
+      AND id IN (SELECT o_orderkey || '-' || 2 FROM orders
+                 UNION ALL SELECT o_orderkey || '-' || 3 FROM orders)
+    GROUP BY ALL""",
+)
+def dup_ids(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem").select(
+        text(F.col("l_orderkey"), "-", F.col("l_linenumber")).alias("id"),
+        F.col("l_returnflag").alias("grp"),
+        "l_partkey",
+        "l_suppkey",
+    )
+    other = table(spark, sf_dir, "orders").select(
+        F.explode(
+            F.array(text(F.col("o_orderkey"), "-2"), text(F.col("o_orderkey"), "-3"))
+        ).alias("id")
+    )
+    return compare.repeated_ids(lines, other, ["l_partkey", "l_suppkey"], ["grp"])

@@ -80,7 +80,7 @@ def disease_code(spark, sf_dir):
       SELECT l_orderkey, l_linenumber, l_partkey,
         [CASE WHEN l_linenumber % 2 = 0 THEN '{ECO_PREFIX}ECO:' ELSE '{CODE_PREFIX}ECO:' END
            || l_partkey, '{CODE_PREFIX}SO_' || l_suppkey] AS urls FROM lineitem)
-    SELECT l_orderkey, l_linenumber, l_partkey, array_to_string(list_transform(urls, u ->
+    SELECT l_orderkey, l_linenumber, l_partkey, array_to_string(list_transform(urls, lambda u:
       CASE WHEN u LIKE '%/identifiers.org/eco/%'
         THEN replace(string_split(u, '/')[-1], 'ECO:', 'ECO_')
         ELSE string_split(u, '/')[-1] END), ',') AS codes FROM urls""",

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from assayer.config import EvidenceConfig, ScoringConfig
 from assayer.plans.jobs import ReferenceTables
 from assayer.sources import schemas
+from assayer.sources.readers import spread
 
 PLACES = 6
 
@@ -78,7 +79,13 @@ ranked AS (
 
 def associations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scored evidence before it is expanded to diseases."""
-    lines = table(spark, sf_dir, "lineitem")
+    lines = spread(
+        table(
+            spark, sf_dir, "lineitem",
+            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+            "l_extendedprice", "l_discount", "l_returnflag", "l_linestatus",
+        )
+    )
     orders = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderpriority")
     customers = table(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
     nations = table(spark, sf_dir, "nation", "n_nationkey", "n_regionkey")
@@ -234,7 +241,11 @@ def score_inputs(
         ).otherwise(p),
         "evidence_gene2variant_exists": gene,
     }
-    return table(spark, sf_dir, "lineitem").select(
+    lines = table(
+        spark, sf_dir, "lineitem",
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_discount",
+    )
+    return spread(lines).select(
         "l_orderkey",
         "l_linenumber",
         "l_partkey",
@@ -405,9 +416,11 @@ def when_type(kind: Column, names: tuple[str, ...], value: Column) -> Column:
 
 def record_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order line with the nested parts of its evidence record."""
-    lines = table(
-        spark, sf_dir, "lineitem",
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_discount",
+    lines = spread(
+        table(
+            spark, sf_dir, "lineitem",
+            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_discount",
+        )
     )
     orders = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey")
     customers = table(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
