@@ -60,11 +60,11 @@ def having_filter(spark, sf_dir):
 @query(
     "set_key_counts",
     """SELECT labels, count(*) AS n FROM (
-      SELECT user_id, string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS labels
-      FROM events GROUP BY user_id) GROUP BY ALL""",
+      SELECT l_orderkey, string_agg(DISTINCT l_returnflag, ',' ORDER BY l_returnflag) AS labels
+      FROM lineitem GROUP BY l_orderkey) GROUP BY ALL""",
 )
 def set_key_counts(spark, sf_dir):
-    df = profile.label_set_counts(table(spark, sf_dir, "events"), "user_id", "event_type")
+    df = profile.label_set_counts(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_returnflag")
     return df.withColumn("labels", F.array_join("labels", ","))
 
 
@@ -80,13 +80,14 @@ def pivot_count(spark, sf_dir):
 
 @query(
     "flag_crosstab",
-    """SELECT has_error, has_big, count(*) AS n FROM (
-      SELECT user_id, bool_or(event_type = 'error') AS has_error, bool_or(value > 50) AS has_big
-      FROM events GROUP BY user_id) GROUP BY ALL""",
+    """SELECT returned, discounted, count(*) AS n FROM (
+      SELECT l_orderkey, bool_or(l_returnflag = 'R') AS returned,
+        bool_or(l_discount > 0.08) AS discounted
+      FROM lineitem GROUP BY l_orderkey) GROUP BY ALL""",
 )
 def flag_crosstab(spark, sf_dir):
-    flags = {"has_error": F.col("event_type") == "error", "has_big": F.col("value") > 50}
-    return profile.flag_crosstab(table(spark, sf_dir, "events"), "user_id", flags)
+    flags = {"returned": F.col("l_returnflag") == "R", "discounted": F.col("l_discount") > 0.08}
+    return profile.flag_crosstab(table(spark, sf_dir, "lineitem"), "l_orderkey", flags)
 
 
 @query(
@@ -191,7 +192,8 @@ def interval_coverage_blocks(spark, sf_dir):
 @query(
     "coverage_percent",
     """WITH spans AS (
-      SELECT l_suppkey AS grp, l_orderkey AS s, l_orderkey + l_linenumber AS e FROM lineitem),
+      SELECT l_partkey AS grp, CAST(l_quantity AS BIGINT) * 10 AS s,
+        CAST(l_quantity AS BIGINT) * 10 + l_linenumber * 2 AS e FROM lineitem),
     p AS (SELECT DISTINCT grp, unnest(generate_series(s, e)) AS pos FROM spans),
     c AS (SELECT grp, count(*) AS covered FROM p GROUP BY ALL),
     l AS (SELECT grp, max(e) + 1 AS len FROM spans GROUP BY ALL)
@@ -201,9 +203,9 @@ def interval_coverage_blocks(spark, sf_dir):
 def coverage_percent(spark, sf_dir):
     """Share of each group's length that its intervals cover, by decile."""
     df = table(spark, sf_dir, "lineitem").select(
-        F.col("l_suppkey").alias("grp"),
-        F.col("l_orderkey").alias("s"),
-        (F.col("l_orderkey") + F.col("l_linenumber")).alias("e"),
+        F.col("l_partkey").alias("grp"),
+        (F.col("l_quantity").cast("bigint") * 10).alias("s"),
+        (F.col("l_quantity").cast("bigint") * 10 + F.col("l_linenumber") * 2).alias("e"),
     )
     covered = profile.interval_coverage(df, ["grp"], "s", "e")
     lengths = df.groupBy("grp").agg((F.max("e") + 1).alias("len"))
