@@ -21,8 +21,9 @@ from assayer.operators.lookups import lookup_join
 def classify_lines(lines: DataFrame, schema: Mapping | None = None) -> DataFrame:
     """Check JSON texts; adds is_valid, reason, error and the four key fields."""
     parsed = F.col("parsed")
-    # A projection of its own, so the text is parsed once for all rules.
-    df = lines.select("value", F.try_parse_json("value").alias("parsed"))
+    # A generator rather than a projection, so the text is parsed once for all
+    # rules: a filter on the reason is not pushed below it.
+    df = lines.select("value", F.explode(F.array(F.try_parse_json("value"))).alias("parsed"))
     df = df.select(
         "value",
         jsonrules.is_object(parsed).alias("is_object"),

@@ -14,7 +14,7 @@ from assayer.functions.text import add_record_id
 from assayer.operators import associate, checks, normalize
 from assayer.operators.nested import same_schema
 from assayer.sources import schemas
-from assayer.sources.readers import parse_json
+from assayer.sources.readers import infer_json_type, parse_json, parsed_fields
 from assayer.sources.writers import save, save_and_read
 
 # Checks in the order they run; a record is rejected by the first it fails.
@@ -100,14 +100,14 @@ def classify_evidence(
     of a record that never parsed into one.
     """
     checked = checks.classify_lines(lines, json_schema)
-    kind = parse_json(lines, schema).schema if schema is None else schema
+    kind = infer_json_type(lines) if schema is None else schema
     parsed = checked.select(
         "value",
         F.col("reason").alias("reason:schema"),
         "error",
-        # A text that is not JSON has no source; the others keep theirs.
-        F.from_json("value", kind).alias("parsed"),
-    ).select("value", "reason:schema", "error", "parsed.*")
+        # A text that is not JSON has no fields, the others keep theirs.
+        parsed_fields(F.col("value"), kind),
+    )
     df = normalize_evidence(add_record_id(parsed), refs, config)
     for step, classify in (
         ("target_id", lambda d: checks.classify_targets(d, refs.genes, config)),

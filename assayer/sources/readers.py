@@ -67,8 +67,16 @@ def parse_json(
     With no schema it is inferred, which takes a pass over the data.
     """
     kind = infer_json_type(df, column) if schema is None else schema
-    parsed: Column = F.from_json(F.col(column), kind)
-    return df.select(parsed.alias("parsed")).select("parsed.*")
+    return df.select(parsed_fields(F.col(column), kind))
+
+
+def parsed_fields(text: Column, kind: T.StructType | str) -> Column:
+    """The fields of JSON texts as columns.
+
+    As a generator, not a plain projection: filters and join keys that use the
+    fields are not pushed below it, where each would parse the text again.
+    """
+    return F.inline(F.array(F.from_json(text, kind)))
 
 
 def rows_as_json(df: DataFrame, name: str = "value") -> DataFrame:

