@@ -93,7 +93,8 @@ def is_type(node: Node, *names: str, hints: Iterable[str] = ()) -> Column:
     if "object" in names:
         found += [node.child(hint).present for hint in hints]
     if "array" in names:
-        found.append(node.get("array<variant>").isNotNull())
+        is_array = F.when(node.get("array<variant>").isNotNull(), True).when(node.present, False)
+        found.append(is_array)
     rest = [TYPE_PATTERNS[n] for n in names if n != "array"]
     if rest:
         found.append(node.kind.rlike("|".join(rest)))
@@ -106,7 +107,7 @@ def string_at(node: Node) -> Column:
 
 
 def violations(schema: Mapping, node: Node, root: Mapping | None = None) -> list[Violation]:
-    """Conditions under which a present value breaks a schema, in its order."""
+    """Conditions under which a value breaks a schema, in the order of its rules."""
     root = schema if root is None else root
     found: list[Violation] = []
     for keyword, rule in schema.items():
@@ -128,26 +129,56 @@ def _message(node: Node, keyword: str) -> str:
     return json.dumps({"pointer": node.pointer, "keyword": keyword})
 
 
+# Conditions are NULL, i.e. not broken, for a value that is not there: every
+# reading of it is NULL. So only rules that count need to ask for presence.
+
+
+def resolved(schema: Mapping, root: Mapping) -> Mapping:
+    """A schema or what it refers to."""
+    if "$ref" not in schema:
+        return schema
+    pointer = schema["$ref"]
+    if not pointer.startswith("#/"):
+        raise ValueError(f"only references within the document are supported: {pointer}")
+    return resolved(reduce(lambda doc, part: doc[part], pointer[2:].split("/"), root), root)
+
+
+def scalar_hints(schema: Mapping, root: Mapping) -> list[str]:
+    """Properties of a schema that hold neither objects nor arrays.
+
+    Reading a value copies it, so a small property is the cheap sign of the
+    object around it.
+    """
+    small = []
+    for name, sub in schema.get("properties", {}).items():
+        kinds = resolved(sub, root).get("type", "object")
+        if not {"object", "array"} & set([kinds] if isinstance(kinds, str) else kinds):
+            small.append(name)
+    return small
+
+
+def is_present(node: Node, schema: Mapping, root: Mapping) -> Column:
+    """Whether there is a value, by its small properties before all of it."""
+    hints = scalar_hints(resolved(schema, root), root)
+    return reduce(lambda a, b: a | b, [*[node.child(h).present for h in hints], node.present])
+
+
 def _type(rule, node, schema, root):
     names = [rule] if isinstance(rule, str) else list(rule)
-    hints = dict.fromkeys([*schema.get("required", []), *schema.get("properties", {})])
-    return [(~is_type(node, *names, hints=hints), _message(node, "type"))]
+    return [(~is_type(node, *names, hints=scalar_hints(schema, root)), _message(node, "type"))]
 
 
 def _required(rule, node, schema, root):
-    is_object = is_type(node, "object", hints=rule)
-    return [
-        (~node.child(name).present & is_object, _message(node.child(name), "required"))
-        for name in rule
-    ]
+    is_object = is_type(node, "object", hints=scalar_hints(schema, root))
+    found = []
+    for name in rule:
+        child, sub = node.child(name), schema.get("properties", {}).get(name, {})
+        found.append((~is_present(child, sub, root) & is_object, _message(child, "required")))
+    return found
 
 
 def _properties(rule, node, schema, root):
-    found = []
-    for name, sub in rule.items():
-        child = node.child(name)
-        found += [(child.present & c, m) for c, m in violations(sub, child, root)]
-    return found
+    return [v for name, sub in rule.items() for v in violations(sub, node.child(name), root)]
 
 
 def _additional(rule, node, schema, root):
@@ -155,7 +186,7 @@ def _additional(rule, node, schema, root):
         raise ValueError("additionalProperties is supported as false only")
     allowed = F.array(*[F.lit(n) for n in schema.get("properties", {})]).cast("array<string>")
     keys = F.map_keys(node.get("map<string,variant>"))
-    extra = F.size(F.array_except(keys, allowed)) > 0
+    extra = F.array_size(F.array_except(keys, allowed)) > 0
     # Anything but an object has no keys, which makes the condition NULL.
     return [(extra, _message(node, "additionalProperties"))]
 
@@ -203,7 +234,7 @@ def _items(rule, node, schema, root):
 
 
 def _min_items(rule, node, schema, root):
-    short = F.size(node.get("array<variant>")) < rule
+    short = F.array_size(node.get("array<variant>")) < rule
     return [(short, _message(node, "minItems"))]
 
 
@@ -218,18 +249,17 @@ def _all_of(rule, node, schema, root):
 
 
 def _any_of(rule, node, schema, root):
-    return [(_matches(rule, node, root) < 1, _message(node, "anyOf"))]
+    broken = _matches(rule, node, root) < 1
+    return [(broken & node.present, _message(node, "anyOf"))]
 
 
 def _one_of(rule, node, schema, root):
-    return [(_matches(rule, node, root) != 1, _message(node, "oneOf"))]
+    broken = _matches(rule, node, root) != 1
+    return [(broken & node.present, _message(node, "oneOf"))]
 
 
 def _ref(rule, node, schema, root):
-    if not rule.startswith("#/"):
-        raise ValueError(f"only references within the document are supported: {rule}")
-    target = reduce(lambda doc, part: doc[part], rule[2:].split("/"), root)
-    return violations(target, node, root)
+    return violations(resolved({"$ref": rule}, root), node, root)
 
 
 def _nothing(rule, node, schema, root):

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from assayer.functions import text as fn
+from assayer.functions.jsonrules import first_violation
 from assayer.operators import checks
-from assayer.sources.readers import parse_json
+from assayer.sources.readers import infer_json_type, parse_json
 from catalog.registry import query
 from catalog.views import (
     CODE_PREFIX,
@@ -219,8 +220,6 @@ PROPS_SCHEMA = {
 )
 def json_schema_rules(spark, sf_dir):
     """The properties of every event against a schema, some texts made to break it."""
-    from assayer.functions.jsonrules import first_violation
-
     key = F.col("event_id")
     props = (
         F.when(key % 5 == 0, F.regexp_replace("props", r'"k": (\d+)', '"k": "$1"'))
@@ -275,8 +274,6 @@ def json_infer(spark, sf_dir):
 )
 def json_infer_props(spark, sf_dir):
     """A type found in a column of texts, used next to other columns."""
-    from assayer.sources.readers import infer_json_type
-
     events = table(spark, sf_dir, "events", "event_id", "props")
     kind = infer_json_type(events, "props")
     return events.select("event_id", F.from_json("props", kind)["k"].alias("k"))

@@ -8,9 +8,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from assayer.config import EvidenceConfig, ScoringConfig
-from assayer.plans.jobs import ReferenceTables
+from assayer.plans.jobs import ReferenceTables, parse_evidence
 from assayer.sources import schemas
 from assayer.sources.readers import spread
 
@@ -593,22 +594,22 @@ def record_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Faultless records, parsed, with their ids."""
-    from assayer.plans.jobs import parse_evidence
-
     lines = record_lines(spark, sf_dir)
     whole = (F.col("l_orderkey") + F.col("l_linenumber")) % 50 > 5
     return parse_evidence(lines.filter(whole).select("value"), record_type())
 
 
-def record_type():
+def record_type() -> T.StructType:
     """The evidence schema with the stale field that the id must not use."""
-    kind = schemas.EVIDENCE.jsonValue()
-    for field in kind["fields"]:
-        if field["name"] == "unique_association_fields":
-            field["type"]["fields"].append(
-                {"name": "datasource", "type": "string", "nullable": True, "metadata": {}}
-            )
-    return type(schemas.EVIDENCE).fromJson(kind)
+    unique = schemas.strings(schemas.ASSOCIATION_FIELDS + " datasource")
+    return T.StructType(
+        [
+            T.StructField(f.name, schemas.struct(**unique))
+            if f.name == "unique_association_fields"
+            else f
+            for f in schemas.EVIDENCE.fields
+        ]
+    )
 
 
 def references(spark: SparkSession, sf_dir: str) -> ReferenceTables:
