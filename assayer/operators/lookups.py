@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from assayer.config import BROADCAST_BYTES
 from assayer.operators.ranking import first_per_key
+from assayer.session import scratch_path
+from assayer.sources.writers import save_and_read
 
 
 def text_bytes(df: DataFrame) -> int:
@@ -51,8 +53,14 @@ def lookup_join(
 def keys_in(
     df: DataFrame, keys: DataFrame, on: list[str], max_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
-    """Rows whose keys occur in another frame (a semi-join, nothing collected)."""
-    return df.join(bounded_broadcast(keys.select(*on).distinct(), max_bytes), on, "left_semi")
+    """Rows whose keys occur in another frame (a semi-join, nothing collected).
+
+    The keys may take a pass over big tables to find, so they are written to the
+    shared folder: measuring and joining them reads that table.
+    """
+    found = keys.select(*on).distinct()
+    found = save_and_read(found, scratch_path(df.sparkSession, "keys"))
+    return df.join(bounded_broadcast(found, max_bytes), on, "left_semi")
 
 
 def match_rate(

@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from assayer.operators import profile
-from assayer.operators.extract import extract_fixture
+from assayer.operators.extract import extract_fixture, referenced
 from assayer.operators.lookups import keys_in
 from assayer.operators.ranking import top_k
+from assayer.plans.jobs import counted
+from assayer.session import scratch_path
+from assayer.sources.writers import save
 from catalog.registry import query
 from catalog.views import rounded, table, text
 
@@ -348,6 +351,37 @@ def stratified_extract(spark, sf_dir):
     return df.select("l_suppkey", "l_returnflag", "l_orderkey", "l_partkey", "l_linenumber")
 
 
+@query(
+    "extract_references",
+    """SELECT c_custkey, c_name FROM customer WHERE c_custkey IN (
+      SELECT o_custkey FROM orders WHERE o_totalprice > 450000)""",
+)
+def extract_references(spark, sf_dir):
+    """Rows of a reference table that an extract refers to."""
+    rows = table(spark, sf_dir, "orders").filter("o_totalprice > 450000")
+    customers = table(spark, sf_dir, "customer", "c_custkey", "c_name")
+    return referenced(customers, "c_custkey", rows, F.col("o_custkey"))
+
+
+@query(
+    "step_row_counts",
+    """SELECT 'read' AS step, count(*) AS n FROM orders
+    UNION ALL SELECT 'filtered', count(*) FROM orders WHERE o_totalprice > 100000
+    UNION ALL SELECT 'distinct', count(DISTINCT o_custkey) FROM orders
+      WHERE o_totalprice > 100000""",
+)
+def step_row_counts(spark, sf_dir):
+    """Rows after each step, counted by the one job that runs them all."""
+    orders = table(spark, sf_dir, "orders", "o_custkey", "o_totalprice")
+    df, read = counted(orders, "read")
+    df, filtered = counted(df.filter("o_totalprice > 100000").select("o_custkey"), "filtered")
+    df, distinct = counted(df.distinct(), "distinct")
+    save(df, scratch_path(spark, "counted"))
+    seen = {"read": read, "filtered": filtered, "distinct": distinct}
+    rows = [(step, observation.get["rows"]) for step, observation in seen.items()]
+    return spark.createDataFrame(rows, "step string, n bigint")
+
+
 # --- entries with nested lists, as profiled from XML ------------------------
 
 

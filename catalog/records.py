@@ -50,6 +50,23 @@ def nonref_lookup(spark, sf_dir):
     return normalize.non_reference_lookup(genes)
 
 
+@query(
+    "lookup_rewrite_left",
+    f"""WITH {RECORDS_SQL}
+    SELECT {NAME_SQL}, target_1 AS target_id, target_id_uniprot FROM first_step""",
+)
+def lookup_rewrite_left(spark, sf_dir):
+    """Accessions to genes only, with no alternate genes to replace."""
+    refs = references(spark, sf_dir)
+    none = refs.non_reference.filter("false")
+    df = normalize.normalize_targets(
+        records(spark, sf_dir), normalize.accession_lookup(refs.genes), none
+    )
+    return df.select(
+        "target.target_name", F.col("target.id").alias("target_id"), "context.target_id_uniprot"
+    )
+
+
 @query(
     "lookup_rewrite_chain",
     f"""WITH {RECORDS_SQL}

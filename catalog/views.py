@@ -564,10 +564,10 @@ def record_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         evidence.alias("evidence"),
         F.when(F.col("fault") != 1, source).alias("sourceID"),
         F.struct(
-            F.lit("http://identifiers.org/cttv.activity/up").alias("activity"),
+            F.lit("http://example.org/activity/up").alias("activity"),
             F.when(F.col("fault") != 3, target).alias("id"),
             text(F.col("l_orderkey"), "-", line).alias("target_name"),
-            F.lit("http://identifiers.org/cttv.target/gene_evidence").alias("target_type"),
+            F.lit("http://example.org/target/gene_evidence").alias("target_type"),
         ).alias("target"),
         kind.alias("type"),
         unique.alias("unique_association_fields"),
