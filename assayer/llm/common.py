@@ -9,6 +9,7 @@ import zipfile
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -74,7 +75,7 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch in slices of about `limit` bytes of one column, of one row at least."""
     col = batch.column(column)
-    sizes = pa.compute.fill_null(pa.compute.binary_length(col), 0).to_pylist()
+    sizes = pc.fill_null(pc.binary_length(col), 0).to_pylist()
     start = held = 0
     for i, size in enumerate(sizes):
         if held and held + size > limit:

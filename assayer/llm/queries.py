@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayer.llm import common, pieces, shard, token_files
+from assayer.llm import common, neardup, pieces, shard, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -58,6 +58,16 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(encoded.drop("text"))
 
 
+SHINGLE_WORDS = 4
+SIMILAR_PERCENT = 80
+
+
+@query("op3_minhash")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents", "doc_id", "text")
+    return neardup.near_duplicates(docs, SHINGLE_WORDS, SIMILAR_PERCENT)
+
+
 @query("op9_token_files")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents", "doc_id", "text")
