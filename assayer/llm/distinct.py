@@ -7,7 +7,7 @@ distinct chunks runs in Arrow and numpy.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +15,22 @@ import pyarrow.compute as pc
 
 # Marks the cuts; texts that hold it are encoded whole.
 CUT = "\x00"
+# Words encoded by one call, so that the library's objects stay few.
+CALL = 20_000
+
+
+def flat(encoded: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Lists of ids as the size of each and one row of ids."""
+    sizes = np.fromiter(map(len, encoded), np.int64, len(encoded))
+    return sizes, np.fromiter((i for ids in encoded for i in ids), np.uint32, int(sizes.sum()))
+
+
+def in_calls(
+    words: list[str], encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]
+) -> tuple[np.ndarray, np.ndarray]:
+    """Sizes and ids of all words, encoded a bounded number at a time."""
+    parts = [encode(words[i : i + CALL]) for i in range(0, len(words), CALL)]
+    return tuple(np.concatenate(p) for p in zip(*parts, strict=True))
 
 
 class Chunks:
@@ -29,10 +45,11 @@ class Chunks:
         self.at = coded.indices.to_numpy()
         self.words: list[str] = coded.dictionary.to_pylist()
 
-    def ids(self, encoded: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts in one row, and where each text's ids begin; the end closes it."""
-        sizes = np.fromiter(map(len, encoded), np.int64, len(encoded))
-        values = np.fromiter((i for ids in encoded for i in ids), np.uint32, int(sizes.sum()))
+    def ids(self, sizes: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in one row, and where each text's ids begin; the end closes it.
+
+        Given are the ids of all words in one row, and the number of each word's.
+        """
         first = np.cumsum(sizes) - sizes
         size = sizes[self.at]
         ends = np.concatenate([[0], np.cumsum(size)])

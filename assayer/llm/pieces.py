@@ -27,11 +27,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from assayer.llm import common
-from assayer.llm.distinct import CUT, Chunks, close_each
+from assayer.llm.distinct import CUT, Chunks, close_each, flat, in_calls
 
 MARK = "▁"
 # Text bytes whose distinct words make one table.
-TABLE_BYTES = 16 << 20
+TABLE_BYTES = 12 << 20
 
 _MODELS: dict[str, Pieces] = {}
 
@@ -65,11 +65,17 @@ class Pieces:
         marked = pc.binary_join_element_wise(MARK, marked, "")
         chunks = Chunks(marked, [(f"([^{MARK}]){MARK}", f"\\1{CUT}{MARK}")])
         # The library sets the first mark itself, but not before an empty text.
-        words = [w[1:].replace(MARK, " ") for w in chunks.words]
-        encoded = self.model.encode(words, num_threads=1)
-        encoded = [ids if word else [self.alone] for word, ids in zip(words, encoded, strict=True)]
-        decoded = [" " + t for t in self.model.decode(encoded, num_threads=1)]
-        values, ends = chunks.ids(encoded)
+        words, decoded = [w[1:].replace(MARK, " ") for w in chunks.words], []
+
+        def encode(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+            encoded = self.model.encode(words, num_threads=1)
+            encoded = [e if w else [self.alone] for w, e in zip(words, encoded, strict=True)]
+            decoded.extend(" " + t for t in self.model.decode(encoded, num_threads=1))
+            return flat(encoded)
+
+        if not words:
+            return self.whole(texts.to_pylist())
+        values, ends = chunks.ids(*in_calls(words, encode))
         # Empty texts have no chunks: back to one entry for each text.
         row = np.cumsum(full.to_numpy(zero_copy_only=False))
         values, ends = close_each(values, np.concatenate([[0], ends[row]]), self.end)

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from assayer.llm import common
-from assayer.llm.distinct import CUT, Chunks, close_each
+from assayer.llm.distinct import CUT, Chunks, close_each, flat, in_calls
 
 # Fixed values of the zstandard skippable and seekable formats.
 SKIPPABLE_INDEX = 0x184D2A50
@@ -48,7 +48,9 @@ CHECKSUM_FLAG = 0x80
 LEVEL = 3
 NO_ID = -(2**63)
 # Text bytes whose distinct chunks make one table.
-TABLE_BYTES = 16 << 20
+TABLE_BYTES = 12 << 20
+# Words tokenized in one text.
+ROW = 200
 
 MANIFEST = "part int, path string, n_docs long, n_tokens long"
 FRAMES = (
@@ -90,6 +92,34 @@ class WordIds:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [f.ids for f in found]
 
+    def words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Sizes and ids of words. Blanks with letters behind them, which are tokenized
+        one by one also in a row, go through the library many in one text.
+        """
+        plain = [w[:1] == " " and w[1:].isalpha() for w in words]
+        rows = [w for w, p in zip(words, plain, strict=True) if p]
+        rows = [rows[i : i + ROW] for i in range(0, len(rows), ROW)]
+        found = self.library.encode_batch(["".join(r) for r in rows], add_special_tokens=False)
+        counts, parts = [], []
+        for row, encoding in zip(rows, found, strict=True):
+            number = np.bincount(encoding.word_ids, minlength=len(row))
+            if len(number) > len(row):  # a character that only Python takes for a letter
+                number, ids = flat(self.whole(row))
+            else:
+                ids = np.array(encoding.ids, np.uint32)
+            counts.append(number)
+            parts.append(ids)
+        other_counts, other = flat(self.whole([w for w, p in zip(words, plain, strict=True) if not p]))
+        sizes = np.empty(len(words), np.int64)
+        flags = np.array(plain)
+        sizes[flags] = np.concatenate([*counts, np.empty(0, np.int64)])
+        sizes[~flags] = other_counts
+        values = np.empty(int(sizes.sum()), np.uint32)
+        of_plain = np.repeat(flags, sizes)
+        values[of_plain] = np.concatenate([*parts, np.empty(0, np.uint32)])
+        values[~of_plain] = other
+        return sizes, values
+
     def encode(self, texts: pa.Array, end_id: int) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers, the end id last."""
         odd = [pc.match_substring(texts, s) for s in (CUT, *self.special)]
@@ -97,7 +127,7 @@ class WordIds:
             parts = [np.array([*ids, end_id], "<u4") for ids in self.whole(texts.to_pylist())]
             return [p.tobytes() for p in parts]
         chunks = Chunks(texts, _CUTS)
-        values, ends = close_each(*chunks.ids(self.whole(chunks.words)), end_id)
+        values, ends = close_each(*chunks.ids(*in_calls(chunks.words, self.words)), end_id)
         content = values.astype("<u4").tobytes()
         return [content[4 * a : 4 * b] for a, b in itertools.pairwise(ends.tolist())]
 
