@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayer.llm import common, neardup, pieces, shard, token_files
+from assayer.llm import common, neardup, pieces, shard, token_files, vector_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -75,3 +75,12 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = token_files.write_token_files(docs, tokenizer(BYTE_MODEL), END_ID, folder)
     documents = token_files.fetch(token_files.frames(manifest))
     return documents.select("doc_id", "start", "n_tokens", F.crc32("payload").alias("ids_crc32"))
+
+
+SIMILAR_COSINE = 0.9
+
+
+@query("op10_multi_index")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = common.table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return vector_dedup.linked_vectors(vectors, SIMILAR_COSINE)
