@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayer.llm import common, neardup, pieces, shard, token_files, vector_dedup
+from assayer.llm import common, neardup, pieces, secret_scan, shard, token_files, vector_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -68,6 +68,23 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(docs, SHINGLE_WORDS, SIMILAR_PERCENT)
 
 
+@query("op7_secrets")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents", "doc_id", "text")
+    found = secret_scan.scan(docs).drop("text")
+    fixed = F.filter("spans", lambda s: s["kind"] < 3)
+    counts = {
+        f"n_{name}": F.size(F.filter("spans", lambda s, i=i: s["kind"] == i)).cast("long")
+        for i, name in enumerate(secret_scan.KINDS[:3])
+    }
+    return found.select(
+        "doc_id",
+        *[count.alias(name) for name, count in counts.items()],
+        F.sha2(secret_scan.written(fixed).cast("binary"), 256).alias("base_sha256"),
+        secret_scan.written(F.col("spans")).alias("spans"),
+    )
+
+
 @query("op9_token_files")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents", "doc_id", "text")
