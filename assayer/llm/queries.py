@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayer.llm import common, neardup, pieces, secret_scan, shard, token_files, vector_dedup
+from assayer.llm import common, decontaminate, neardup, pieces, secret_scan, shard, token_files, vector_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -68,6 +68,12 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(docs, SHINGLE_WORDS, SIMILAR_PERCENT)
 
 
+@query("op4_spaced_seeds", decontaminate.SQL)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents", "doc_id", "text")
+    return decontaminate.contaminated(docs, common.table(spark, sf_dir, "benchmark"))
+
+
 @query("op7_secrets")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents", "doc_id", "text")
