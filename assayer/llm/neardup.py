@@ -8,9 +8,11 @@ minima; 40 bands of 5 minima each put it into 40 buckets. Two sets of similarity
 Work is kept from growing with the square of a group of copies:
 
 * Documents of one set are one class, named by its smallest id; only classes go on.
-* In each bucket every class is first compared with the smallest one only. What
-  these links connect needs no further comparison.
-* Then only pairs of one bucket that lie in different components are compared.
+* In each bucket every class is compared with one only, its star: the smallest at
+  first, then another one in each bucket, turn by turn. What the links connect
+  needs no further comparison, so whole groups of copies drop out.
+* When few pairs of one bucket are left in different components, or a turn finds
+  no link, all of these are compared.
 
 A pair is compared by its signatures first (an estimate more than 7 standard
 deviations below the threshold drops it) and then on the full sets. Where sets
@@ -43,6 +45,10 @@ SEED = 20_240_817
 DEVIATIONS = 7
 # Entries of a worker's table of word hashes; a full one is emptied.
 TABLE_WORDS = 300_000
+# Ids that are broadcast at most, to fetch their texts.
+BROADCAST_IDS = 2_000_000
+# Pairs for each member of a bucket with several components, below which all are compared.
+FEW_PAIRS = 2
 # Shingles hashed at once; with all functions they fit a processor's cache.
 BLOCK = 256
 
@@ -188,7 +194,7 @@ def _kept_pairs(pairs: DataFrame, enough) -> DataFrame:
 
 
 def verified(
-    pairs: DataFrame, docs: DataFrame, signatures: DataFrame, words: int, percent: int
+    pairs: DataFrame, signatures: DataFrame, sets: DataFrame, percent: int
 ) -> DataFrame:
     """The pairs whose full sets have at least `percent` of their union in common."""
     near = percent / 100
@@ -205,12 +211,51 @@ def verified(
         common_size = int((both[1:] == both[:-1]).sum())
         return 100 * common_size >= percent * (len(both) - common_size)
 
-    likely = common.settle(_kept_pairs(_with_both(pairs, signatures, "signature"), alike))
-    ends = likely.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = _shingle_sets(docs.join(ends, "doc_id", "left_semi"), words)
+    likely = _kept_pairs(_with_both(pairs, signatures, "signature"), alike)
     return common.settle(_kept_pairs(_with_both(likely, sets, "members"), linked))
 
 
+def _semi_join(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Documents of some ids; few enough ids are broadcast, so that no text is shuffled."""
+    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", "left_semi")
+
+
+def _in_mixed_buckets(members: DataFrame, components_of: DataFrame | None, turn: int) -> DataFrame:
+    """The members of buckets that hold several components, each with its bucket's star.
+
+    The star is the smallest id at first, and later another one in each bucket.
+    """
+    members, component = members.select("key", "id", "size"), F.col("id")
+    if components_of is not None:
+        members = members.join(components_of.withColumnRenamed("node", "id"), "id", "left")
+        component = F.coalesce("component", "id")
+    placed = members.select("key", "id", "size", component.alias("component"))
+    by = F.xxhash64("key", "id", F.lit(turn)) if turn else F.col("id")
+    stars = placed.groupBy("key").agg(
+        F.min("component").alias("low"),
+        F.max("component").alias("high"),
+        F.min(F.struct(by.alias("by"), "id", "size", "component")).alias("star"),
+    )
+    return common.settle(placed.join(stars.filter("low < high").select("key", "star"), "key"))
+
+
+def _pairs_left(mixed: DataFrame) -> int:
+    """The number of pairs of one bucket in different components, counted by bucket."""
+    own = mixed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
+    both = own.groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("q"))
+    return both.agg(F.sum((F.col("n") * F.col("n") - F.col("q")) / 2)).first()[0] or 0
+
+
+def _ordered(pairs: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (a < b) whose sizes allow the similarity; sizes as `n_a`, `n_b`."""
+    least, most = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
+    return (
+        pairs.filter(100 * least >= percent * most)
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        .distinct()
+    )
+
+
 def near_duplicates(
     docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -221,33 +266,41 @@ def near_duplicates(
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     found = common.settle(sketches(rows, words))
     known = found.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = common.settle(
-        known.groupBy("high", "low").agg(F.min("doc_id").alias("class"))
-    )
+    classes = common.settle(known.groupBy("high", "low").agg(F.min("doc_id").alias("class")))
     named = known.join(
         classes.withColumnRenamed("class", "doc_id"), ["high", "low", "doc_id"], "left_semi"
     )
-    signatures = named.select("doc_id", "signature")
-
-    buckets = named.select(F.explode("bands").alias("key"), F.col("doc_id").alias("id"))
-    shared = buckets.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last"))
-    members = common.settle(buckets.join(shared.filter("first < last").drop("last"), "key"))
-    stars = members.filter("id > first").select(F.col("first").alias("a"), F.col("id").alias("b"))
-    stars = common.settle(stars.distinct())
-    links = verified(stars, rows, signatures, words, percent)
-    joined = common.settle(components(links))
-
-    # Pairs of one bucket in different components, but for those just compared.
-    placed = members.join(joined.withColumnRenamed("node", "id"), "id", "left").select(
-        "key", "id", F.coalesce("component", "id").alias("component")
+    buckets = named.select(
+        F.explode("bands").alias("key"), F.col("doc_id").alias("id"), F.col("n_shingles").alias("size")
+    )
+    shared = buckets.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"))
+    members = common.settle(
+        buckets.join(shared.filter("low < high").select("key"), "key", "left_semi")
     )
-    mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-    placed = common.settle(placed.join(mixed.filter("x < y").select("key"), "key", "left_semi"))
-    left = placed.select("key", F.col("id").alias("a"), F.col("component").alias("of_a"))
-    right = placed.select("key", F.col("id").alias("b"), F.col("component").alias("of_b"))
-    rest = left.join(right, "key").filter("a < b AND of_a <> of_b").select("a", "b").distinct()
-    rest = common.settle(rest.join(stars, ["a", "b"], "left_anti"))
-    links = links.unionByName(verified(rest, rows, signatures, words, percent))
+    ids = common.settle(members.select(F.col("id").alias("doc_id")).distinct())
+    signatures = named.join(ids, "doc_id", "left_semi").select("doc_id", "signature")
+    signatures = common.settle(signatures)
+    sets = common.settle(_shingle_sets(_semi_join(rows, ids), words))
+
+    links = joined = None
+    turn, last = 0, False
+    while not last:
+        members = _in_mixed_buckets(members, joined, turn)
+        own = members.select(
+            "key", F.col("id").alias("a"), F.col("size").alias("n_a"), F.col("component").alias("of_a"), "star"
+        )
+        last = turn > 0 and (not fresh or _pairs_left(members) <= FEW_PAIRS * members.count())
+        if last:
+            other = own.drop("star").toDF("key", "b", "n_b", "of_b")
+            pairs = own.join(other, "key").filter("a < b AND of_a <> of_b")
+        else:
+            star = {"b": F.col("star.id"), "n_b": F.col("star.size"), "of_b": F.col("star.component")}
+            pairs = own.withColumns(star).filter("of_a <> of_b")
+        new = verified(common.settle(_ordered(pairs, percent)), signatures, sets, percent)
+        fresh = new.count() > 0
+        links = new if links is None else links.unionByName(new)
+        joined = common.settle(components(links))
+        turn += 1
 
     # A class links its members; rows of one id in several classes link these.
     own = known.join(classes, ["high", "low"]).select(F.col("class").alias("a"), F.col("doc_id").alias("b"))
