@@ -8,11 +8,11 @@ minima; 40 bands of 5 minima each put it into 40 buckets. Two sets of similarity
 Work is kept from growing with the square of a group of copies:
 
 * Documents of one set are one class, named by its smallest id; only classes go on.
-* In each bucket every class is compared with one only, its star: the smallest at
-  first, then another one in each bucket, turn by turn. What the links connect
-  needs no further comparison, so whole groups of copies drop out.
-* When few pairs of one bucket are left in different components, or a turn finds
-  no link, all of these are compared.
+* In each bucket every class is compared with the smallest one only. What these
+  links connect needs no further comparison, so groups of copies drop out.
+* Buckets that still hold several components are then compared in full: pair by
+  pair where they are small, and in blocks where they are not, each task getting
+  the sets of two blocks and giving back the links only.
 
 A pair is compared by its signatures first (an estimate more than 7 standard
 deviations below the threshold drops it) and then on the full sets. Where sets
@@ -31,6 +31,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -47,8 +48,10 @@ DEVIATIONS = 7
 TABLE_WORDS = 300_000
 # Ids that are broadcast at most, to fetch their texts.
 BROADCAST_IDS = 2_000_000
-# Pairs for each member of a bucket with several components, below which all are compared.
-FEW_PAIRS = 2
+# Members of buckets that are compared pair by pair, at most.
+SMALL = 32
+# Documents and shingles of a block on average, and shingles compared at once.
+BLOCK_DOCS, BLOCK_SHINGLES, COLUMNS = 256, 1_000_000, 8192
 # Shingles hashed at once; with all functions they fit a processor's cache.
 BLOCK = 256
 
@@ -220,40 +223,91 @@ def _semi_join(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", "left_semi")
 
 
-def _in_mixed_buckets(members: DataFrame, components_of: DataFrame | None, turn: int) -> DataFrame:
-    """The members of buckets that hold several components, each with its bucket's star.
+def _mixed_buckets(members: DataFrame, joined: DataFrame) -> DataFrame:
+    """The members of buckets with several components: (key, id, size, component).
 
-    The star is the smallest id at first, and later another one in each bucket.
+    `held` is the number of members in the bucket, and `family` its largest component.
     """
-    members, component = members.select("key", "id", "size"), F.col("id")
-    if components_of is not None:
-        members = members.join(components_of.withColumnRenamed("node", "id"), "id", "left")
-        component = F.coalesce("component", "id")
-    placed = members.select("key", "id", "size", component.alias("component"))
-    by = F.xxhash64("key", "id", F.lit(turn)) if turn else F.col("id")
-    stars = placed.groupBy("key").agg(
-        F.min("component").alias("low"),
-        F.max("component").alias("high"),
-        F.min(F.struct(by.alias("by"), "id", "size", "component")).alias("star"),
+    placed = members.join(joined.withColumnRenamed("node", "id"), "id", "left").select(
+        "key", "id", "size", F.coalesce("component", "id").alias("component")
+    )
+    own = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
+    buckets = own.groupBy("key").agg(
+        F.count(F.lit(1)).alias("kinds"),
+        F.sum("n").alias("held"),
+        F.max(F.struct("n", (-F.col("component")).alias("component"))).alias("most"),
+    )
+    mixed = buckets.filter("kinds > 1").select(
+        "key", "held", (-F.col("most.component")).alias("family")
+    )
+    return common.settle(placed.join(mixed, "key"))
+
+
+def _small_buckets(mixed: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (a < b) of different components whose sizes allow the similarity."""
+    small = mixed.filter(F.col("held") <= SMALL)
+    one = small.select("key", F.col("id").alias("a"), F.col("size").alias("of_a"), F.col("component").alias("in_a"))
+    two = one.toDF("key", "b", "of_b", "in_b")
+    least, most = F.least("of_a", "of_b"), F.greatest("of_a", "of_b")
+    near = (F.col("a") < F.col("b")) & (F.col("in_a") != F.col("in_b")) & (100 * least >= percent * most)
+    return one.join(two, "key").filter(near).select("a", "b").distinct()
+
+
+def _linked_blocks(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """Links of the documents of two blocks, as the smallest linked id of each."""
+    sets = [np.frombuffer(m, np.uint64) for m in rows["members"]]
+    size = np.array([len(s) for s in sets])
+    tokens, column = np.unique(np.concatenate(sets), return_inverse=True)
+    doc = np.repeat(np.arange(len(sets)), size)
+    first, second = (np.flatnonzero(rows[c].to_numpy(bool)) for c in ("first", "second"))
+    both = np.zeros((len(first), len(second)), np.float32)
+    by_column = np.argsort(column, kind="stable")
+    column, doc = column[by_column], doc[by_column]
+    for start in range(0, len(tokens), COLUMNS):
+        low, high = np.searchsorted(column, [start, start + COLUMNS])
+        held = np.zeros((len(sets), min(COLUMNS, len(tokens) - start)), np.float32)
+        held[doc[low:high], column[low:high] - start] = 1
+        both += held[first] @ held[second].T
+    component, ids = rows["component"].to_numpy(), rows["id"].to_numpy()
+    total = size[first][:, None] + size[second]
+    near = (100 + percent) * both.astype(np.int64) >= percent * total
+    near &= component[first][:, None] != component[second]
+    a, b = np.nonzero(near)
+    a, b = ids[first[a]], ids[second[b]]
+    return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
+
+
+def _large_buckets(mixed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between different components in buckets of more members, compared in blocks.
+
+    Buckets with the same largest component are one family, so a group of copies
+    that shares many buckets is compared once. A family is dealt into blocks of
+    bounded size, and each two blocks are compared by a task.
+    """
+    family = mixed.filter(F.col("held") > SMALL).select("family", "id", "size", "component").distinct()
+    family = common.settle(family)
+    count, total = F.count(F.lit(1)) / BLOCK_DOCS, F.sum("size") / BLOCK_SHINGLES
+    blocks = family.groupBy("family").agg(F.ceil(F.greatest(count, total)).alias("blocks"))
+    own = F.pmod(F.xxhash64("id"), F.col("blocks"))
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
+    dealt = family.join(blocks, "family").select("family", "id", "component", own.alias("own"), every)
+    dealt = dealt.join(sets.withColumnRenamed("doc_id", "id"), "id").select(
+        "family",
+        F.least("own", "other").alias("x"),
+        F.greatest("own", "other").alias("y"),
+        (F.col("own") <= F.col("other")).alias("first"),
+        (F.col("own") >= F.col("other")).alias("second"),
+        "id",
+        "component",
+        "members",
     )
-    return common.settle(placed.join(stars.filter("low < high").select("key", "star"), "key"))
-
 
-def _pairs_left(mixed: DataFrame) -> int:
-    """The number of pairs of one bucket in different components, counted by bucket."""
-    own = mixed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
-    both = own.groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("q"))
-    return both.agg(F.sum((F.col("n") * F.col("n") - F.col("q")) / 2)).first()[0] or 0
+    def compare(rows: pd.DataFrame) -> pd.DataFrame:
+        from assayer.llm.neardup import _linked_blocks
 
+        return _linked_blocks(rows, percent)
 
-def _ordered(pairs: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs (a < b) whose sizes allow the similarity; sizes as `n_a`, `n_b`."""
-    least, most = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
-    return (
-        pairs.filter(100 * least >= percent * most)
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        .distinct()
-    )
+    return dealt.groupBy("family", "x", "y").applyInPandas(compare, "a long, b long")
 
 
 def near_duplicates(
@@ -273,34 +327,19 @@ def near_duplicates(
     buckets = named.select(
         F.explode("bands").alias("key"), F.col("doc_id").alias("id"), F.col("n_shingles").alias("size")
     )
-    shared = buckets.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"))
-    members = common.settle(
-        buckets.join(shared.filter("low < high").select("key"), "key", "left_semi")
-    )
+    shared = buckets.groupBy("key").agg(F.min("id").alias("star"), F.max("id").alias("last"))
+    members = buckets.join(shared.filter("star < last").select("key", "star"), "key")
+    members = common.settle(members)
     ids = common.settle(members.select(F.col("id").alias("doc_id")).distinct())
     signatures = named.join(ids, "doc_id", "left_semi").select("doc_id", "signature")
     signatures = common.settle(signatures)
     sets = common.settle(_shingle_sets(_semi_join(rows, ids), words))
 
-    links = joined = None
-    turn, last = 0, False
-    while not last:
-        members = _in_mixed_buckets(members, joined, turn)
-        own = members.select(
-            "key", F.col("id").alias("a"), F.col("size").alias("n_a"), F.col("component").alias("of_a"), "star"
-        )
-        last = turn > 0 and (not fresh or _pairs_left(members) <= FEW_PAIRS * members.count())
-        if last:
-            other = own.drop("star").toDF("key", "b", "n_b", "of_b")
-            pairs = own.join(other, "key").filter("a < b AND of_a <> of_b")
-        else:
-            star = {"b": F.col("star.id"), "n_b": F.col("star.size"), "of_b": F.col("star.component")}
-            pairs = own.withColumns(star).filter("of_a <> of_b")
-        new = verified(common.settle(_ordered(pairs, percent)), signatures, sets, percent)
-        fresh = new.count() > 0
-        links = new if links is None else links.unionByName(new)
-        joined = common.settle(components(links))
-        turn += 1
+    stars = members.filter("id > star").select(F.col("star").alias("a"), F.col("id").alias("b"))
+    links = verified(stars.distinct(), signatures, sets, percent)
+    mixed = _mixed_buckets(members, common.settle(components(links)))
+    links = links.unionByName(verified(_small_buckets(mixed, percent), signatures, sets, percent))
+    links = links.unionByName(_large_buckets(mixed, sets, percent))
 
     # A class links its members; rows of one id in several classes link these.
     own = known.join(classes, ["high", "low"]).select(F.col("class").alias("a"), F.col("doc_id").alias("b"))
