@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayer.llm import common, decontaminate, neardup, pieces, secret_scan, shard, token_files, vector_dedup
+from assayer.llm import common, decontaminate, labelled, neardup, pieces, quality, secret_scan, shard, token_files, toxicity, vector_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -74,6 +74,32 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(docs, common.table(spark, sf_dir, "benchmark"))
 
 
+REJECT_BELOW = 0.3
+
+
+def _scored(spark: SparkSession, sf_dir: str, label: str, kind, folds: int, out: int) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents", "doc_id", "text")
+    labels = common.table(spark, sf_dir, "labels", "doc_id", label)
+    held_out = labelled.fold(F.col("doc_id"), folds) == out
+    model = kind.fit(docs, labels, label, ~held_out)
+    return quality.score(docs, model).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        (F.col("score") >= REJECT_BELOW).cast("int").alias("predicted"),
+    )
+
+
+@query("op5_toxicity")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scored(spark, sf_dir, "toxic", toxicity, 4, 2)
+
+
+@query("op8_quality")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scored(spark, sf_dir, "quality", quality, 5, 0)
+
+
 @query("op7_secrets")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents", "doc_id", "text")
