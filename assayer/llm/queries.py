@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayer.llm import common, decontaminate, labelled, neardup, pieces, quality, secret_scan, shard, token_files, toxicity, vector_dedup
+from assayer.llm import common, decontaminate, html_text, labelled, neardup, pieces, quality, secret_scan, shard, token_files, toxicity, vector_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -95,6 +95,13 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(spark, sf_dir, "toxic", toxicity, 4, 2)
 
 
+@query("op6_html_text")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = common.table(spark, sf_dir, "pages", "page_id", "url", "html")
+    found = html_text.main_text(pages).drop("html")
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 @query("op8_quality")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(spark, sf_dir, "quality", quality, 5, 0)
