@@ -100,3 +100,19 @@ def text_of(column: str = "text"):
 def partitions(spark: SparkSession) -> int:
     """The number of shuffle partitions the session is set to."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name like `name` that the frame does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def without(df: DataFrame, keys: DataFrame, on: str, few: int = 2_000_000) -> DataFrame:
+    """Rows whose key is not among `keys`, one settled column named as in the frame.
+
+    Few keys are broadcast, so that the frame stays where it is.
+    """
+    return df.join(F.broadcast(keys) if keys.count() <= few else keys, on, "left_anti")

@@ -33,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from assayer.llm import common
@@ -351,3 +351,22 @@ def near_duplicates(
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
         .drop("component")
     )
+
+
+def one_of_each(
+    docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """The rows of the documents that stay; of rows with one id the first by text."""
+    found = near_duplicates(docs, words, percent, doc_id, text)
+    gone = found.filter("NOT kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias(doc_id))
+    gone = common.settle(gone.distinct())
+    kept = common.without(docs, gone, doc_id)
+    repeated = docs.filter(F.col(doc_id).isNotNull()).groupBy(doc_id).count().filter("count > 1")
+    repeated = common.settle(repeated.select(doc_id))
+    if repeated.isEmpty():
+        return kept
+    place = common.free_name(docs, "place")
+    first = Window.partitionBy(doc_id).orderBy(F.xxhash64(text), text)
+    single = common.without(kept, repeated, doc_id)
+    several = kept.join(repeated, doc_id, "left_semi").withColumn(place, F.row_number().over(first))
+    return single.unionByName(several.filter(F.col(place) == 1).drop(place))

@@ -15,9 +15,9 @@ equal), which shrinks with length. A candidate's p-value is the chance that a
 word of its length has so small an index, and within each class of length the
 Benjamini-Hochberg procedure keeps the share of false discoveries below a bound.
 
-Everything is Spark expressions over one row per document; p-values are counted
-in bins by class, so no candidate leaves its row, and the thresholds are one
-number for each class.
+Everything is Spark expressions over one row per document. The statistics of the
+runs of all documents are written once; p-values are counted in bins by class,
+and the thresholds are one number for each class.
 
 Positions count code points, the end exclusive. Spans of one kind never overlap;
 a run that overlaps a span of a fixed pattern is no candidate. NULL and empty
@@ -28,6 +28,7 @@ columns, and columns named like an output are replaced.
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -190,15 +191,32 @@ def _places(index: Column, n: Column, mean: float, spread: float) -> Column:
     return F.when(z > 1, F.greatest(log, F.lit(0.0))).otherwise(0.0)
 
 
-def scan(docs: DataFrame, text: str = "text", spans: str = "spans") -> DataFrame:
-    """All rows with their spans: an array of (start, kind, end), kinds as in `KINDS`."""
+@dataclass(frozen=True)
+class Limits:
+    """What words are like, and the least bin of a discovery in each class of lengths."""
+
+    mean: float
+    spread: float
+    bins: dict[int, int]
+
+    def bin(self, index: Column, n: Column) -> Column:
+        return F.floor(_places(index, n, self.mean, self.spread) * BINS)
+
+    def holds(self, test: Column) -> Column:
+        if not self.bins:
+            return F.lit(False)
+        least = F.create_map(*[F.lit(v) for pair in self.bins.items() for v in pair])
+        found = self.bin(test["index"], test["n"]) >= least[_class(test["n"])]
+        return test["random"] & F.coalesce(found, F.lit(False))
+
+
+def limits(docs: DataFrame, text: str = "text") -> Limits:
+    """Count the runs of all documents; only their statistics are kept."""
     body = common.text_of(text)
-    kept = [c for c in docs.columns if c.lower() not in (spans.lower(), "__fixed", "__runs")]
-    rows = docs.select(*kept, fixed_spans(body).alias("__fixed"))
-    rows = rows.withColumn("__runs", candidates(body, F.col("__fixed")))
-    rows = common.settle(rows)
-    test = rows.select(F.explode("__runs.test").alias("t")).select("t.*")
-    words = test.filter("word").agg(
+    rows = docs.select(body.alias("text"), fixed_spans(body).alias("fixed"))
+    tests = rows.select(F.explode(candidates(F.col("text"), F.col("fixed"))["test"]).alias("t"))
+    tests = common.settle(tests.select("t.*"))
+    words = tests.filter("word").agg(
         F.avg("index").alias("mean"),
         F.avg(F.col("index") * F.col("index") * F.col("n")).alias("square"),
         F.avg(F.col("index") * F.col("n")).alias("first"),
@@ -209,11 +227,10 @@ def scan(docs: DataFrame, text: str = "text", spans: str = "spans") -> DataFrame
         mean = words["mean"]
         spread = words["square"] - 2 * mean * words["first"] + mean * mean * words["n"]
         spread = max(spread, 1e-6)
-
+    null = Limits(mean, spread, {})
     binned = (
-        test.filter("tested")
-        .withColumn("bin", F.floor(_places(F.col("index"), F.col("n"), mean, spread) * BINS))
-        .groupBy(_class(F.col("n")).alias("class"), "bin")
+        tests.filter("tested")
+        .groupBy(_class(F.col("n")).alias("class"), null.bin(F.col("index"), F.col("n")).alias("bin"))
         .agg(F.count(F.lit(1)).alias("c"))
     )
     above = Window.partitionBy("class").orderBy(F.desc("bin"))
@@ -222,20 +239,22 @@ def scan(docs: DataFrame, text: str = "text", spans: str = "spans") -> DataFrame
         "class", "bin", F.sum("c").over(above).alias("found"), F.sum("c").over(every).alias("all")
     ).filter(F.pow(F.lit(10.0), -F.col("bin") / BINS) <= FALSE_SHARE * F.col("found") / F.col("all"))
     # One row for each class of lengths.
-    limits = held.groupBy("class").agg(F.min("bin").alias("bin")).collect()
-    if limits:
-        limit = F.create_map(*[F.lit(v) for r in limits for v in (r["class"], r["bin"])])
-        bin_of = lambda t: F.floor(_places(t["index"], t["n"], mean, spread) * BINS)
-        random = F.filter(
-            "__runs",
-            lambda r: r["test"]["random"]
-            & F.coalesce(bin_of(r["test"]) >= limit[_class(r["test"]["n"])], F.lit(False)),
-        )
-        random = F.transform(random, lambda r: F.struct(r["start"], r["kind"], r["end"]))
-        found = F.array_sort(F.concat("__fixed", random))
-    else:
-        found = F.col("__fixed")
-    return rows.withColumn(spans, found).drop("__fixed", "__runs")
+    least = held.groupBy("class").agg(F.min("bin").alias("bin")).collect()
+    return Limits(mean, spread, {r["class"]: r["bin"] for r in least})
+
+
+def scan(docs: DataFrame, text: str = "text", spans: str = "spans") -> DataFrame:
+    """All rows with their spans: an array of (start, kind, end), kinds as in `KINDS`.
+
+    Texts are read twice, for the statistics and for the spans, and never written.
+    """
+    found = limits(docs, text)
+    body, kept = common.text_of(text), [c for c in docs.columns if c.lower() != spans.lower()]
+    fixed = common.free_name(docs, "fixed")
+    rows = docs.select(*kept, fixed_spans(body).alias(fixed))
+    random = F.filter(candidates(body, F.col(fixed)), lambda r: found.holds(r["test"]))
+    random = F.transform(random, lambda r: F.struct(r["start"], r["kind"], r["end"]))
+    return rows.withColumn(spans, F.array_sort(F.concat(F.col(fixed), random))).drop(fixed)
 
 
 def written(spans: Column) -> Column:
