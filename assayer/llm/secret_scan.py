@@ -62,8 +62,9 @@ ALPHABETS = (
 PASS = 3.0
 # Share of false discoveries, and the bins of p-values by powers of ten.
 FALSE_SHARE, BINS = 0.01, 10
-# Mean and variance (times length) of the coincidence index, where no text has words.
-NULL_MEAN, NULL_SPREAD = 0.065, 0.03
+# Mean and variance (times length) of the coincidence index of English, which count
+# like so many words beside those of the documents.
+NULL_MEAN, NULL_SPREAD, PRIOR = 0.065, 0.007, 30
 
 
 def _spans(text: Column, pattern: str, kind: str, values: Column | None = None) -> Column:
@@ -217,16 +218,13 @@ def limits(docs: DataFrame, text: str = "text") -> Limits:
     tests = rows.select(F.explode(candidates(F.col("text"), F.col("fixed"))["test"]).alias("t"))
     tests = common.settle(tests.select("t.*"))
     words = tests.filter("word").agg(
-        F.avg("index").alias("mean"),
-        F.avg(F.col("index") * F.col("index") * F.col("n")).alias("square"),
-        F.avg(F.col("index") * F.col("n")).alias("first"),
-        F.avg("n").alias("n"),
-    ).first()
-    mean, spread = NULL_MEAN, NULL_SPREAD
-    if words["mean"] is not None:
-        mean = words["mean"]
-        spread = words["square"] - 2 * mean * words["first"] + mean * mean * words["n"]
-        spread = max(spread, 1e-6)
+        F.count(F.lit(1)).alias("count"),
+        *[F.coalesce(F.sum(c), F.lit(0.0)) for c in (F.col("index"), F.col("n") * 1.0)],
+        *[F.coalesce(F.sum(F.pow("index", F.lit(p)) * F.col("n")), F.lit(0.0)) for p in (1.0, 2.0)],
+    )
+    count, index, n, first, square = words.first()
+    mean = (PRIOR * NULL_MEAN + index) / (PRIOR + count)
+    spread = (PRIOR * NULL_SPREAD + square - 2 * mean * first + mean * mean * n) / (PRIOR + count)
     null = Limits(mean, spread, {})
     binned = (
         tests.filter("tested")
