@@ -60,7 +60,7 @@ ASIDE_NAMES = set(
     "breadcrumbs widget popup modal overlay subscribe newsletter signup login search pagination "
     "toolbar".split()
 )
-MAIN = ("article", "main")
+MAIN, MAIN_SLOT = ("article", "main"), "=main"
 LISTED = {"li": "li", "dt": "dt dd", "dd": "dt dd", "tr": "tr", "td": "td th", "th": "td th",
           "option": "option"}
 
@@ -178,18 +178,33 @@ def main_nodes(root: Node) -> list[Node]:
     return found[True] or found[False][:1]
 
 
-def outline(node: Node) -> list:
-    """Tags of a tree as nested lists; main and inline elements are leaves."""
+def skeleton(node: Node) -> tuple[list, list]:
+    """A tree's tags as nested lists, and the nodes each entry stands for.
+
+    Runs of equal siblings are one entry without inner ones, so that lists and
+    texts of any length align alike. Main elements are leaves of one kind, and
+    inline ones are left out.
+    """
+    tags, parts, last = [node.tag], [], None
     if node.main:
-        return [node.tag]
-    inner = [c for c in node.children if not isinstance(c, str) and c.tag not in INLINE]
-    return [node.tag, *map(outline, inner)]
+        return [MAIN_SLOT], parts
+    for child in node.children:
+        if isinstance(child, str) or child.tag in INLINE:
+            continue
+        tree, inner = skeleton(child)
+        if tree == last:
+            tags[-1] = [f"*{child.tag}"]
+            parts[-1][0].append(child)
+            parts[-1][1] = []
+        else:
+            tags.append(tree)
+            parts.append([[child], inner])
+        last = tree
+    return tags, parts
 
 
-def _inner(node: Node) -> list[Node]:
-    if node.main:
-        return []
-    return [c for c in node.children if not isinstance(c, str) and c.tag not in INLINE]
+def text_of(nodes: list[Node]) -> str:
+    return "\n".join(block for node in nodes for block in blocks(node))
 
 
 def align(one: list, two: list) -> list[tuple[tuple[int, ...], tuple[int, ...]]]:
@@ -201,17 +216,26 @@ def align(one: list, two: list) -> list[tuple[tuple[int, ...], tuple[int, ...]]]
             return 0
         key = (id(a), id(b))
         if key not in memory:
-            m, n = len(a) - 1, len(b) - 1
+            # Equal entries at both ends pair up; the rest takes dynamic programming.
+            m, n, low = len(a) - 1, len(b) - 1, 0
+            while low < min(m, n) and a[low + 1] == b[low + 1]:
+                low += 1
+            while m > low and n > low and a[m] == b[n]:
+                m, n = m - 1, n - 1
+            ends = [*zip(range(1, low + 1), range(1, low + 1), strict=True)]
+            ends += zip(range(m + 1, len(a)), range(n + 1, len(b)), strict=True)
+            total = sum(match(a[i], b[j]) for i, j in ends)
             best = [[0] * (n + 1) for _ in range(m + 1)]
             pair = [[0] * (n + 1) for _ in range(m + 1)]
-            for i in range(1, m + 1):
-                for j in range(1, n + 1):
+            for i in range(low + 1, m + 1):
+                for j in range(low + 1, n + 1):
                     pair[i][j] = match(a[i], b[j])
                     best[i][j] = max(
                         best[i - 1][j], best[i][j - 1], best[i - 1][j - 1] + pair[i][j]
                     )
+            total += best[m][n]
             pairs, i, j = [], m, n
-            while i and j:
+            while i > low and j > low:
                 if pair[i][j] and best[i][j] == best[i - 1][j - 1] + pair[i][j]:
                     pairs.append((i, j))
                     i, j = i - 1, j - 1
@@ -219,7 +243,7 @@ def align(one: list, two: list) -> list[tuple[tuple[int, ...], tuple[int, ...]]]
                     i -= 1
                 else:
                     j -= 1
-            memory[key] = (best[m][n] + 1, pairs[::-1])
+            memory[key] = (total + 1, sorted([*ends, *pairs]))
         return memory[key][0]
 
     found = []
@@ -242,22 +266,36 @@ class Wrapper:
         self.outline, self.texts = data["outline"], data["texts"]
         self.paths: OrderedDict[str, list] = OrderedDict()
 
-    def pairs(self, root: Node) -> list[tuple[Node, int]]:
-        """Nodes of a page with the number of the reference's node they are aligned with."""
-        own = outline(root)
+    def pairs(self, root: Node) -> list[tuple[list[Node], int]]:
+        """Nodes of a page with the number of the reference's entry they are aligned with.
+
+        Those that hold the main text are left out: they are no template.
+        """
+        own, parts = skeleton(root)
         key = json.dumps(own)
         if key not in self.paths:
             if len(self.paths) >= REMEMBERED:
                 self.paths.popitem(last=False)
             numbers = {path: k for k, path in enumerate(_all_paths(self.outline))}
-            self.paths[key] = [(mine, numbers[ref]) for mine, ref in align(own, self.outline)]
-        found = []
-        for path, number in self.paths[key]:
-            node = root
-            for step in path:
-                node = _inner(node)[step]
-            found.append((node, number))
-        return found
+            self.paths[key] = [
+                (mine, numbers[ref])
+                for mine, ref in align(own, self.outline)
+                if mine and not _holds_main(own, mine)
+            ]
+        return [(_nodes(parts, path), number) for path, number in self.paths[key]]
+
+
+def _nodes(parts: list, path: tuple[int, ...]) -> list[Node]:
+    nodes: list[Node] = []
+    for step in path:
+        nodes, parts = parts[step]
+    return nodes
+
+
+def _holds_main(tree: list, path: tuple[int, ...]) -> bool:
+    for step in path:
+        tree = tree[step + 1]
+    return f'"{MAIN_SLOT}"' in json.dumps(tree)
 
 
 def _all_paths(tree: list, at: tuple[int, ...] = ()) -> Iterator[tuple[int, ...]]:
@@ -267,15 +305,9 @@ def _all_paths(tree: list, at: tuple[int, ...] = ()) -> Iterator[tuple[int, ...]
 
 
 def reference(page: str) -> str:
-    """A page as a reference: its outline, and the text of each node in it."""
-    root = parse(page)
-    tree = outline(root)
-    texts = []
-    for path in _all_paths(tree):
-        node = root
-        for step in path:
-            node = _inner(node)[step]
-        texts.append("\n".join(blocks(node)))
+    """A page as a reference: its skeleton, and the text of each entry in it."""
+    tree, parts = skeleton(parse(page))
+    texts = [text_of(_nodes(parts, path)) for path in _all_paths(tree)]
     return json.dumps({"outline": tree, "texts": texts})
 
 
@@ -290,7 +322,8 @@ def extract(page: str | None, wrapper: Wrapper | None, template: set[int]) -> st
         return "\n\n".join(b for node in found for b in blocks(node, inside))
     constant: set[int] = set()
     if wrapper and template:
-        constant = {id(node) for node, number in wrapper.pairs(root) if number in template}
+        pairs = wrapper.pairs(root)
+        constant = {id(node) for nodes, number in pairs if number in template for node in nodes}
     text = blocks(root, lambda node: node.aside or id(node) in constant)
     return "\n\n".join(text or blocks(root, leave))
 
@@ -328,7 +361,7 @@ def templates(pages: DataFrame, refs: DataFrame) -> DataFrame:
     """Hosts' references with the numbers of their nodes that are template."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from assayer.llm.html_text import Wrapper, blocks, parse
+        from assayer.llm.html_text import Wrapper, parse, text_of
 
         wrappers: dict[str, Wrapper] = {}
         for batch in batches:
@@ -336,10 +369,10 @@ def templates(pages: DataFrame, refs: DataFrame) -> DataFrame:
             columns = (batch.column(c).to_pylist() for c in ("__host", "html", "reference"))
             for host, page, ref in zip(*columns, strict=True):
                 wrapper = wrappers.get(host) or wrappers.setdefault(host, Wrapper(ref))
-                for node, number in wrapper.pairs(parse(page)):
+                for nodes, number in wrapper.pairs(parse(page)):
                     met[host, number] += 1
                     text = wrapper.texts[number]
-                    same[host, number] += bool(text) and "\n".join(blocks(node)) == text
+                    same[host, number] += bool(text) and text_of(nodes) == text
             rows = [(h, n, c, same[h, n]) for (h, n), c in met.items()]
             kinds = [pa.string(), pa.int32(), pa.int64(), pa.int64()]
             names = ["__host", "node", "met", "same"]

@@ -44,3 +44,4 @@ def test_simple_tree_matching():
     two = ["a", ["c", ["d"], ["f"]], ["b"], ["e"]]
     pairs = html_text.align(one, two)
     assert len(pairs) == 4 and ((1, 0), (0, 0)) in pairs and ((2,), (2,)) in pairs
+    assert html_text.skeleton(html_text.parse('<ul><li>a<li>b</ul><p>x'))[0] == ['#', ['ul', ['*li']], ['p']]
