@@ -95,6 +95,10 @@ def is_type(node: Node, *names: str, hints: Iterable[str] = ()) -> Column:
     if "array" in names:
         is_array = F.when(node.get("array<variant>").isNotNull(), True).when(node.present, False)
         found.append(is_array)
+    if "integer" in names:
+        # However it is written: 1e2 is an integer, too.
+        number = F.when(node.kind.rlike("^(DOUBLE|FLOAT)$"), node.get("double"))
+        found.append(F.coalesce(number == F.floor(number), F.lit(False)))
     rest = [TYPE_PATTERNS[n] for n in names if n != "array"]
     if rest:
         found.append(node.kind.rlike("|".join(rest)))

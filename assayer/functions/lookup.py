@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 from itertools import chain
 
@@ -12,9 +13,19 @@ MAX_LITERAL_KEYS = 500
 
 
 def literal_map(values: Mapping) -> Column:
-    """A map literal; tuple and list values become arrays."""
+    """A map literal; tuple and list values become arrays.
+
+    Many keys are given as one text, which the optimizer parses once, so that the
+    expression does not grow with them.
+    """
     if len(values) > MAX_LITERAL_KEYS:
-        raise ValueError("too many keys for a literal; join a table instead")
+        first = next(iter(values.values()))
+        single = not isinstance(first, (tuple, list))
+        kind = {float: "double", str: "string", bool: "boolean", int: "bigint"}[
+            type(first if single else first[0])
+        ]
+        text = json.dumps({str(k): v if single else list(v) for k, v in values.items()})
+        return F.from_json(F.lit(text), f"map<string,{kind if single else f'array<{kind}>'}>")
 
     def lit(value):
         if isinstance(value, (tuple, list)):

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # --- fixed values: accepted date and date-time text ------------------------
 # A date, or a date with a T and a time of at least minutes, and for either one
@@ -65,6 +68,7 @@ def add_record_id(
     fields: str = "unique_association_fields",
     source: str = "sourceID",
     source_as: str = "datasource",
+    listed: Sequence[str] = (),
 ) -> DataFrame:
     """Add the MD5 of a record's identifying fields as its id.
 
@@ -72,7 +76,12 @@ def add_record_id(
     fields but `source_as`, plus the record's source under that name, in code
     point order where the source sorts by the name of its own column. Fields
     that are NULL stay out of the JSON text, so only keys a record has count.
+
+    Identifying fields may also be a map, which has every key of a record,
+    whatever the schema: all of them count, and those `listed` make the struct.
     """
+    if isinstance(df.schema[fields].dataType, T.MapType):
+        return _add_id_of_map(df, name, fields, source, source_as, listed)
     inner = [f for f in df.select(f"{fields}.*").columns if f != source_as]
     parts = [
         F.col(source).alias(source_as) if f == source else F.col(f"{fields}.{f}").alias(f)
@@ -80,3 +89,32 @@ def add_record_id(
     ]
     key = F.struct(*parts)
     return df.withColumns({fields: key, name: F.md5(F.to_json(key))})
+
+
+def _add_id_of_map(
+    df: DataFrame, name: str, fields: str, source: str, source_as: str, listed: Sequence[str]
+) -> DataFrame:
+    entries, keys = F.map_entries(fields), F.map_keys(fields)
+
+    def counts(entry: Column, index: Column) -> Column:
+        # Of a key that repeats the first counts.
+        first = F.array_position(keys, entry["key"]) == index + 1
+        return entry["value"].isNotNull() & first & ~entry["key"].isin(source, source_as)
+
+    def part(by: Column, key: Column, value: Column) -> Column:
+        return F.struct(by.alias("by"), key.alias("key"), value.alias("value"))
+
+    own = F.transform(F.filter(entries, counts), lambda e: part(e["key"], e["key"], e["value"]))
+    origin = F.array(part(F.lit(source), F.lit(source_as), F.col(source)))
+    every = F.concat(
+        F.coalesce(own, F.slice(origin, 1, 0)), F.when(F.col(source).isNull(), F.slice(origin, 1, 0)).otherwise(origin)
+    )
+    ordered = F.transform(F.array_sort(every), lambda e: F.struct(e["key"], e["value"]))
+    struct = F.struct(
+        *[
+            F.col(source).alias(source_as) if f == source else F.col(fields)[f].alias(f)
+            for f in sorted({*listed, source} - {source_as})
+        ]
+    )
+    digest = F.md5(F.to_json(F.map_from_entries(ordered)))
+    return df.withColumn(name, digest).withColumn(fields, struct)

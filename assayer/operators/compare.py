@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from assayer.operators.ranking import rank_rows
@@ -35,6 +35,28 @@ def _stacked(
     return both.groupBy(*keys).agg(F.min("l").alias("l"), F.min("r").alias("r"))
 
 
+def _matched(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], columns: Sequence[str]
+) -> DataFrame:
+    """Per key and repeat of it, the record of each side as structs `l` and `r`.
+
+    One sort of each side by key and record serves numbering and join.
+    """
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        order = [F.col(c) for c in columns] or [F.lit(1)]
+        number = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+        record = F.struct(F.lit(True).alias("found"), *[F.col(c) for c in columns])
+        named = [F.col(k).alias(f"{name}_{k}") for k in keys]
+        return df.select(*named, number.alias(f"{name}__repeat"), record.alias(name))
+
+    one, two = side(left, "l"), side(right, "r")
+    on = [F.col(f"l_{k}").eqNullSafe(F.col(f"r_{k}")) for k in keys]
+    both = one.join(two, [*on, F.col("l__repeat") == F.col("r__repeat")], "full")
+    own = [F.when(F.col("l").isNull(), F.col(f"r_{k}")).otherwise(F.col(f"l_{k}")).alias(k) for k in keys]
+    return both.select(*own, "l", "r")
+
+
 def presence(
     left: DataFrame,
     right: DataFrame,
@@ -138,8 +160,8 @@ def differences(
     """Keys whose records differ, with the names of the fields that do.
 
     A key found on one side only differs in `__missing_left` or `__missing_right`.
-    Keys that repeat are compared by how often each record occurs only if the
-    frame has been numbered first; see `ordered_differences`.
+    The records of a key that repeats are numbered by all their fields and
+    compared one by one, so a record too many on one side is missing on the other.
     """
     if left.schema.simpleString() != right.schema.simpleString():
         raise AssertionError(
@@ -147,7 +169,7 @@ def differences(
         )
     fields = [c for c in left.columns if c not in keys]
     kinds = dict(left.dtypes)
-    both = _stacked(left, right, keys, fields)
+    both = _matched(left, right, keys, fields)
     unequal = [
         F.when(
             ~equal_values(F.col(f"l.{f}"), F.col(f"r.{f}"), kinds[f], tolerance), F.lit(f)

@@ -5,7 +5,8 @@ group to one task:
 
 * `top_k` keeps the first k rows of a group. Spark trims each group to k rows
   per input partition before the shuffle (WindowGroupLimit), so a reducer gets
-  at most k rows per group and input partition.
+  at most k rows per group and input partition. For a k beyond the one Spark
+  trims for, all rows are ranked as below.
 * `rank_rows` numbers all rows. It range-partitions by group and order, numbers
   rows inside each partition and adds the number of rows before them.
 """
@@ -41,7 +42,8 @@ def top_k(
     """
     threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
     if k > min(threshold, GROUP_LIMIT):
-        raise ValueError(f"k is {k}, but groups are trimmed before the shuffle up to {threshold}")
+        ranked = rank_rows(df, keys, order, rank)
+        return ranked.withColumn(rank, F.col(rank).cast("int")).filter(F.col(rank) <= k)
     if fan_in > 1:
         part = "__input_part"
         # A row's reducer may depend on its input partition: the first k rows of
@@ -96,10 +98,13 @@ def rank_rows(
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()) -> DataFrame:
     """One row per key, the first by `order`.
 
-    Without an order it is the one with the smallest hash of all its columns:
-    an arbitrary choice, but the same one in every run.
+    Without an order it is the one with the smallest hash of all its columns and
+    of which of them are NULL, ties broken by its JSON text: an arbitrary choice,
+    but the same one in every run.
     """
-    chosen = list(order) or [F.xxhash64(*[F.col(c) for c in df.columns])]
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    hashed = F.xxhash64(*columns, *[c.isNull() for c in columns])
+    chosen = list(order) or [hashed, F.to_json(F.struct(*columns))]
     return top_k(df, keys, chosen, 1, rank="__rank").drop("__rank")
 
 

@@ -41,9 +41,27 @@ def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(observation, F.count(F.lit(1)).alias("rows")), observation
 
 
+def _open_identity(kind: T.StructType | str) -> tuple[T.StructType | str, list[str]]:
+    """A schema whose identifying fields are a map with every key of a record.
+
+    A schema lists the fields that are read. All fields a record has identify
+    it, though, so the listed ones, all of them texts, are taken from the map.
+    """
+    name = "unique_association_fields"
+    if isinstance(kind, str) or name not in kind.names:
+        return kind, []
+    own = kind[name].dataType
+    if not isinstance(own, T.StructType) or any(f.dataType != T.StringType() for f in own):
+        return kind, []
+    every = T.MapType(T.StringType(), T.StringType())
+    fields = [T.StructField(f.name, every if f.name == name else f.dataType) for f in kind]
+    return T.StructType(fields), own.names
+
+
 def parse_evidence(lines: DataFrame, schema: T.StructType | str | None = schemas.EVIDENCE):
     """JSON texts as nested records with their id."""
-    return add_record_id(parse_json(lines, schema))
+    kind, listed = _open_identity(infer_json_type(lines) if schema is None else schema)
+    return add_record_id(parse_json(lines, kind), listed=listed)
 
 
 def normalize_evidence(
@@ -100,7 +118,7 @@ def classify_evidence(
     of a record that never parsed into one.
     """
     checked = checks.classify_lines(lines, json_schema)
-    kind = infer_json_type(lines) if schema is None else schema
+    kind, listed = _open_identity(infer_json_type(lines) if schema is None else schema)
     parsed = checked.select(
         "value",
         F.col("reason").alias("reason:schema"),
@@ -108,7 +126,7 @@ def classify_evidence(
         # A text that is not JSON has no fields, the others keep theirs.
         parsed_fields(F.col("value"), kind),
     )
-    df = normalize_evidence(add_record_id(parsed), refs, config)
+    df = normalize_evidence(add_record_id(parsed, listed=listed), refs, config)
     for step, classify in (
         ("target_id", lambda d: checks.classify_targets(d, refs.genes, config)),
         ("disease_id", lambda d: checks.classify_diseases(d, refs.diseases, config)),
@@ -162,7 +180,7 @@ def prepare_evidence_tables(
         path,
         partition_by=("rejected_at",),
     )
-    summaries = step_summaries(classified).coalesce(1)
+    summaries = step_summaries(classified)
     save(summaries, f"{out}/errors/evidence_validation_summary.parquet", partition_by=("step",))
     valid = classified.filter(F.col("rejected_at") == VALID)
     return valid.drop("rejected_at", "reason", "error", "value")

@@ -22,9 +22,13 @@ def spread(scan: DataFrame) -> DataFrame:
     return scan.repartition(wanted) if scan.rdd.getNumPartitions() < wanted else scan
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """One row per text line, in a column `value`."""
-    return spread(spark.read.text(path))
+def read_lines(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
+    """One row per text line, in a column `value`.
+
+    `partitions` deals the lines out anew, for files that cannot be split.
+    """
+    lines = spark.read.text(path)
+    return lines if partitions is None else lines.repartition(partitions)
 
 
 def read_json(

@@ -32,8 +32,15 @@ def save_and_read(df: DataFrame, path: str, **options: str) -> DataFrame:
 
 
 def save_once(df: DataFrame, path: str) -> DataFrame:
-    """Write a projection the first time, then always read what was written."""
-    return save_and_read(df, path, mode="ignore")
+    """Write a projection the first time, then always read what was written.
+
+    A folder without the mark of a completed job is written anew.
+    """
+    jvm, conf = df.sparkSession.sparkContext._jvm, df.sparkSession.sparkContext._jsc
+    mark = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    if mark.getFileSystem(conf.hadoopConfiguration()).exists(mark):
+        return df.sparkSession.read.parquet(path)
+    return save_and_read(df, path, mode="overwrite")
 
 
 def save_single_json(df: DataFrame, path: str) -> DataFrame:

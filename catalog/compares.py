@@ -187,3 +187,33 @@ def dup_ids(spark, sf_dir):
         ).alias("id")
     )
     return compare.repeated_ids(lines, other, ["l_partkey", "l_suppkey"], ["grp"])
+
+
+@query(
+    "frame_diff_repeats",
+    """WITH a AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem),
+    b AS (SELECT l_orderkey, l_linenumber,
+        l_partkey + CASE WHEN l_partkey % 97 = 5 THEN 1 ELSE 0 END AS l_partkey, l_suppkey
+      FROM lineitem WHERE l_suppkey % 50 <> 3
+      UNION ALL SELECT * FROM a WHERE l_partkey % 101 = 7),
+    x AS (SELECT *, row_number() OVER (
+      PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey) AS n FROM a),
+    y AS (SELECT *, row_number() OVER (
+      PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey) AS n FROM b)
+    SELECT * FROM (
+      SELECT coalesce(x.l_orderkey, y.l_orderkey) AS l_orderkey,
+        coalesce(x.l_linenumber, y.l_linenumber) AS l_linenumber,
+        CASE WHEN x.n IS NULL THEN '__missing_left' WHEN y.n IS NULL THEN '__missing_right'
+          ELSE concat_ws(',', CASE WHEN x.l_partkey <> y.l_partkey THEN 'l_partkey' END,
+            CASE WHEN x.l_suppkey <> y.l_suppkey THEN 'l_suppkey' END) END AS fields
+      FROM x FULL JOIN y USING (l_orderkey, l_linenumber, n)) WHERE fields <> ''""",
+)
+def frame_diff_repeats(spark, sf_dir):
+    """Equality by a key that repeats: changed, missing and doubled records."""
+    left = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    part = F.col("l_partkey")
+    changed = part + F.when(part % 97 == 5, 1).otherwise(0)
+    right = left.filter("l_suppkey % 50 <> 3").withColumn("l_partkey", changed.cast(left.schema["l_partkey"].dataType))
+    right = right.unionByName(left.filter(part % 101 == 7))
+    found = compare.differences(left, right, ["l_orderkey", "l_linenumber"])
+    return found.withColumn("fields", F.array_join("fields", ","))

@@ -237,7 +237,7 @@ def step_summaries(spark, sf_dir):
 
 @query(
     "evidence_schema_scan",
-    """SELECT doc_id, 'europepmc' AS source, substr(text, 1, 0) AS empty, length(text) AS n
+    """SELECT doc_id, 'europepmc' AS source, md5(text) AS digest, length(text) AS n
     FROM documents""",
 )
 def evidence_schema_scan(spark, sf_dir):
@@ -257,6 +257,6 @@ def evidence_schema_scan(spark, sf_dir):
     return parsed.select(
         F.col("target.id").cast("bigint").alias("doc_id"),
         F.col("sourceID").alias("source"),
-        F.substring(text_, 1, 0).alias("empty"),
+        F.md5(text_.cast("binary")).alias("digest"),
         F.length(text_).cast("bigint").alias("n"),
     )

@@ -271,3 +271,38 @@ def explode_codes(spark, sf_dir):
 def explode_outer_codes(spark, sf_dir):
     words = F.when(F.col("p_size") % 2 == 0, F.split("p_name", " "))
     return table(spark, sf_dir, "part").select("p_partkey", F.explode_outer(words).alias("word"))
+
+
+@query(
+    "topk_large_k",
+    """SELECT l_returnflag, l_orderkey, l_partkey, l_linenumber, rid FROM (
+      SELECT *, row_number() OVER (PARTITION BY l_returnflag ORDER BY
+        l_extendedprice DESC, l_orderkey, l_partkey, l_linenumber) AS rid FROM lineitem)
+    WHERE rid <= 5000""",
+)
+def topk_large_k(spark, sf_dir):
+    """A k beyond the one Spark trims groups for."""
+    order = [F.col("l_extendedprice").desc(), *map(F.col, ("l_orderkey", "l_partkey", "l_linenumber"))]
+    df = ranking.top_k(table(spark, sf_dir, "lineitem"), ["l_returnflag"], order, 5000)
+    return df.select(
+        "l_returnflag", "l_orderkey", "l_partkey", "l_linenumber", F.col("rid").cast("bigint").alias("rid")
+    )
+
+
+@query(
+    "dedupe_nulls",
+    "SELECT l_suppkey, CAST(1 AS BIGINT) AS picks FROM lineitem GROUP BY l_suppkey",
+)
+def dedupe_nulls(spark, sf_dir):
+    """Records that differ only in which column is NULL: one pick, whatever their order."""
+    df = table(spark, sf_dir, "lineitem", "l_suppkey", "l_discount", "l_linenumber")
+    even = F.col("l_linenumber") % 2 == 0
+    df = df.select(
+        "l_suppkey",
+        F.when(even, F.col("l_discount")).alias("a"),
+        F.when(~even, F.col("l_discount")).alias("b"),
+    )
+    picks = [
+        ranking.first_per_key(d, ["l_suppkey"]) for d in (df.sort("a", "b"), df.sort(F.desc("a"), "b"))
+    ]
+    return picks[0].union(picks[1]).distinct().groupBy("l_suppkey").agg(F.count("*").alias("picks"))

@@ -383,3 +383,16 @@ def scoring_frame(spark, sf_dir):
         .cast("int")
         .alias("target2drug"),
     )
+
+
+@query(
+    "source_weighting_many",
+    """SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_partkey < 1500
+      THEN (l_partkey % 7) / 8.0::DOUBLE ELSE 1.0::DOUBLE END AS weight FROM lineitem""",
+)
+def source_weighting_many(spark, sf_dir):
+    """More weights than a literal map takes."""
+    weights = {str(i): (i % 7) / 8 for i in range(1500)}
+    weight = weight_of(F.col("l_partkey").cast("string"), weights)
+    df = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey")
+    return df.withColumn("weight", weight)

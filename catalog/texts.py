@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from assayer.functions import text as fn
 from assayer.functions.jsonrules import first_violation
 from assayer.operators import checks
+from assayer.plans import jobs
 from assayer.sources.readers import infer_json_type, parse_json
 from catalog.registry import query
 from catalog.views import (
@@ -296,3 +297,23 @@ def string_predicates(spark, sf_dir):
         F.col("p_type").isin("ECONOMY", "STANDARD").alias("is_in"),
         F.length("p_name").cast("bigint").alias("len"),
     )
+
+
+@query(
+    "record_id_open_fields",
+    """SELECT md5('{"experiment":"e' || l_partkey || '","lab":"' || (l_linenumber % 3) ||
+      '","datasource":"s' || (l_suppkey % 3) || '","target":"t' || (l_orderkey % 5) || '"}') AS id,
+      count(*) AS n FROM lineitem GROUP BY 1""",
+)
+def record_id_open_fields(spark, sf_dir):
+    """Records that differ in identifying fields which the schema does not list."""
+    df = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    own = F.struct(
+        F.concat(F.lit("t"), F.col("l_orderkey") % 5).alias("target"),
+        (F.col("l_linenumber") % 3).cast("string").alias("lab"),
+        F.lit(None).cast("string").alias("missing"),
+        F.concat(F.lit("e"), F.col("l_partkey")).alias("experiment"),
+    ).alias("unique_association_fields")
+    source = F.concat(F.lit("s"), F.col("l_suppkey") % 3).alias("sourceID")
+    lines = df.select(F.to_json(F.struct(source, own)).alias("value"))
+    return jobs.parse_evidence(lines).groupBy("id").agg(F.count(F.lit(1)).alias("n"))

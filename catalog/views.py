@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from assayer.config import EvidenceConfig, ScoringConfig
+from assayer.operators import checks
 from assayer.plans.jobs import ReferenceTables, parse_evidence
 from assayer.sources import schemas
 from assayer.sources.readers import spread
@@ -593,10 +594,9 @@ def record_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Faultless records, parsed, with their ids."""
-    lines = record_lines(spark, sf_dir)
-    whole = (F.col("l_orderkey") + F.col("l_linenumber")) % 50 > 5
-    return parse_evidence(lines.filter(whole).select("value"), record_type())
+    """The records that pass the schema check, parsed, with their ids."""
+    checked = checks.classify_lines(record_lines(spark, sf_dir), RECORD_SCHEMA)
+    return parse_evidence(checks.passed(checked), record_type())
 
 
 def record_type() -> T.StructType:
