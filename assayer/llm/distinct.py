@@ -53,8 +53,9 @@ class Chunks:
         first = np.cumsum(sizes) - sizes
         size = sizes[self.at]
         ends = np.concatenate([[0], np.cumsum(size)])
-        place = np.repeat(first[self.at] - ends[:-1], size)
-        place += np.arange(len(place))
+        # A batch has far fewer ids than 32 bits count.
+        place = np.repeat((first[self.at] - ends[:-1]).astype(np.int32), size)
+        place += np.arange(len(place), dtype=np.int32)
         return values[place], ends[self.ends]
 
     def joined(self, texts: list[str]) -> pa.Array:

@@ -31,7 +31,7 @@ from assayer.llm.distinct import CUT, Chunks, close_each, flat, in_calls
 
 MARK = "▁"
 # Text bytes whose distinct words make one table.
-TABLE_BYTES = 12 << 20
+TABLE_BYTES = 4 << 20
 
 _MODELS: dict[str, Pieces] = {}
 
