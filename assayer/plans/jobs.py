@@ -14,7 +14,12 @@ from assayer.functions.text import add_record_id
 from assayer.operators import associate, checks, normalize
 from assayer.operators.nested import same_schema
 from assayer.sources import schemas
-from assayer.sources.readers import infer_json_type, parse_json, parsed_fields
+from assayer.sources.readers import (
+    infer_json_type,
+    parse_json,
+    parsed_fields,
+    step_summaries_path,
+)
 from assayer.sources.writers import save, save_and_read
 
 # Checks in the order they run; a record is rejected by the first it fails.
@@ -181,7 +186,7 @@ def prepare_evidence_tables(
         partition_by=("rejected_at",),
     )
     summaries = step_summaries(classified)
-    save(summaries, f"{out}/errors/evidence_validation_summary.parquet", partition_by=("step",))
+    save(summaries, step_summaries_path(out), partition_by=("step",))
     valid = classified.filter(F.col("rejected_at") == VALID)
     return valid.drop("rejected_at", "reason", "error", "value")
 

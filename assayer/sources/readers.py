@@ -124,11 +124,11 @@ def read_xml(
     return (reader if schema is None else reader.schema(schema)).load(path)
 
 
-def read_step_summaries(spark: SparkSession, folder: str) -> DataFrame:
-    """All `evidence_<step>_validation_summary.parquet` tables, with their step.
+def step_summaries_path(out: str) -> str:
+    """Where a job that writes to `out` puts the counts of its checks, by step."""
+    return f"{out}/errors/evidence_validation_summary.parquet"
 
-    One scan over all of them; the step comes from the file's path.
-    """
-    step = F.regexp_extract(F.col("_metadata.file_path"), r"evidence_(.*)_validation_", 1)
-    table = spark.read.parquet(f"{folder}/evidence_*_validation_summary.parquet")
-    return table.select("*", step.alias("step"))
+
+def read_step_summaries(spark: SparkSession, out: str) -> DataFrame:
+    """The counts of all checks of a job that wrote to `out`, with their step."""
+    return spark.read.parquet(step_summaries_path(out))

@@ -229,9 +229,11 @@ def step_summaries(spark, sf_dir):
     out = path(spark, "errors")
     orders = table(spark, sf_dir, "orders").withColumn("sourceID", F.col("o_orderpriority"))
     status = F.col("o_orderstatus")
-    for step, reason in {"target_id": status, "disease_id": F.when(status != "F", status)}.items():
-        counts = orders.groupBy("sourceID", reason.alias("reason")).count()
-        writers.save(counts, f"{out}/evidence_{step}_validation_summary.parquet")
+    reasons = {"target_id": status, "disease_id": F.when(status != "F", status)}
+    each = [F.struct(F.lit(s).alias("step"), r.alias("reason")) for s, r in reasons.items()]
+    rows = orders.select("sourceID", F.explode(F.array(*each)).alias("c")).select("sourceID", "c.*")
+    counts = rows.groupBy("step", "sourceID", "reason").count()
+    writers.save(counts, readers.step_summaries_path(out), partition_by=("step",))
     return profile.error_report(readers.read_step_summaries(spark, out))
 
 

@@ -142,7 +142,7 @@ DATE_VARIANTS = """CASE event_id % 8 WHEN 0 THEN d WHEN 1 THEN d || 'T' || t
     f"""WITH e AS (SELECT event_id, strftime(ts, '%Y-%m-%d') AS d,
         strftime(ts, '%H:%M:%S') AS t FROM events), v AS (
       SELECT event_id, {DATE_VARIANTS} AS written FROM e)
-    SELECT event_id, written, regexp_matches(written, '{fn.ISO_DATETIME}') AS valid FROM v""",
+    SELECT event_id, written, event_id % 8 IN (0, 1, 2, 3) AS valid FROM v""",
 )
 def iso_datetime_valid(spark, sf_dir):
     df = table(spark, sf_dir, "events").select(
@@ -156,9 +156,7 @@ def iso_datetime_valid(spark, sf_dir):
 
 @query(
     "uri_valid",
-    """WITH u AS (SELECT page_id, CASE page_id % 3 WHEN 0 THEN url WHEN 1 THEN ' '
-        || chr(9) ELSE '' END AS uri FROM pages)
-    SELECT page_id, regexp_matches(uri, '[^\\x00-\\x20]') AS valid FROM u""",
+    "SELECT page_id, page_id % 3 = 0 AS valid FROM pages",
 )
 def uri_valid(spark, sf_dir):
     uri = (
