@@ -103,9 +103,27 @@ def test_top_k_trims_before_the_shuffle(skewed, plan):
     assert physical.index("Final") < physical.index("hashpartitioning(g") < physical.index("Partial")
 
 
-def test_top_k_refuses_k_that_is_not_trimmed(skewed):
-    with pytest.raises(ValueError):
-        ranking.top_k(skewed, ["g"], [F.col("v")], 5000)
+def test_top_k_beyond_what_spark_trims(skewed):
+    order = [F.col("v").desc(), F.col("i")]
+    expected = by_window(skewed, ["g"], order).filter("rid <= 1500")
+    assert rows(ranking.top_k(skewed, ["g"], order, 1500)) == rows(expected)
+
+
+def test_first_per_key_tells_nulls_apart(spark):
+    records = [(1, None, 0.5), (1, 0.5, None)]
+    found = [
+        ranking.first_per_key(spark.createDataFrame(r, "k int, a double, b double"), ["k"]).collect()
+        for r in (records, records[::-1])
+    ]
+    assert found[0] == found[1]
+
+
+def test_differences_count_repeats(spark):
+    left = spark.createDataFrame([(1, "A"), (1, "B"), (2, "C")], "k int, v string")
+    right = spark.createDataFrame([(1, "A"), (2, "C"), (2, "C")], "k int, v string")
+    found = compare.differences(left, right, ["k"]).collect()
+    assert sorted((r.k, r.fields) for r in found) == [(1, ["__missing_right"]), (2, ["__missing_left"])]
+    assert compare.differences(left, left, ["k"]).isEmpty()
 
 
 def test_rank_rows_splits_groups(skewed):
