@@ -45,7 +45,7 @@ SEED = 20_240_817
 # Standard deviations of a signature's estimate below the threshold that drop a pair.
 DEVIATIONS = 7
 # Entries of a worker's table of word hashes; a full one is emptied.
-TABLE_WORDS = 300_000
+TABLE_WORDS = 150_000
 # Ids that are broadcast at most, to fetch their texts.
 BROADCAST_IDS = 2_000_000
 # Members of buckets that are compared pair by pair, at most.
