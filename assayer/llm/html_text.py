@@ -4,10 +4,14 @@ Pages of one host are aligned with a reference page of that host by simple tree
 matching: two trees match if their roots do, and the matching of their children,
 in order, that pairs most nodes is taken. Over all pages of a host each node of
 the reference counts how often it was met and how often with the same text. Nodes
-that nearly always read the same are template; the varying slots hold the
-content. Elements made for other things (menus, footers, forms and the like, by
-tag, role, class or id) are no content either. Where a page says by `article` or
-`main` which slot is its main one, that one is taken, whole; else all content.
+that nearly always read the same are template, inside `article` and `main` as
+elsewhere; the varying slots hold the content. Of a run of equal siblings each
+text of the reference is counted by itself. Pages that read like the reference as
+a whole are no evidence. Elements made for other things (menus, footers, forms and
+the like, by tag, role, class or id) are no content either. What a page declares
+by `article` or `main` is a hint: it is taken if it holds most of the varying
+text, else all varying text is. Hosts of fewer than `LEAST_PAGES` different pages
+have no template; there the declared text is taken, whole.
 
 A host's pages never meet in one task: a reference is a small row that every page
 of the host is joined with, and the counts are summed up per batch. References
@@ -40,6 +44,8 @@ REFERENCE_CHARS = 3000
 BROADCAST_HOSTS = 20_000
 # Pages a node must be met on, and the share of equal texts that makes it template.
 LEAST_PAGES, CONSTANT = 3, 0.8
+# Share of the varying text that a declared main text must hold.
+DECLARED = 0.5
 # Alignments a worker remembers.
 REMEMBERED = 4096
 DEEPEST = 200
@@ -60,7 +66,7 @@ ASIDE_NAMES = set(
     "breadcrumbs widget popup modal overlay subscribe newsletter signup login search pagination "
     "toolbar".split()
 )
-MAIN, MAIN_SLOT = ("article", "main"), "=main"
+MAIN = ("article", "main")
 LISTED = {"li": "li", "dt": "dt dd", "dd": "dt dd", "tr": "tr", "td": "td th", "th": "td th",
           "option": "option"}
 
@@ -161,8 +167,8 @@ def blocks(node: Node, leave=lambda node: False) -> list[str]:
     return found
 
 
-def main_nodes(root: Node) -> list[Node]:
-    """The elements that a page declares as its main text: articles, else main ones."""
+def main_nodes(root: Node) -> list[list[Node]]:
+    """The elements that a page declares as its main text: articles, and main ones."""
     found: dict[bool, list[Node]] = {True: [], False: []}
 
     def walk(node: Node, outer: bool) -> None:
@@ -175,19 +181,16 @@ def main_nodes(root: Node) -> list[Node]:
             walk(child, outer or article)
 
     walk(root, False)
-    return found[True] or found[False][:1]
+    return [nodes for nodes in (found[True], found[False][:1]) if nodes]
 
 
 def skeleton(node: Node) -> tuple[list, list]:
     """A tree's tags as nested lists, and the nodes each entry stands for.
 
     Runs of equal siblings are one entry without inner ones, so that lists and
-    texts of any length align alike. Main elements are leaves of one kind, and
-    inline ones are left out.
+    texts of any length align alike. Inline elements are left out.
     """
     tags, parts, last = [node.tag], [], None
-    if node.main:
-        return [MAIN_SLOT], parts
     for child in node.children:
         if isinstance(child, str) or child.tag in INLINE:
             continue
@@ -203,8 +206,26 @@ def skeleton(node: Node) -> tuple[list, list]:
     return tags, parts
 
 
-def text_of(nodes: list[Node]) -> str:
-    return "\n".join(block for node in nodes for block in blocks(node))
+def readings(root: Node) -> dict[int, str]:
+    """The text of each node that may stand in a skeleton."""
+    found: dict[int, str] = {}
+
+    def walk(node: Node) -> str:
+        parts = []
+        for child in node.children:
+            if isinstance(child, str):
+                parts.append(child)
+            elif child.tag in INLINE:
+                parts.append(walk(child))
+            else:
+                parts.append(f"\n{walk(child)}\n")
+        text = "".join(parts)
+        if node.tag not in INLINE:
+            found[id(node)] = " ".join(html.unescape(text).split())
+        return text
+
+    walk(root)
+    return found
 
 
 def align(one: list, two: list) -> list[tuple[tuple[int, ...], tuple[int, ...]]]:
@@ -212,7 +233,8 @@ def align(one: list, two: list) -> list[tuple[tuple[int, ...], tuple[int, ...]]]
     memory: dict[tuple[int, int], tuple[int, list[tuple[int, int]]]] = {}
 
     def match(a: list, b: list) -> int:
-        if a[0] != b[0]:
+        # A run of siblings may be one of a single element.
+        if a[0].lstrip("*") != b[0].lstrip("*"):
             return 0
         key = (id(a), id(b))
         if key not in memory:
@@ -263,26 +285,38 @@ class Wrapper:
 
     def __init__(self, reference: str) -> None:
         data = json.loads(reference)
-        self.outline, self.texts = data["outline"], data["texts"]
+        self.outline = data["outline"]
+        # The number of each text of an entry; an entry without texts has none.
+        self.numbers: list[dict[str, int]] = []
+        size = 0
+        for texts in data["texts"]:
+            self.numbers.append({text: size + k for k, text in enumerate(texts)})
+            size += len(texts)
+        self.whole = data["texts"][0]
         self.paths: OrderedDict[str, list] = OrderedDict()
 
-    def pairs(self, root: Node) -> list[tuple[list[Node], int]]:
-        """Nodes of a page with the number of the reference's entry they are aligned with.
-
-        Those that hold the main text are left out: they are no template.
-        """
+    def pairs(self, root: Node) -> list[tuple[list[Node], dict[str, int]]]:
+        """Nodes of a page with the numbers of the reference's texts they are aligned with."""
         own, parts = skeleton(root)
         key = json.dumps(own)
         if key not in self.paths:
             if len(self.paths) >= REMEMBERED:
                 self.paths.popitem(last=False)
-            numbers = {path: k for k, path in enumerate(_all_paths(self.outline))}
+            entries = {path: k for k, path in enumerate(_all_paths(self.outline))}
             self.paths[key] = [
-                (mine, numbers[ref])
+                (mine, entries[ref])
                 for mine, ref in align(own, self.outline)
-                if mine and not _holds_main(own, mine)
+                if mine and self.numbers[entries[ref]]
             ]
-        return [(_nodes(parts, path), number) for path, number in self.paths[key]]
+        return [(_nodes(parts, path), self.numbers[entry]) for path, entry in self.paths[key]]
+
+    def constant(self, root: Node, template: set[int]) -> set[int]:
+        """The ids of a page's nodes that read as the template does."""
+        read, found = readings(root), set()
+        for nodes, numbers in self.pairs(root):
+            if not template.isdisjoint(numbers.values()):
+                found.update(id(n) for n in nodes if numbers.get(read[id(n)]) in template)
+        return found
 
 
 def _nodes(parts: list, path: tuple[int, ...]) -> list[Node]:
@@ -292,12 +326,6 @@ def _nodes(parts: list, path: tuple[int, ...]) -> list[Node]:
     return nodes
 
 
-def _holds_main(tree: list, path: tuple[int, ...]) -> bool:
-    for step in path:
-        tree = tree[step + 1]
-    return f'"{MAIN_SLOT}"' in json.dumps(tree)
-
-
 def _all_paths(tree: list, at: tuple[int, ...] = ()) -> Iterator[tuple[int, ...]]:
     yield at
     for k, child in enumerate(tree[1:]):
@@ -305,27 +333,40 @@ def _all_paths(tree: list, at: tuple[int, ...] = ()) -> Iterator[tuple[int, ...]
 
 
 def reference(page: str) -> str:
-    """A page as a reference: its skeleton, and the text of each entry in it."""
-    tree, parts = skeleton(parse(page))
-    texts = [text_of(_nodes(parts, path)) for path in _all_paths(tree)]
+    """A page as a reference: its skeleton, and the different texts of each entry in it."""
+    root = parse(page)
+    tree, parts = skeleton(root)
+    read = readings(root)
+    texts = [
+        [t for t in dict.fromkeys(read[id(n)] for n in (_nodes(parts, path) if path else [root])) if t]
+        for path in _all_paths(tree)
+    ]
     return json.dumps({"outline": tree, "texts": texts})
 
 
-def extract(page: str | None, wrapper: Wrapper | None, template: set[int]) -> str:
-    """The main text of a page."""
+def extract(page: str | None, wrapper: Wrapper | None, template: set[int] | None) -> str:
+    """The main text of a page; `template` is None where too few pages are known."""
     root = parse(page or "")
-    leave = lambda node: node.aside
-    found = main_nodes(root)
-    if found:
+    known = wrapper is not None and template is not None
+    constant = wrapper.constant(root, template) if known and template else set()
+
+    def texts(nodes: list[Node], constant: set[int]) -> list[str]:
         # Inside the main text a header is the text's own.
-        inside = lambda node: node.aside and node.tag != "header"
-        return "\n\n".join(b for node in found for b in blocks(node, inside))
-    constant: set[int] = set()
-    if wrapper and template:
-        pairs = wrapper.pairs(root)
-        constant = {id(node) for nodes, number in pairs if number in template for node in nodes}
-    text = blocks(root, lambda node: node.aside or id(node) in constant)
-    return "\n\n".join(text or blocks(root, leave))
+        inside = nodes != [root]
+        leave = lambda n: id(n) in constant or n.aside and not (inside and n.tag == "header")
+        return [b for n in nodes if id(n) not in constant for b in blocks(n, leave)]
+
+    declared = main_nodes(root)
+    if known:
+        every = texts([root], constant)
+        for nodes in declared:
+            found = texts(nodes, constant)
+            if found and sum(map(len, found)) >= DECLARED * sum(map(len, every)):
+                return "\n\n".join(found)
+        if every:
+            return "\n\n".join(every)
+    # Nothing varies, or nothing is known: what the page declares, else all.
+    return "\n\n".join(texts(declared[0] if declared else [root], set()))
 
 
 def _host(url: str):
@@ -361,7 +402,7 @@ def templates(pages: DataFrame, refs: DataFrame) -> DataFrame:
     """Hosts' references with the numbers of their nodes that are template."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from assayer.llm.html_text import Wrapper, parse, text_of
+        from assayer.llm.html_text import Wrapper, parse, readings
 
         wrappers: dict[str, Wrapper] = {}
         for batch in batches:
@@ -369,10 +410,17 @@ def templates(pages: DataFrame, refs: DataFrame) -> DataFrame:
             columns = (batch.column(c).to_pylist() for c in ("__host", "html", "reference"))
             for host, page, ref in zip(*columns, strict=True):
                 wrapper = wrappers.get(host) or wrappers.setdefault(host, Wrapper(ref))
-                for nodes, number in wrapper.pairs(parse(page)):
-                    met[host, number] += 1
-                    text = wrapper.texts[number]
-                    same[host, number] += bool(text) and text_of(nodes) == text
+                root = parse(page)
+                read = readings(root)
+                if [read[id(root)]] == (wrapper.whole or [""]):
+                    continue
+                # One number per page that says how many pages there are.
+                met[host, -1] += 1
+                for nodes, numbers in wrapper.pairs(root):
+                    own = {read[id(n)] for n in nodes}
+                    for text, number in numbers.items():
+                        met[host, number] += 1
+                        same[host, number] += text in own
             rows = [(h, n, c, same[h, n]) for (h, n), c in met.items()]
             kinds = [pa.string(), pa.int32(), pa.int64(), pa.int64()]
             names = ["__host", "node", "met", "same"]
@@ -382,9 +430,14 @@ def templates(pages: DataFrame, refs: DataFrame) -> DataFrame:
     met = _with_wrappers(pages.filter("html <> ''").select("__host", "html"), refs)
     counts = met.mapInArrow(run, "__host string, node int, met long, same long")
     counts = counts.groupBy("__host", "node").agg(F.sum("met").alias("met"), F.sum("same").alias("same"))
-    constant = counts.filter((F.col("met") >= LEAST_PAGES) & (F.col("same") >= CONSTANT * F.col("met")))
+    # The reference itself is one page more.
+    met, same = F.col("met") + 1, F.col("same") + 1
+    number = F.when((F.col("node") >= 0) & (met >= LEAST_PAGES) & (same >= CONSTANT * met), F.col("node"))
     # No more numbers than the reference has nodes.
-    constant = constant.groupBy("__host").agg(F.sort_array(F.collect_list("node")).alias("template"))
+    constant = counts.groupBy("__host").agg(
+        F.sort_array(F.collect_list(number)).alias("template"), F.max(met).alias("pages")
+    )
+    constant = constant.filter(F.col("pages") >= LEAST_PAGES).drop("pages")
     return common.settle(refs.join(constant, "__host", "left"))
 
 
@@ -409,7 +462,8 @@ def main_text(
                 for host, body, ref, numbers in zip(*columns, strict=True):
                     if ref is not None and host not in known:
                         known[host] = Wrapper(ref)
-                    found.append(extract(body, known.get(host), set(numbers or ())))
+                    template = None if numbers is None else set(numbers)
+                    found.append(extract(body, known.get(host), template))
                 arrays = [*(part.column(f"own_{c}") for c in kept), pa.array(found, pa.string())]
                 yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
 

@@ -25,6 +25,27 @@ def test_template_and_slots(spark):
     assert found[3] == "page 3 one\n\npage 3 two & bold text 3 < 4"
 
 
+ARTICLE = """<body><div class="top">Site name</div><article><h1>Title {0}</h1><p>Text {0} one</p><p>Text {0} two</p>
+<p>Read on with a subscription.</p><div class="x9">Support us today</div></article><div>Imprint</div></body>"""
+
+
+def test_constant_nodes_inside_declared_text(spark):
+    rows = [(i, f"http://a.example/{i}", ARTICLE.format(i)) for i in range(8)]
+    # Copies of one page say nothing about what is template.
+    rows += [(20 + i, "http://copies.example/", ARTICLE.format(5)) for i in range(8)]
+    rows += [(40 + i, f"http://few.example/{i}", ARTICLE.format(i)) for i in range(2)]
+    found = texts(spark, rows)
+    assert found[3] == "Title 3\n\nText 3 one\n\nText 3 two"
+    whole = "Title 5\n\nText 5 one\n\nText 5 two\n\nRead on with a subscription.\n\nSupport us today"
+    assert found[20] == whole and found[41] == whole.replace("5", "1")
+
+
+def test_varying_text_outside_declared_text(spark):
+    page = "<body><div><p>{0} long main text of the page, {0} and more</p></div><article>teaser {0}</article></body>"
+    found = texts(spark, [(i, "http://a.example/", page.format(f"page {i}")) for i in range(8)])
+    assert found[3] == "page 3 long main text of the page, page 3 and more\n\nteaser page 3"
+
+
 def test_declared_text(spark):
     rows = [(1, "http://a.example/", DECLARED), (2, None, None), (3, "", ""), (4, "x", "plain <b>text"), (5, "x", "<p")]
     found = texts(spark, rows)
