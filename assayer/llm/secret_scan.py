@@ -9,15 +9,18 @@ for uniform use, the number of runs above and below the middle, and the serial
 correlation of neighbours.
 
 Passing is easy for short strings, so candidates are then tested against ordinary
-words. The letters-only runs of all documents are that null: they give the mean
-and the variance of the coincidence index (the chance that two characters are
-equal), which shrinks with length. A candidate's p-value is the chance that a
-word of its length has so small an index, and within each class of length the
-Benjamini-Hochberg procedure keeps the share of false discoveries below a bound.
-
-Everything is Spark expressions over one row per document. The statistics of the
-runs of all documents are written once; p-values are counted in bins by class,
-and the thresholds are one number for each class.
+identifiers. Their null is a chain over the classes of characters (small letters,
+capitals, digits, others) with changes as in words, numbers and separators put
+together, and letters as frequent as in words; it is taken over the inferred
+alphabet, so that each encoding has a null of its own. A candidate's p-value is
+its probability by the null over that of a uniform draw from its alphabet: by
+Markov's inequality no identifier of the null has a smaller one by chance more
+often than that. Within each class of length the Benjamini-Hochberg procedure
+keeps the share of false discoveries below a bound.
+
+Everything is Spark expressions over one row per document. The p-values of the
+runs of all documents are counted in bins by class; the thresholds are one number
+for each class.
 
 Positions count code points, the end exclusive. Spans of one kind never overlap;
 a run that overlaps a span of a fixed pattern is no candidate. NULL and empty
@@ -62,9 +65,41 @@ ALPHABETS = (
 PASS = 3.0
 # Share of false discoveries, and the bins of p-values by powers of ten.
 FALSE_SHARE, BINS = 0.01, 10
-# Mean and variance (times length) of the coincidence index of English, which count
-# like so many words beside those of the documents.
-NULL_MEAN, NULL_SPREAD, PRIOR = 0.065, 0.007, 30
+# The null: how often a class of characters follows another in identifiers (small
+# letters, capitals, digits, others), and letters by percent in words, of which
+# `EVEN` is spread evenly, for other languages.
+FOLLOWS = (
+    (0.84, 0.06, 0.04, 0.06),
+    (0.40, 0.50, 0.05, 0.05),
+    (0.05, 0.05, 0.80, 0.10),
+    (0.45, 0.20, 0.30, 0.05),
+)
+WORD_LETTERS = dict(zip(LOWER, (
+    8.2, 1.5, 2.8, 4.3, 12.7, 2.2, 2.0, 6.1, 7.0, 0.15, 0.77, 4.0, 2.4,
+    6.7, 7.5, 1.9, 0.095, 6.0, 6.3, 9.1, 2.8, 0.98, 2.4, 0.15, 2.0, 0.074,
+), strict=True))
+EVEN = 0.1
+
+
+def _kind_of(letter: str) -> int:
+    return 0 if letter in LOWER else 1 if letter in UPPER else 2 if letter in DIGITS else 3
+
+
+def _null(alphabet: str) -> tuple[list[float], list[float]]:
+    """Decimal logarithms of the null over an alphabet: of each of its letters
+    within its class, and of each class after each other (16 numbers)."""
+    kinds = [_kind_of(c) for c in alphabet]
+    raw = [
+        (1 - EVEN) * WORD_LETTERS[c.lower()] / 100 + EVEN / 26 if k < 2 else 1.0
+        for c, k in zip(alphabet, kinds, strict=True)
+    ]
+    total = [sum(r for r, k in zip(raw, kinds, strict=True) if k == kind) for kind in range(4)]
+    letters = [math.log10(r / total[k]) for r, k in zip(raw, kinds, strict=True)]
+    follows = []
+    for row in FOLLOWS:
+        possible = sum(row[k] for k in set(kinds))
+        follows += [math.log10(row[k] / possible) for k in range(4)]
+    return letters, follows
 
 
 def _spans(text: Column, pattern: str, kind: str, values: Column | None = None) -> Column:
@@ -113,14 +148,18 @@ def fixed_spans(text: Column) -> Column:
 
 
 def _battery(value: Column) -> Column:
-    """Alphabet size, coincidence index and whether the randomness tests pass."""
-    alphabet = F.lit(None).cast("string")
+    """Length, evidence against the null and whether the randomness tests pass."""
+    alphabet, null = F.lit(None).cast("string"), F.lit(None)
     for pattern, letters in reversed(ALPHABETS):
-        alphabet = F.when(value.rlike(pattern), F.lit(letters)).otherwise(alphabet)
+        fits, known = value.rlike(pattern), _null(letters)
+        alphabet = F.when(fits, F.lit(letters)).otherwise(alphabet)
+        null = F.when(
+            fits, F.struct(F.lit(known[0]).alias("letters"), F.lit(known[1]).alias("follows"))
+        ).otherwise(null)
     body = F.rtrim(value, F.lit("="))
     parts = F.struct(
         body.alias("body"), F.length(body).cast("double").alias("n"), alphabet.alias("alphabet"),
-        F.split(body, "").alias("letters"),
+        F.split(body, "").alias("letters"), null.alias("null"),
     )
     return _let(parts, _statistics)
 
@@ -140,6 +179,28 @@ def _statistics(p: Column) -> Column:
     squares = F.aggregate(F.array_distinct(p["letters"]), F.lit(0.0), used)
     middle = (k + 1) / 2
     codes = F.transform(p["letters"], lambda c: F.instr(p["alphabet"], c).cast("double") - middle)
+    every = F.lit(LOWER + UPPER + DIGITS)
+    kinds = F.transform(
+        p["letters"],
+        lambda c: _let(F.instr(every, c), lambda i: F.when(i == 0, 3).when(i > 52, 2).when(i > 26, 1).otherwise(0)),
+    )
+
+    def evidence(c: Column) -> Column:
+        """Decimal logarithm of a uniform draw's probability over the null's."""
+        letters = F.aggregate(
+            c, F.lit(0.0), lambda s, x: s + F.get(p["null"]["letters"], (x + middle - 1).cast("int"))
+        )
+        size = (n - 1).cast("int")
+        changes = _let(
+            kinds,
+            lambda a: F.aggregate(
+                F.zip_with(F.slice(a, F.lit(1), size), F.slice(a, F.lit(2), size), lambda x, y: x * 4 + y),
+                F.lit(0.0),
+                lambda s, x: s + F.get(p["null"]["follows"], x),
+            ),
+        )
+        # The class of the first character is free.
+        return -n * F.log10(k) - letters - changes
 
     def tests(c: Column) -> Column:
         size = (n - 1).cast("int")
@@ -153,12 +214,10 @@ def _statistics(p: Column) -> Column:
         return (chi <= PASS) & (F.abs(runs) <= PASS) & (F.abs(serial) <= PASS)
 
     mixed = p["body"].rlike("[0-9]") & p["body"].rlike("[A-Za-z]")
-    word = p["body"].rlike("^[A-Za-z]+$")
     random = mixed & p["alphabet"].isNotNull()
     return F.struct(
         n.cast("int").alias("n"),
-        ((squares - n) / (n * (n - 1))).alias("index"),
-        word.alias("word"),
+        F.when(random, _let(codes, evidence)).alias("evidence"),
         F.when(random, _let(codes, tests)).otherwise(False).alias("random"),
         random.alias("tested"),
     )
@@ -182,53 +241,32 @@ def _class(n: Column) -> Column:
     return F.floor(F.log2(n) * 4).cast("int")
 
 
-def _places(index: Column, n: Column, mean: float, spread: float) -> Column:
-    """Minus the decimal logarithm of the lower normal tail; 0 where it is not small."""
-    z = (F.lit(mean) - index) / F.sqrt(F.lit(spread) / n)
-    tail = z
-    for i in range(6, 0, -1):
-        tail = z + F.lit(float(i)) / tail
-    log = (z * z / 2 + math.log(math.sqrt(2 * math.pi)) + F.log(tail)) / math.log(10)
-    return F.when(z > 1, F.greatest(log, F.lit(0.0))).otherwise(0.0)
-
-
 @dataclass(frozen=True)
 class Limits:
-    """What words are like, and the least bin of a discovery in each class of lengths."""
+    """The least bin of a discovery in each class of lengths."""
 
-    mean: float
-    spread: float
     bins: dict[int, int]
 
-    def bin(self, index: Column, n: Column) -> Column:
-        return F.floor(_places(index, n, self.mean, self.spread) * BINS)
-
     def holds(self, test: Column) -> Column:
         if not self.bins:
             return F.lit(False)
         least = F.create_map(*[F.lit(v) for pair in self.bins.items() for v in pair])
-        found = self.bin(test["index"], test["n"]) >= least[_class(test["n"])]
+        found = _bin(test["evidence"]) >= least[_class(test["n"])]
         return test["random"] & F.coalesce(found, F.lit(False))
 
 
+def _bin(evidence: Column) -> Column:
+    return F.floor(F.greatest(evidence, F.lit(0.0)) * BINS)
+
+
 def limits(docs: DataFrame, text: str = "text") -> Limits:
     """Count the runs of all documents; only their statistics are kept."""
     body = common.text_of(text)
     rows = docs.select(body.alias("text"), fixed_spans(body).alias("fixed"))
     tests = rows.select(F.explode(candidates(F.col("text"), F.col("fixed"))["test"]).alias("t"))
-    tests = common.settle(tests.select("t.*"))
-    words = tests.filter("word").agg(
-        F.count(F.lit(1)).alias("count"),
-        *[F.coalesce(F.sum(c), F.lit(0.0)) for c in (F.col("index"), F.col("n") * 1.0)],
-        *[F.coalesce(F.sum(F.pow("index", F.lit(p)) * F.col("n")), F.lit(0.0)) for p in (1.0, 2.0)],
-    )
-    count, index, n, first, square = words.first()
-    mean = (PRIOR * NULL_MEAN + index) / (PRIOR + count)
-    spread = (PRIOR * NULL_SPREAD + square - 2 * mean * first + mean * mean * n) / (PRIOR + count)
-    null = Limits(mean, spread, {})
     binned = (
-        tests.filter("tested")
-        .groupBy(_class(F.col("n")).alias("class"), null.bin(F.col("index"), F.col("n")).alias("bin"))
+        tests.filter("t.tested")
+        .groupBy(_class(F.col("t.n")).alias("class"), _bin(F.col("t.evidence")).alias("bin"))
         .agg(F.count(F.lit(1)).alias("c"))
     )
     above = Window.partitionBy("class").orderBy(F.desc("bin"))
@@ -238,7 +276,7 @@ def limits(docs: DataFrame, text: str = "text") -> Limits:
     ).filter(F.pow(F.lit(10.0), -F.col("bin") / BINS) <= FALSE_SHARE * F.col("found") / F.col("all"))
     # One row for each class of lengths.
     least = held.groupBy("class").agg(F.min("bin").alias("bin")).collect()
-    return Limits(mean, spread, {r["class"]: r["bin"] for r in least})
+    return Limits({r["class"]: r["bin"] for r in least})
 
 
 def scan(docs: DataFrame, text: str = "text", spans: str = "spans") -> DataFrame:

@@ -2,7 +2,9 @@
 
 import random
 import re
+from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from assayer.llm import secret_scan
@@ -52,6 +54,37 @@ def test_random_strings_among_words(spark, docs):
     assert hits[40:] == [[], []]
 
 
+def identifier(source):
+    """A name of 20 characters or more, of words, numbers and separators."""
+    words = "order item shipment invoice customer report backup image Version Final data draft status number".split()
+    mark, parts = source.choice(["-", "_", ""]), []
+    while len(mark.join(parts)) < 20 or not parts[-1].isdigit():
+        number = f"{source.randint(0, 9999):04}"
+        parts.append(number if parts and source.random() < 0.4 else source.choice(words))
+        if not mark:
+            parts[-1] = parts[-1].capitalize()
+    name = mark.join(parts)
+    return name.upper() if source.random() < 0.2 else name
+
+
+@pytest.mark.parametrize("ordinary", [0, 2000])
+def test_recall_by_encoding_and_length(spark, ordinary):
+    source, each, rows, where = random.Random(7), 50, [], {}
+    for number, (_, letters) in enumerate(secret_scan.ALPHABETS):
+        for size in (20, 32, 64):
+            if number or size == 20:  # longer ones are fixed patterns
+                for _ in range(each):
+                    where[len(rows)] = (number, size)
+                    rows.append((len(rows), "see " + "".join(source.choices(letters, k=size)) + " there"))
+    keys = len(rows)
+    rows += [(keys + i, f"see {identifier(source)} there") for i in range(ordinary)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id for r in secret_scan.scan(frame).collect() if r.spans}
+    recall = Counter(where[i] for i in found if i < keys)
+    assert {k: recall[k] for k in set(where.values()) if recall[k] < 0.8 * each} == {}
+    assert sum(i >= keys for i in found) <= 0.01 * len(found)
+
+
 def test_odd_documents(odd_docs, no_docs):
     rows = secret_scan.scan(odd_docs).collect()
     assert len(rows) == odd_docs.count() and all(r.spans == [] for r in rows)
