@@ -2,8 +2,11 @@
 
 The kernel compares words by their gapped subsequences (`string_kernel`), so
 insults with other characters in between or a letter too many still resemble the
-plain ones. Landmarks are words of the labelled texts: those that speak most for
-toxicity, and the harmless words most like them. A text is the sentence of its
+plain ones. Landmarks are words of the labelled texts: those that speak for
+toxicity, and the harmless words most like them. A word speaks for toxicity by its
+own evidence (a binomial test with false-discovery control), however rare it is
+beside others; of these words the next landmark is the one that explains most toxic
+documents reached by the fewest landmarks so far, so that rare languages have theirs. A text is the sentence of its
 distinct words: for each landmark it has the largest kernel of any of its words,
 and the sum of the three largest, as insults seldom come alone. These values go through the inverse square root of the landmarks' own kernel
 matrix, as the Nyström method has it, to a linear hinge-loss model.
@@ -19,6 +22,7 @@ are scored one by one; extra columns are passed on.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 
@@ -33,8 +37,8 @@ LABELLED = 2000
 # Landmarks of both kinds, the words they are chosen from, and how unlike they are.
 TOXIC, HARMLESS, CHOICE, ALIKE = 64, 32, 1500, 0.7
 LEAST_DOCUMENTS = 3
-# Share of the best word's weight that a landmark needs; kernels that are summed.
-SHARE, TOP = 0.05, 3
+# Share of false discoveries among words for toxicity; kernels that are summed.
+FALSE_SHARE, TOP = 0.05, 3
 COST, EPOCHS = 10.0, 100
 
 
@@ -54,6 +58,36 @@ def _unlike(choice: list[str], number: int) -> list[str]:
     return [choice[i] for i in taken]
 
 
+def _chance(n: int, size: int, share: float) -> float:
+    """The chance that of `size` documents `n` or more are toxic."""
+    terms = [
+        math.lgamma(size + 1) - math.lgamma(k + 1) - math.lgamma(size - k + 1)
+        + k * math.log(share) + (size - k) * math.log1p(-share)
+        for k in range(n, size + 1)
+    ]
+    return math.fsum(map(math.exp, terms))
+
+
+def _covering(choice: list[str], weight: np.ndarray, documents: list[list[str]], number: int) -> list[str]:
+    """Words chosen one by one by the documents they explain, each document counting
+    less the more words explain it; none resembles an earlier one too much."""
+    at = {w: i for i, w in enumerate(choice)}
+    holds = np.zeros((len(documents), len(choice)), np.float32)
+    for row, own in zip(holds, documents, strict=True):
+        row[[at[w] for w in own if w in at]] = 1
+    near = gram(choice, choice)
+    reached = (holds @ (near >= ALIKE)) > 0
+    times, free, taken = np.zeros(len(documents)), np.ones(len(choice), bool), []
+    while free.any() and len(taken) < number:
+        gain = np.where(free, ((0.5**times) @ reached) * weight, -1.0)
+        best = int(gain.argmax())
+        taken.append(choice[best])
+        times += reached[:, best]
+        free &= near[:, best] < ALIKE
+        free[best] = False
+    return taken
+
+
 def _pooled(near: Landmarks, documents: list[list[str]]) -> np.ndarray:
     """The largest kernel of any word of a document with each landmark, and the
     sum of the largest `TOP`, for each document."""
@@ -84,9 +118,16 @@ def landmarks(documents: list[list[str]], labels: np.ndarray) -> tuple[list[str]
         for w, n in counts[1].items()
         if n >= min(LEAST_DOCUMENTS, total[1]) and len(w) > 2
     }
-    least = SHARE * max(weight.values(), default=0.0)
-    choice = sorted((w for w, v in weight.items() if v > 0 and v >= least), key=lambda w: (-weight[w], w))
-    toxic = _unlike(choice[:CHOICE], TOXIC)
+    share = total[1] / total.sum()
+    chance = {w: _chance(counts[1][w], counts[0][w] + counts[1][w], share) for w, v in weight.items() if v > 0}
+    order = sorted(chance, key=lambda w: (chance[w], -weight[w], w))
+    # Words that are too rare to speak for anything are tried too.
+    tried = len(weight)
+    sure = max((k for k, w in enumerate(order, 1) if chance[w] <= FALSE_SHARE * k / tried), default=0)
+    choice = order[:sure][:CHOICE]
+    ratio = np.array([weight[w] / counts[1][w] for w in choice])
+    own = [d for d, label in zip(documents, labels, strict=True) if label == 1]
+    toxic = _covering(choice, ratio, own, TOXIC) if choice else []
     if not toxic:
         return [], []
     others = sorted(w for w, n in counts[0].items() if counts[1][w] * total[0] < n * total[1])

@@ -62,6 +62,18 @@ def test_inserted_characters_score_high():
     assert (scores[:3] >= 0.3).all() and scores[3] < 0.3
 
 
+def test_rare_words_of_their_own_evidence_are_landmarks():
+    source = np.random.default_rng(1)
+    texts = [" ".join(f"w{source.integers(10**5)}ord" for _ in range(10)) for _ in range(1200)]
+    texts[:200] = [f"{t} disgusting" for t in texts[:200]]
+    texts[200:208] = [f"{t} bocoos" for t in texts[200:208]]
+    labels = (np.arange(1200) < 208).astype(int)
+    toxic, _ = toxicity.landmarks([toxicity.words(t) for t in texts], labels)
+    assert {"disgusting", "bocoos"} <= set(toxic)
+    scores = toxicity.Model(texts, labels).scores(["x bocoos", "x y"])
+    assert scores[0] >= 0.3 > scores[1]
+
+
 @pytest.mark.parametrize("kind", [quality, toxicity])
 def test_odd_documents_and_labels(spark, odd_docs, no_docs, kind):
     schema = "doc_id long, y int"
