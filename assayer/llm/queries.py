@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayer.llm import common, decontaminate, html_text, labelled, neardup, pieces, quality, secret_scan, shard, token_files, toxicity, vector_dedup
+from assayer.llm import alignment, common, decontaminate, html_text, labelled, neardup, pieces, quality, secret_scan, shard, token_files, toxicity, vector_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -140,3 +140,16 @@ SIMILAR_COSINE = 0.9
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = common.table(spark, sf_dir, "embeddings", "vec_id", "embedding")
     return vector_dedup.linked_vectors(vectors, SIMILAR_COSINE)
+
+
+@query("op11_alignment")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents", "doc_id", "text")
+    models = tokenizer(BYTE_MODEL), tokenizer(PIECE_MODEL)
+    rows = alignment.aligned(docs, *models).drop("text")
+    # Texts without tokens have no groups to hash.
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2(F.col("groups").cast("binary"), 256))
+    rows = rows.withColumn("groups_sha256", digest).drop("groups")
+    return alignment.with_totals(rows, *models).select(
+        "doc_id", *alignment.COUNTS, "n_best", "count_sum", "groups_sha256"
+    )
