@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayer.llm import alignment, common, decontaminate, html_text, labelled, neardup, pieces, quality, secret_scan, shard, token_files, toxicity, vector_dedup
+from assayer.llm import alignment, common, decontaminate, hard_negatives, html_text, labelled, neardup, pieces, quality, secret_scan, shard, token_files, toxicity, vector_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -153,3 +153,43 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.with_totals(rows, *models).select(
         "doc_id", *alignment.COUNTS, "n_best", "count_sum", "groups_sha256"
     )
+
+
+# Of a score, the percentages between which negatives lie; how many are taken.
+NEGATIVES = {"positives": 5, "negatives": 10, "low": 30, "high": 90}
+SCALE, ANCHORS, RELABELLED, LABELS = 256, 100, 7, 10
+
+NEGATIVES_SQL = """
+WITH rows AS (
+    SELECT vec_id,
+        CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS vector
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+        AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x::DOUBLE))) = 0
+), scored AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+        list_inner_product(a.vector, b.vector)::BIGINT AS score
+    FROM rows a JOIN rows b ON a.vec_id <> b.vec_id AND len(a.vector) = len(b.vector)
+    WHERE a.vec_id % 100 = 0
+), positives AS (
+    SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+), ranked AS (
+    SELECT p.*, n.id AS negative_id, n.score AS negative_score,
+        row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.id) AS rank
+    FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
+        AND 30 * p.positive_score <= 100 * n.score AND 100 * n.score <= 90 * p.positive_score
+)
+SELECT anchor_id, positive_id, rank::INT AS rank, negative_id, positive_score, negative_score
+FROM ranked WHERE rank <= 10
+"""
+
+
+@query("op12_hard_negatives", NEGATIVES_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = common.table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % RELABELLED == 0, (F.col("label") + 1) % LABELS)
+    vectors = vectors.withColumn("label", F.coalesce(moved, "label"))
+    rows = common.settle(hard_negatives.scaled(vectors, SCALE))
+    return hard_negatives.mine(rows, rows.filter(F.col("id") % ANCHORS == 0), **NEGATIVES)
