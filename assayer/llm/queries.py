@@ -163,10 +163,10 @@ NEGATIVES_SQL = """
 WITH rows AS (
     SELECT vec_id,
         CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-        list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS vector
+        [floor(256 * x::DOUBLE) FOR x IN embedding] AS vector
     FROM embeddings
     WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
-        AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x::DOUBLE))) = 0
+        AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x::DOUBLE)]) = 0
 ), scored AS (
     SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
         list_inner_product(a.vector, b.vector)::BIGINT AS score
