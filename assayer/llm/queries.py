@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayer.llm import alignment, common, decontaminate, hard_negatives, html_text, labelled, neardup, pieces, quality, secret_scan, shard, token_files, toxicity, vector_dedup
+from assayer.llm import alignment, common, decontaminate, hard_negatives, html_text, labelled, neardup, pieces, quality, secret_scan, shard, suffix_dedup, token_files, toxicity, vector_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -193,3 +193,16 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = vectors.withColumn("label", F.coalesce(moved, "label"))
     rows = common.settle(hard_negatives.scaled(vectors, SCALE))
     return hard_negatives.mine(rows, rows.filter(F.col("id") % ANCHORS == 0), **NEGATIVES)
+
+
+@query("op13_suffix_dedup")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents", "doc_id", "text")
+    length = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return suffix_dedup.repeated_spans(docs).select(
+        "doc_id",
+        "n_bytes",
+        length.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
