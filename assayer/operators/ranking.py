@@ -7,21 +7,23 @@ group to one task:
   per input partition before the shuffle (WindowGroupLimit), so a reducer gets
   at most k rows per group and input partition. For a k beyond the one Spark
   trims for, all rows are ranked as below.
-* `rank_rows` numbers all rows. It range-partitions by group and order, numbers
-  rows inside each partition and adds the number of rows before them.
+* `rank_rows` numbers all rows. A large group is cut into slices by its order, at
+  points taken from a sample of bounded size; slices are numbered one by one and
+  get the number of rows before them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from assayer.session import scratch_path
-
 # Above this k Spark does not trim groups before the shuffle by itself.
 GROUP_LIMIT = 1000
+# Rows sampled to find where large groups are cut, and sampled rows of a slice.
+SAMPLE, PER_SLICE = 1 << 16, 1 << 6
 
 
 def top_k(
@@ -60,39 +62,108 @@ def _limit(
     return df.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) <= k)
 
 
+class _Term:
+    """One column of an order: its value and which of two values comes first."""
+
+    def __init__(self, column: Column) -> None:
+        text = re.fullmatch(r"Column<'(.*)'>", str(column), re.DOTALL)[1]
+        # How Spark writes an order: expression, direction, place of NULLs.
+        found = re.fullmatch(r"(.*?)(?: (ASC|DESC) NULLS (FIRST|LAST))?", text, re.DOTALL)
+        self.desc = found[2] == "DESC"
+        self.nulls_first = found[3] == "FIRST" if found[2] else True
+        self.value = F.expr(found[1]) if found[2] else column
+
+    def before(self, a: Column, b: Column) -> Column:
+        """Whether a comes before b, for values that are not the same."""
+        first = a > b if self.desc else a < b
+        null = F.lit(self.nulls_first)
+        return F.when(a.isNull(), null).when(b.isNull(), ~null).otherwise(first)
+
+
+def _not_after(terms: Sequence[_Term], a: Callable[[int], Column], b: Callable[[int], Column]) -> Column:
+    """Whether row a comes before row b or is at its place, given their values by term."""
+    result = F.lit(True)
+    for i, term in reversed(list(enumerate(terms))):
+        result = F.when(a(i).eqNullSafe(b(i)), result).otherwise(term.before(a(i), b(i)))
+    return result
+
+
+def _cuts(df: DataFrame, keys: Sequence[str], terms: Sequence[_Term], order: Sequence[Column], per_slice: int, sample: int) -> DataFrame:
+    """Where groups are cut: per large group the first rows of its slices but one.
+
+    A sample of some `sample` rows, chosen by their hash, is ranked in each group,
+    and every so many of its rows is a cut. Rows at the same place count once. So
+    there are no more than sample / per_slice cuts in all, whatever the size of
+    the frame.
+    """
+    places = [F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]
+    places += [t.value.alias(f"__o{i}") for i, t in enumerate(terms)]
+    narrow = df.select(*places)
+    total = df.agg(F.count(F.lit(1))).scalar()
+    one_in = F.greatest(F.lit(1).cast("bigint"), F.floor(total / sample))
+    chosen = narrow.filter(F.pmod(F.xxhash64(*narrow.columns), one_in) == 0).distinct()
+    own = [f"__k{i}" for i in range(len(keys))]
+    sort = [_directed(t, F.col(f"__o{i}")) for i, t in enumerate(terms)]
+    number = F.row_number().over(Window.partitionBy(*own).orderBy(*sort))
+    cuts = chosen.withColumn("__n", number).filter(F.col("__n") % per_slice == 0)
+    row = F.struct("__n", *[f"__o{i}" for i in range(len(terms))])
+    return cuts.groupBy(*own).agg(F.sort_array(F.collect_list(row)).alias("__cuts"))
+
+
+def _directed(term: _Term, column: Column) -> Column:
+    if term.desc:
+        return column.desc_nulls_first() if term.nulls_first else column.desc_nulls_last()
+    return column.asc_nulls_first() if term.nulls_first else column.asc_nulls_last()
+
+
 def rank_rows(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], rank: str = "rid"
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Column],
+    rank: str = "rid",
+    per_slice: int = PER_SLICE,
+    sample: int = SAMPLE,
 ) -> DataFrame:
     """Number all rows of each group from 1; `order` should be a total order.
 
-    Without keys the frame is numbered as a whole. The range-partitioned frame
-    is written to the shared folder: partition numbers must not change between
-    the two passes over it, and the counting pass reads only the keys.
+    Without keys the frame is numbered as a whole. Full rows are shuffled once,
+    by group and slice; before that, passes over keys and order alone find the
+    cuts and count the rows of the slices of cut groups. Cuts and counts are
+    broadcast, as there are at most sample / per_slice of them. The frame must
+    have the same rows each time it is computed. Rows at the same place of the
+    order stay in one slice.
     """
-    spark = df.sparkSession
-    part, before, size = "__part", "__before", "__size"
-    path = scratch_path(spark, "ranked")
-    (
-        df.repartitionByRange(*[F.col(c) for c in keys], *order)
-        .withColumn(part, F.spark_partition_id())
-        .write.parquet(path)
-    )
-    pieces = spark.read.parquet(path)
-    # Range partitions hold whole groups but for the groups cut at a boundary,
-    # and a partition continues at most one group. So the pieces with rows
-    # before them are no more than partitions, which bounds the broadcast.
-    offsets = pieces.groupBy(*keys, part).agg(F.count(F.lit(1)).alias(size))
-    earlier = Window.partitionBy(*keys).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        offsets.withColumn(before, F.sum(size).over(earlier)).filter(F.col(before) > 0).drop(size)
-    )
-    local = Window.partitionBy(*keys, part).orderBy(*order)
-    ranked = pieces.withColumn(rank, F.row_number().over(local).cast("bigint"))
+    terms = [_Term(c) for c in order]
+    cuts = F.broadcast(_cuts(df, keys, terms, order, per_slice, sample))
     # Groups can have NULL keys, which `=` would not match.
-    on = [F.col(f"r.{c}").eqNullSafe(F.col(f"o.{c}")) for c in [*keys, part]]
-    joined = ranked.alias("r").join(F.broadcast(offsets.alias("o")), on, "left")
-    total = F.col(f"r.{rank}") + F.coalesce(F.col(f"o.{before}"), F.lit(0))
-    return joined.select(*[F.col(f"r.{c}") for c in df.columns], total.alias(rank))
+    on = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
+    own = [f"__k{i}" for i in range(len(keys))]
+
+    def sliced(frame: DataFrame, how: str) -> DataFrame:
+        joined = frame.join(cuts, on, how) if on else frame.join(cuts, how=how, on=F.lit(True))
+        steps = F.array(*[F.lit(1 << b) for b in range(max(sample // per_slice, 1).bit_length(), -1, -1)])
+
+        def step(at: Column, size: Column) -> Column:
+            cut = F.get("__cuts", at + size - 1)
+            reached = _not_after(terms, lambda i: cut[f"__o{i}"], lambda i: terms[i].value)
+            return F.when((at + size <= F.size("__cuts")) & reached, at + size).otherwise(at)
+
+        # The number of cuts not after a row, by halving.
+        place = F.when(F.col("__cuts").isNull(), 0).otherwise(F.aggregate(steps, F.lit(0), step))
+        return joined.withColumn("__slice", place).drop("__cuts", *own)
+
+    sizes = sliced(df, "inner").groupBy(*keys, "__slice").agg(F.count(F.lit(1)).alias("__size"))
+    earlier = Window.partitionBy(*keys).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(
+        *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
+        F.col("__slice").alias("__at"),
+        F.sum("__size").over(earlier).alias("__before"),
+    )
+    local = Window.partitionBy(*keys, "__slice").orderBy(*order)
+    ranked = sliced(df, "left").withColumn("__own", F.row_number().over(local).cast("bigint"))
+    ranked = ranked.join(F.broadcast(offsets), [*on, F.col("__slice") == F.col("__at")], "left")
+    total = F.col("__own") + F.coalesce(F.col("__before"), F.lit(0))
+    return ranked.select(*[F.col(c) for c in df.columns], total.alias(rank))
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()) -> DataFrame:

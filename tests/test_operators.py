@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import Row, Window
@@ -235,3 +236,26 @@ def test_buckets(spark):
 def test_percent_of_entities(spark):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (2, "a"), (3, "b")], "e int, l string")
     assert rows(profile.percent_of_entities(df, "e", "l")) == [("a", 2, 66.67), ("b", 1, 33.33)]
+
+
+@pytest.mark.parametrize(("per_slice", "sample"), [(1, 1 << 16), (3, 64), (8, 500)])
+def test_rank_rows_cuts_groups_by_every_column_of_the_order(spark, per_slice, sample):
+    """One key with most rows, one score for most of them, NULLs in keys and order."""
+    records = [
+        (None if i % 7 == 0 else "hot" if i % 7 < 6 else f"g{i}", None if i % 11 == 0 else float("nan") if i % 13 == 0 else float(i % 5 // 4), i % 2 == 0, f"id{i:04}")
+        for i in range(3000)
+    ]
+    df = spark.createDataFrame(records, "g string, score double, direct boolean, id string").repartition(5)
+    order = [F.col("score").desc(), F.col("direct").asc_nulls_last(), F.col("id").desc_nulls_first()]
+    for keys in (["g"], []):
+        found = ranking.rank_rows(df, keys, order, per_slice=per_slice, sample=sample)
+        expected = by_window(df.withColumn("one", F.lit(1)), keys or ["one"], order).drop("one")
+        # As texts, since NaN is not equal to itself.
+        assert sorted(map(str, rows(found))) == sorted(map(str, rows(expected)))
+
+
+def test_rank_rows_moves_full_rows_once(spark):
+    df = spark.range(1000).select((F.col("id") % 3).alias("g"), "id", F.uuid().alias("body"))
+    ranked = ranking.rank_rows(df, ["g"], [F.col("id")])
+    plan = ranked._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert len(re.findall(r"\) Exchange\nInput \[\d+\]: \[[^\]]*body#", plan)) == 1
