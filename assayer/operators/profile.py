@@ -12,9 +12,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from assayer.operators.lookups import keys_in
-from assayer.operators.ranking import first_per_key
-
-BLOCK = 4096
+from assayer.operators.ranking import (
+    PER_SLICE,
+    SAMPLE,
+    before_slices,
+    cut_groups,
+    first_per_key,
+    with_slices_before,
+)
 
 
 def count_by(df: DataFrame, *keys: str) -> DataFrame:
@@ -118,51 +123,36 @@ def decile(percent: Column) -> Column:
 
 
 def interval_coverage(
-    df: DataFrame, keys: Sequence[str], start: str, end: str, block: int = BLOCK
+    df: DataFrame,
+    keys: Sequence[str],
+    start: str,
+    end: str,
+    per_slice: int = PER_SLICE,
+    sample: int = SAMPLE,
 ) -> DataFrame:
     """Number of distinct positions that the closed integer intervals of a group cover.
 
-    Intervals are cut at block boundaries. In a block each position gets the
-    balance of intervals that start there or end right before, and a running sum
-    over positions tells where any is open. A block has no more positions than
-    its size, so neither a long interval nor a hot group makes a task large.
-    An interval that ends before it starts covers nothing.
+    Intervals are merged in the order of their starts: each adds what lies beyond
+    the furthest end before it. An interval is one row whatever its length, and
+    large groups are cut into slices by start and end (`cut_groups`), which get the
+    furthest end of the slices before; so neither a long interval nor a hot group
+    makes a task large. An interval that ends before it starts covers nothing.
     """
     first, last = F.col(start).cast("bigint"), F.col(end).cast("bigint")
-
-    def block_of(position: Column) -> Column:
-        return F.floor(position / block)
-
-    cut = (
-        df.select(*keys, first.alias("__s"), last.alias("__e"))
-        .filter("__s <= __e")
-        .withColumn("__b", F.explode(F.sequence(block_of(F.col("__s")), block_of(F.col("__e")))))
-        .select(
-            *keys,
-            "__b",
-            F.greatest("__s", F.col("__b") * block).alias("__s"),
-            (F.least("__e", F.col("__b") * block + block - 1) + 1).alias("__e"),
-        )
-    )
-    changes = F.explode(
-        F.array(
-            F.struct(F.col("__s").alias("at"), F.lit(1).alias("step")),
-            F.struct(F.col("__e").alias("at"), F.lit(-1).alias("step")),
-        )
-    )
-    balance = (
-        cut.select(*keys, "__b", changes.alias("c"))
-        .groupBy(*keys, "__b", F.col("c.at").alias("at"))
-        .agg(F.sum("c.step").alias("step"))
-    )
-    ordered = Window.partitionBy(*keys, "__b").orderBy("at")
-    runs = balance.select(
-        *keys,
-        F.sum("step").over(ordered).alias("open"),
-        (F.lead("at").over(ordered) - F.col("at")).alias("length"),
-    )
-    return runs.groupBy(*keys).agg(
-        F.coalesce(F.sum(F.when(F.col("open") > 0, F.col("length"))), F.lit(0)).alias("covered")
+    spans = df.select(*keys, first.alias("__s"), last.alias("__e"))
+    spans = spans.filter("__s <= __e").distinct()
+    order = [F.col("__s"), F.col("__e")]
+    sliced, large = cut_groups(spans, keys, order, per_slice, sample)
+    ends = large.groupBy(*keys, "__slice").agg(F.max("__e").alias("__end"))
+    before = before_slices(ends, keys, F.max("__end"), "__before")
+    earlier = Window.partitionBy(*keys, "__slice").orderBy(*order)
+    earlier = earlier.rowsBetween(Window.unboundedPreceding, -1)
+    sliced = sliced.withColumn("__reach", F.max("__e").over(earlier))
+    merged = with_slices_before(sliced, before, keys)
+    # Not coalesced: the greatest value leaves out NULLs, where nothing came before.
+    covered_to = F.greatest(F.col("__s") - 1, "__reach", "__before")
+    return merged.groupBy(*keys).agg(
+        F.sum(F.greatest(F.col("__e") - covered_to, F.lit(0))).alias("covered")
     )
 
 

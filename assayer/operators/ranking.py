@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -88,7 +89,9 @@ def _not_after(terms: Sequence[_Term], a: Callable[[int], Column], b: Callable[[
     return result
 
 
-def _cuts(df: DataFrame, keys: Sequence[str], terms: Sequence[_Term], order: Sequence[Column], per_slice: int, sample: int) -> DataFrame:
+def _cuts(
+    df: DataFrame, keys: Sequence[str], terms: Sequence[_Term], per_slice: int, sample: int
+) -> DataFrame:
     """Where groups are cut: per large group the first rows of its slices but one.
 
     A sample of some `sample` rows, chosen by their hash, is ranked in each group,
@@ -116,54 +119,89 @@ def _directed(term: _Term, column: Column) -> Column:
     return column.asc_nulls_first() if term.nulls_first else column.asc_nulls_last()
 
 
-def rank_rows(
+def cut_groups(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[Column],
-    rank: str = "rid",
     per_slice: int = PER_SLICE,
     sample: int = SAMPLE,
-) -> DataFrame:
-    """Number all rows of each group from 1; `order` should be a total order.
-
-    Without keys the frame is numbered as a whole. Full rows are shuffled once,
-    by group and slice; before that, passes over keys and order alone find the
-    cuts and count the rows of the slices of cut groups. Cuts and counts are
-    broadcast, as there are at most sample / per_slice of them. The frame must
-    have the same rows each time it is computed. Rows at the same place of the
-    order stay in one slice.
+) -> tuple[DataFrame, DataFrame]:
+    """The frame with a column `__slice`, and the same for large groups alone.
+
+    Slices follow each other in the order, and those of the largest groups have
+    about 1 / (sample / per_slice) of all rows; groups much smaller than that are
+    one slice, 0. Rows at the same place of the order stay in one slice. Passes over keys
+    and order alone find the cuts, which are broadcast, being at most
+    sample / per_slice in number. The frame must have the same rows each time it is
+    computed.
     """
     terms = [_Term(c) for c in order]
-    cuts = F.broadcast(_cuts(df, keys, terms, order, per_slice, sample))
-    # Groups can have NULL keys, which `=` would not match.
-    on = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
+    cuts = F.broadcast(_cuts(df, keys, terms, per_slice, sample))
     own = [f"__k{i}" for i in range(len(keys))]
+    steps = [F.lit(1 << b) for b in range(max(sample // per_slice, 1).bit_length(), -1, -1)]
 
-    def sliced(frame: DataFrame, how: str) -> DataFrame:
-        joined = frame.join(cuts, on, how) if on else frame.join(cuts, how=how, on=F.lit(True))
-        steps = F.array(*[F.lit(1 << b) for b in range(max(sample // per_slice, 1).bit_length(), -1, -1)])
+    def step(at: Column, size: Column) -> Column:
+        cut = F.get("__cuts", at + size - 1)
+        reached = _not_after(terms, lambda i: cut[f"__o{i}"], lambda i: terms[i].value)
+        return F.when((at + size <= F.size("__cuts")) & reached, at + size).otherwise(at)
 
-        def step(at: Column, size: Column) -> Column:
-            cut = F.get("__cuts", at + size - 1)
-            reached = _not_after(terms, lambda i: cut[f"__o{i}"], lambda i: terms[i].value)
-            return F.when((at + size <= F.size("__cuts")) & reached, at + size).otherwise(at)
+    # The number of cuts not after a row, by halving.
+    place = F.aggregate(F.array(*steps), F.lit(0), step)
+    place = F.when(F.col("__cuts").isNull(), 0).otherwise(place)
 
-        # The number of cuts not after a row, by halving.
-        place = F.when(F.col("__cuts").isNull(), 0).otherwise(F.aggregate(steps, F.lit(0), step))
+    def cut(how: str) -> DataFrame:
+        joined = df.join(cuts, same_keys(keys), how)
         return joined.withColumn("__slice", place).drop("__cuts", *own)
 
-    sizes = sliced(df, "inner").groupBy(*keys, "__slice").agg(F.count(F.lit(1)).alias("__size"))
+    return cut("left"), cut("inner")
+
+
+def same_keys(keys: Sequence[str]) -> Column:
+    """Keys equal those renamed to `__k0`, ...; NULL keys, which `=` would not match, too."""
+    on = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
+    return reduce(Column.__and__, on, F.lit(True))
+
+
+def before_slices(sizes: DataFrame, keys: Sequence[str], total: Column, name: str) -> DataFrame:
+    """For each slice (`__at`, with its group as `__k0`, ...) a total over the slices before.
+
+    There are about as many rows as cuts, so the result can be broadcast.
+    """
     earlier = Window.partitionBy(*keys).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
-        F.col("__slice").alias("__at"),
-        F.sum("__size").over(earlier).alias("__before"),
+    renamed = [F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]
+    return F.broadcast(
+        sizes.select(*renamed, F.col("__slice").alias("__at"), total.over(earlier).alias(name))
     )
+
+
+def with_slices_before(sliced: DataFrame, before: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of slices with the totals of `before_slices`; NULL for whole groups."""
+    on = same_keys(keys) & (F.col("__slice") == F.col("__at"))
+    return sliced.join(before, on, "left")
+
+
+def rank_rows(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Column],
+    rank: str = "rid",
+    per_slice: int = PER_SLICE,
+    sample: int = SAMPLE,
+) -> DataFrame:
+    """Number all rows of each group from 1; `order` should be a total order.
+
+    Without keys the frame is numbered as a whole. Full rows are shuffled once, by
+    group and slice (`cut_groups`); the rows of the slices of large groups are counted
+    before that.
+    """
+    sliced, large = cut_groups(df, keys, order, per_slice, sample)
+    sizes = large.groupBy(*keys, "__slice").agg(F.count(F.lit(1)).alias("__size"))
+    before = before_slices(sizes, keys, F.sum("__size"), "__before")
     local = Window.partitionBy(*keys, "__slice").orderBy(*order)
-    ranked = sliced(df, "left").withColumn("__own", F.row_number().over(local).cast("bigint"))
-    ranked = ranked.join(F.broadcast(offsets), [*on, F.col("__slice") == F.col("__at")], "left")
+    ranked = sliced.withColumn("__own", F.row_number().over(local).cast("bigint"))
     total = F.col("__own") + F.coalesce(F.col("__before"), F.lit(0))
-    return ranked.select(*[F.col(c) for c in df.columns], total.alias(rank))
+    found = with_slices_before(ranked, before, keys)
+    return found.select(*[F.col(c) for c in df.columns], total.alias(rank))
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()) -> DataFrame:

@@ -190,8 +190,30 @@ def interval_coverage(spark, sf_dir):
 
 @query("interval_coverage_blocks", COVERAGE_SQL.format(step=9))
 def interval_coverage_blocks(spark, sf_dir):
-    """Intervals over many blocks."""
-    return profile.interval_coverage(spans(spark, sf_dir, 9), ["grp"], "s", "e", block=16)
+    """Groups cut into many slices."""
+    return profile.interval_coverage(spans(spark, sf_dir, 9), ["grp"], "s", "e", per_slice=16)
+
+
+@query(
+    "interval_coverage_long",
+    """WITH spans AS (
+      SELECT l_returnflag AS grp, l_orderkey * 7000003 AS s,
+        l_orderkey * 7000003 + CASE WHEN l_linenumber = 1 THEN 1000000000 ELSE l_partkey * 10 END AS e
+      FROM lineitem),
+    ordered AS (SELECT grp, s, e, max(e) OVER (PARTITION BY grp ORDER BY s, e
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM spans),
+    islands AS (SELECT grp, s, e, sum(CASE WHEN s <= reach THEN 0 ELSE 1 END) OVER (
+      PARTITION BY grp ORDER BY s, e) AS island FROM ordered),
+    merged AS (SELECT grp, max(e) - min(s) + 1 AS covered FROM islands GROUP BY grp, island)
+    SELECT grp, CAST(sum(covered) AS BIGINT) AS covered FROM merged GROUP BY grp""",
+)
+def interval_coverage_long(spark, sf_dir):
+    """Intervals of 10^9 positions, in three groups of very many intervals."""
+    lines = table(spark, sf_dir, "lineitem")
+    start = F.col("l_orderkey") * 7000003
+    length = F.when(F.col("l_linenumber") == 1, 1000000000).otherwise(F.col("l_partkey") * 10)
+    df = lines.select(F.col("l_returnflag").alias("grp"), start.alias("s"), (start + length).alias("e"))
+    return profile.interval_coverage(df, ["grp"], "s", "e")
 
 
 @query(

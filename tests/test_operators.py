@@ -212,8 +212,8 @@ def test_ordered_differences(spark):
 # --- profile -----------------------------------------------------------------
 
 
-@pytest.mark.parametrize("block", [1, 4, 4096])
-def test_interval_coverage_by_brute_force(spark, block):
+@pytest.mark.parametrize("per_slice", [1, 4, 4096])
+def test_interval_coverage_by_brute_force(spark, per_slice):
     rng = random.Random(3)
     data = [
         ("hot" if i % 3 else f"g{i % 5}", s := rng.randint(-30, 60), s + rng.randint(-4, 25))
@@ -223,7 +223,7 @@ def test_interval_coverage_by_brute_force(spark, block):
     for g, s, e in data:
         covered.setdefault(g, set()).update(range(s, e + 1))
     df = spark.createDataFrame(data, "g string, s int, e int")
-    found = dict(rows(profile.interval_coverage(df, ["g"], "s", "e", block)))
+    found = dict(rows(profile.interval_coverage(df, ["g"], "s", "e", per_slice)))
     assert found == {g: len(p) for g, p in covered.items() if p}
 
 
