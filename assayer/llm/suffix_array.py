@@ -18,12 +18,19 @@ import numpy as np
 _BITS = 21
 
 
-def _sorted(*columns: np.ndarray) -> np.ndarray:
-    """Order of rows by columns, the first counting most."""
-    if len(columns) == 3 and max(int(c.max(initial=0)) for c in columns) < 1 << _BITS:
-        a, b, c = columns
-        return np.argsort((a << 2 * _BITS) | (b << _BITS) | c)
-    return np.lexsort(columns[::-1])
+def _sorted(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order of triples, and which of the sorted ones differ from the one before."""
+    new = np.ones(len(a), bool)
+    if max(int(x.max(initial=0)) for x in (a, b, c)) < 1 << _BITS:
+        key = (a << 2 * _BITS) | (b << _BITS) | c
+        order = np.argsort(key)
+        key = key[order]
+        new[1:] = key[1:] != key[:-1]
+        return order, new
+    order = np.lexsort((c, b, a))
+    a, b, c = a[order], b[order], c[order]
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (c[1:] != c[:-1])
+    return order, new
 
 
 def suffix_order(text: np.ndarray, depth: int, stands_for: int = 1) -> np.ndarray:
@@ -42,30 +49,27 @@ def suffix_order(text: np.ndarray, depth: int, stands_for: int = 1) -> np.ndarra
     # A sample place behind the end keeps the two parts of the names apart.
     places = [np.arange(r, n + (n % 3 == 1), 3) for r in (1, 2)]
     sample = np.concatenate(places)
-    order = _sorted(t[sample], t[sample + 1], t[sample + 2])
-    ranked = sample[order]
-    new = np.zeros(len(ranked), bool)
-    for k in range(3):
-        new[1:] |= t[ranked[1:] + k] != t[ranked[:-1] + k]
-    if stands_for * 3 < depth and not new[1:].all():
+    order, new = _sorted(t[sample], t[sample + 1], t[sample + 2])
+    if stands_for * 3 < depth and not new.all():
         names = np.empty(len(sample), np.int64)
-        names[order] = np.cumsum(new) + 1
+        names[order] = np.cumsum(new)
         order = suffix_order(names, depth, stands_for * 3)
-        ranked = sample[order]
+    ranked, is_one = sample[order], order < len(places[0])
     rank = np.zeros(n + 4, np.int64)
     rank[ranked] = np.arange(1, len(ranked) + 1)
-    ranked = ranked[ranked < n]
+    if n % 3 == 1:
+        ranked, is_one = ranked[ranked < n], is_one[ranked < n]
     # The others by character and rest, then where they belong in the sample.
     other = np.arange(0, n, 3)
     other = other[np.argsort(t[other] * base + rank[other + 1])]
-    ones, twos = (ranked[ranked % 3 == r] for r in (1, 2))
+    ones, twos = ranked[is_one], ranked[~is_one]
     before = np.searchsorted(t[ones] * base + rank[ones + 1], t[other] * base + rank[other + 1])
-    # Of the two-character keys only the order matters: name them first.
-    both = np.concatenate([t[twos] * base + t[twos + 1], t[other] * base + t[other + 1]])
-    names = np.unique(both, return_inverse=True)[1]
-    before += np.searchsorted(
-        names[: len(twos)] * base + rank[twos + 2], names[len(twos) :] * base + rank[other + 2]
-    )
+    pairs = [t[x] * base + t[x + 1] for x in (twos, other)]
+    if base > 1 << _BITS:
+        names = np.unique(np.concatenate(pairs), return_inverse=True)[1]
+        pairs = [names[: len(twos)], names[len(twos) :]]
+    keys = (p * base + rank[x + 2] for p, x in zip(pairs, (twos, other), strict=True))
+    before += np.searchsorted(*keys)
     # Where suffixes do not differ within the depth, ranks may cross: straighten them.
     at = np.maximum.accumulate(before) + np.arange(len(other))
     merged = np.empty(n, np.int64)

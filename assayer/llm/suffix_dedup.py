@@ -48,9 +48,11 @@ PART = 20
 # Text bytes of a block; of input for each range of minimizers and of pieces.
 BLOCK_BYTES, NAME_BYTES, PIECE_BYTES = 8 << 20, 8 << 20, 2 << 20
 # Bytes hashed at once, suffixes of a piece, bytes sorted at once.
-STRIDE, RUN, CHUNK = 1 << 20, 64, 1 << 20
+STRIDE, RUN, CHUNK = 1 << 20, 64, 1 << 18
 # Runs of a minimizer that are sorted in one place; more are dealt on.
 OFTEN = 8192
+# Parts that the documents of one text are dealt to.
+SALTS = 8
 MANY = 0x8000
 
 # Rows that the workers make, as Arrow and as Spark types.
@@ -120,7 +122,9 @@ class Runs:
     """
 
     def __init__(self, data: np.ndarray, sizes: np.ndarray, takes_part: np.ndarray) -> None:
-        ends = np.cumsum(sizes)
+        ends, row = np.cumsum(sizes), np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        # The last place of a document that a passage can start at.
+        last = np.where(takes_part, ends - SIZE, -1)
         parts = []
         for low in range(0, len(data), STRIDE):
             value = data[low : low + STRIDE + SIZE - 1]
@@ -128,8 +132,8 @@ class Runs:
                 break
             value = minimizers(value, SIZE, PART)
             place = np.arange(low, low + len(value))
-            doc = np.searchsorted(ends, place, "right")
-            good = (place + SIZE <= ends[doc]) & takes_part[doc]
+            doc = row[low : low + len(value)]
+            good = place <= last[doc]
             value, place, doc = value[good], place[good], doc[good]
             new = np.ones(len(value), bool)
             new[1:] = (value[1:] != value[:-1]) | (place[1:] != place[:-1] + 1)
@@ -192,7 +196,8 @@ class Pieces:
 
     def __init__(self, block: Block, codes: np.ndarray, buckets: int) -> None:
         runs = block.runs
-        place = np.searchsorted(np.unique(runs.names), runs.names)
+        ranked = np.sort(runs.names)
+        place = np.searchsorted(ranked[np.diff(ranked, prepend=~ranked[:1]) != 0], runs.names)
         left = np.flatnonzero(codes[place] > 0)
         code = codes[place[left]].astype(np.int64)
         # Often met minimizers go by single suffixes.
@@ -375,8 +380,11 @@ def _gone(packed: DataFrame, size: int) -> DataFrame:
     each = each.select("block", "row", "d.ids", "d.sizes", F.col("d.digests").alias("digest"))
     each = each.filter((F.col("sizes") >= size) & F.col("ids").isNotNull())
     least = each.groupBy(F.col("digest").alias("known")).agg(F.min("ids").alias("least"), F.max("ids").alias("most"))
-    least = least.filter("least < most").drop("most")
-    found = each.join(least, (F.col("digest") == F.col("known")) & (F.col("ids") > F.col("least")))
+    # Salted, as very many documents may be the same.
+    salts = F.explode(F.array(*[F.lit(i) for i in range(SALTS)])).alias("salt")
+    least = least.filter("least < most").select("known", "least", salts)
+    same = (F.col("digest") == F.col("known")) & (F.pmod("row", F.lit(SALTS)) == F.col("salt"))
+    found = each.join(least, same & (F.col("ids") > F.col("least")))
     return found.select(F.shiftright("block", 32).alias("part"), "block", "row")
 
 
@@ -466,20 +474,26 @@ def finished(block: Block, pieces: Pieces, found: list[dict], rows: int = 512) -
     own = block.owner[pieces.docs] > pieces.owner[pieces.piece]
     removed = later[expand(first[pieces.piece], pieces.counts)] | np.repeat(own, pieces.counts)
     places = expand(pieces.starts, pieces.counts)[removed]
-    change = np.zeros(len(block.data) + 1, np.int32)
-    np.add.at(change, places, 1)
-    np.add.at(change, places + SIZE, -1)
-    covered = np.cumsum(change[:-1], dtype=np.int32) > 0
+    # A byte is covered if a removed passage starts at one of the last places.
+    begun = np.zeros(len(block.data), bool)
+    begun[places] = True
+    begun = np.cumsum(begun, dtype=np.int32)
+    covered = begun > np.concatenate([np.zeros(SIZE, np.int32), begun[:-SIZE]])[: len(begun)]
     ends = np.cumsum(block.sizes)
     for k, i, j in zip(range(len(ends)), (ends - block.sizes).tolist(), ends.tolist(), strict=False):
         if k in block.gone:
             covered[i:j] = True
+    before = np.concatenate([[0], np.cumsum(covered)])
+    some = (before[ends] > before[ends - block.sizes]).tolist()
+
     def documents() -> Iterator[dict]:
         for k, (i, j) in enumerate(zip((ends - block.sizes).tolist(), ends.tolist(), strict=True)):
-            mine = covered[i:j]
-            edges = np.flatnonzero(np.diff(mine.astype(np.int8), prepend=0, append=0)).reshape(-1, 2).tolist()
-            kept = block.data[i:j][~mine].tobytes() if edges else block.content[i:j]
-            spans = [{"start": a, "end": b} for a, b in edges]
+            spans, kept = [], block.content[i:j]
+            if some[k]:
+                mine = np.concatenate([[False], covered[i:j], [False]])
+                edges = np.flatnonzero(mine[1:] != mine[:-1]).reshape(-1, 2).tolist()
+                spans = [{"start": a, "end": b} for a, b in edges]
+                kept = block.data[i:j][~mine[1:-1]].tobytes()
             yield {"doc_id": block.ids[k], "n_bytes": j - i, "spans": spans, "kept": kept}
 
     yield from _batches(documents(), SPANS, rows)
