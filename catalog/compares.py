@@ -189,24 +189,36 @@ def dup_ids(spark, sf_dir):
     return compare.repeated_ids(lines, other, ["l_partkey", "l_suppkey"], ["grp"])
 
 
+def repeats_sql(fields: dict[str, str]) -> str:
+    """Differences of `a` and `b` by order and line, from what one of both has more often.
+
+    `fields` has the condition for a difference in each.
+    """
+    names = ", ".join(fields)
+    keys = "l_orderkey, l_linenumber"
+    number = f"row_number() OVER (PARTITION BY {keys} ORDER BY {names}) AS n"
+    off = ", ".join(f"CASE WHEN {c} THEN '{f}' END" for f, c in fields.items())
+    return f"""
+    lo AS (SELECT * FROM a EXCEPT ALL SELECT * FROM b),
+    ro AS (SELECT * FROM b EXCEPT ALL SELECT * FROM a),
+    x AS (SELECT *, {number} FROM lo),
+    y AS (SELECT *, {number} FROM ro)
+    SELECT * FROM (
+      SELECT coalesce(x.l_orderkey, y.l_orderkey) AS l_orderkey,
+        coalesce(x.l_linenumber, y.l_linenumber) AS l_linenumber,
+        CASE WHEN x.n IS NULL THEN '__missing_left' WHEN y.n IS NULL THEN '__missing_right'
+          ELSE concat_ws(',', {off}) END AS fields
+      FROM x FULL JOIN y USING ({keys}, n)) WHERE fields <> ''"""
+
+
 @query(
     "frame_diff_repeats",
     """WITH a AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem),
     b AS (SELECT l_orderkey, l_linenumber,
         l_partkey + CASE WHEN l_partkey % 97 = 5 THEN 1 ELSE 0 END AS l_partkey, l_suppkey
       FROM lineitem WHERE l_suppkey % 50 <> 3
-      UNION ALL SELECT * FROM a WHERE l_partkey % 101 = 7),
-    x AS (SELECT *, row_number() OVER (
-      PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey) AS n FROM a),
-    y AS (SELECT *, row_number() OVER (
-      PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey) AS n FROM b)
-    SELECT * FROM (
-      SELECT coalesce(x.l_orderkey, y.l_orderkey) AS l_orderkey,
-        coalesce(x.l_linenumber, y.l_linenumber) AS l_linenumber,
-        CASE WHEN x.n IS NULL THEN '__missing_left' WHEN y.n IS NULL THEN '__missing_right'
-          ELSE concat_ws(',', CASE WHEN x.l_partkey <> y.l_partkey THEN 'l_partkey' END,
-            CASE WHEN x.l_suppkey <> y.l_suppkey THEN 'l_suppkey' END) END AS fields
-      FROM x FULL JOIN y USING (l_orderkey, l_linenumber, n)) WHERE fields <> ''""",
+      UNION ALL SELECT * FROM a WHERE l_partkey % 101 = 7),"""
+    + repeats_sql({f: f"x.{f} <> y.{f}" for f in ("l_partkey", "l_suppkey")}),
 )
 def frame_diff_repeats(spark, sf_dir):
     """Equality by a key that repeats: changed, missing and doubled records."""
@@ -217,3 +229,73 @@ def frame_diff_repeats(spark, sf_dir):
     right = right.unionByName(left.filter(part % 101 == 7))
     found = compare.differences(left, right, ["l_orderkey", "l_linenumber"])
     return found.withColumn("fields", F.array_join("fields", ","))
+
+
+# Of each record two copies a little apart; the other frame has the small
+# differences the other way round, and some prices and flags are changed for good.
+NEAR_SQL = """WITH a AS (
+  SELECT l_orderkey, l_linenumber, l_quantity::DOUBLE + CASE WHEN c = 1 THEN 0 ELSE 0.0000001 END AS qty,
+    l_returnflag || c AS flag FROM lineitem, (VALUES (1), (2)) t(c)),
+b AS (
+  SELECT l_orderkey, l_linenumber, l_quantity::DOUBLE + CASE WHEN c = 1 THEN 0.0000001 ELSE 0 END
+      + CASE WHEN l_partkey % 89 = 3 THEN 0.5 ELSE 0 END AS qty,
+    CASE WHEN l_suppkey % 41 = 2 THEN 'Q' || c ELSE l_returnflag || c END AS flag
+  FROM lineitem, (VALUES (1), (2)) t(c) WHERE l_suppkey % 43 <> 5),"""
+
+
+@query(
+    "frame_diff_tolerance_repeats",
+    NEAR_SQL
+    + """
+    -- Values are tenths apart at least, or less than the tolerance.
+    s AS (SELECT l_orderkey, l_linenumber, flag, round(qty, 3) AS near, 1 AS side, qty FROM a
+      UNION ALL SELECT l_orderkey, l_linenumber, flag, round(qty, 3) AS near, -1 AS side, qty FROM b),
+    m AS (SELECT l_orderkey, l_linenumber, flag, near, sum(side) AS n FROM s GROUP BY ALL HAVING n <> 0),
+    o AS (SELECT l_orderkey, l_linenumber, flag, near, n > 0 AS mine, unnest(generate_series(1, abs(n)::INT)) AS c FROM m),
+    r AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber, mine ORDER BY flag, near, c) AS k FROM o),
+    x AS (SELECT * FROM r WHERE mine), y AS (SELECT * FROM r WHERE NOT mine)
+    SELECT * FROM (SELECT coalesce(x.l_orderkey, y.l_orderkey) AS l_orderkey,
+        coalesce(x.l_linenumber, y.l_linenumber) AS l_linenumber,
+        CASE WHEN x.k IS NULL THEN '__missing_left' WHEN y.k IS NULL THEN '__missing_right'
+          ELSE concat_ws(',', CASE WHEN x.near <> y.near THEN 'qty' END,
+            CASE WHEN x.flag <> y.flag THEN 'flag' END) END AS fields
+      FROM x FULL JOIN y USING (l_orderkey, l_linenumber, k)) WHERE fields <> ''""",
+)
+def frame_diff_tolerance_repeats(spark, sf_dir):
+    """Repeats of a key whose order turns around within the tolerance."""
+    lines = table(spark, sf_dir, "lineitem")
+    lines = lines.withColumn("c", F.explode(F.array(F.lit(1), F.lit(2))))
+    qty, flag, first = F.col("l_quantity").cast("double"), text(F.col("l_returnflag"), F.col("c")), F.col("c") == 1
+    keys = ["l_orderkey", "l_linenumber"]
+    left = lines.select(*keys, (qty + F.when(first, 0.0).otherwise(1e-7)).alias("qty"), flag.alias("flag"))
+    more = F.when(F.col("l_partkey") % 89 == 3, 0.5).otherwise(0.0)
+    other = F.when(F.col("l_suppkey") % 41 == 2, text(F.lit("Q"), F.col("c"))).otherwise(flag)
+    right = lines.filter("l_suppkey % 43 <> 5").select(
+        *keys, (qty + F.when(first, 1e-7).otherwise(0.0) + more).alias("qty"), other.alias("flag")
+    )
+    found = compare.differences(left, right, keys)
+    return found.withColumn("fields", F.array_join("fields", ","))
+
+
+@query(
+    "field_diff_repeats",
+    """WITH a AS (SELECT l_orderkey AS id, l_returnflag AS flag, l_partkey AS part FROM lineitem WHERE l_linenumber <= 2),
+    b AS (SELECT l_orderkey AS id, l_returnflag AS flag, l_partkey + l_partkey % 2 AS part FROM lineitem
+      WHERE l_linenumber <= 1 OR l_linenumber = 4),
+    n AS (SELECT id, sum(l) AS l, sum(r) AS r FROM (SELECT id, 1 AS l, 0 AS r FROM a
+      UNION ALL SELECT id, 0, 1 FROM b) GROUP BY id HAVING sum(l) > 0 AND sum(r) > 0),
+    p AS (SELECT a.flag AS grp, a.flag AS aflag, b.flag AS bflag, a.part AS apart, b.part AS bpart
+      FROM n JOIN a USING (id) JOIN b USING (id) WHERE n.l = 1 AND n.r = 1)
+    SELECT grp AS flag, 'flag' AS field, 'not_null' AS status, aflag = bflag AS equal, count(*) AS count
+    FROM p GROUP BY ALL
+    UNION ALL SELECT grp, 'part', 'not_null', apart = bpart, count(*) FROM p GROUP BY ALL
+    UNION ALL SELECT NULL, '__repeated', CASE WHEN r = 1 THEN 'v1_repeated' WHEN l = 1 THEN 'v2_repeated'
+      ELSE 'both_repeated' END, false, count(*) FROM n WHERE l > 1 OR r > 1 GROUP BY ALL""",
+)
+def field_diff_repeats(spark, sf_dir):
+    """Ids that repeat on one side or both are counted as such."""
+    lines = table(spark, sf_dir, "lineitem").withColumnsRenamed({"l_orderkey": "id", "l_returnflag": "flag"})
+    part = F.col("l_partkey")
+    left = lines.filter("l_linenumber <= 2").select("id", "flag", part.alias("part"))
+    right = lines.filter("l_linenumber IN (0, 1, 4)").select("id", "flag", (part + part % 2).alias("part"))
+    return compare.field_report(left, right, ["id"], ["flag", "part"], ["flag"])

@@ -127,6 +127,56 @@ def test_differences_count_repeats(spark):
     assert compare.differences(left, left, ["k"]).isEmpty()
 
 
+def test_differences_match_repeats_within_the_tolerance(spark):
+    """Records that agree within the tolerance, whatever the order of their values."""
+    schema = "k int, v double, u double, w string"
+    left = [(1, 1.0, 2.0, "x"), (1, 1.0000001, 2.0, "y"), (2, 5.0, 1.0, "z"), (2, 5.0000001, 7.0, "z")]
+    right = [(1, 1.0000001, 2.0, "x"), (1, 1.0, 2.0, "y"), (2, 5.0000001, 1.0, "z"), (2, 5.0, 7.0, "z")]
+    one, two = (spark.createDataFrame(r, schema) for r in (left, right))
+    assert compare.differences(one, two, ["k"]).isEmpty()
+    assert compare.differences(two, one, ["k"]).isEmpty()
+    more = spark.createDataFrame([*right, (1, 1.0000002, 2.0, "x"), (3, float("nan"), None, None)], schema)
+    found = sorted((r.k, r.fields) for r in compare.differences(one, more, ["k"]).collect())
+    assert found == [(1, ["__missing_left"]), (3, ["__missing_left"])]
+    # A chain of near values is not one value.
+    chain = spark.createDataFrame([(1, 0.0, 0.0, "a"), (1, 9e-7, 0.0, "a")], schema)
+    other = spark.createDataFrame([(1, 9e-7, 0.0, "a"), (1, 1.8e-6, 0.0, "a")], schema)
+    found = [(r.k, r.fields) for r in compare.differences(chain, other, ["k"]).collect()]
+    assert found == [(1, ["v"])]
+
+
+def test_equal_frames_move_digests_only(spark, plan):
+    df = spark.range(500).select((F.col("id") % 7).alias("k"), F.uuid().alias("body"), "id")
+    text = plan(compare.unequal_records(df, df, ["k"]))
+    physical = text[text.index("== Physical Plan ==") :]
+    assert "Window" not in physical and "SortAggregate" not in physical
+
+
+def test_repeated_ids_are_named(spark):
+    left = spark.createDataFrame([(1, 1.0), (1, 2.0), (2, 1.0), (4, 1.0), (4, 1.0)], "id int, v double")
+    right = spark.createDataFrame([(1, 1.0), (2, 1.5), (3, 1.0), (3, 1.0)], "id int, v double")
+    assert rows(compare.repeated_between(left, right, ["id"])) == [(1, 2, 1)]
+    assert rows(compare.field_report(left, right, ["id"], ["v"])) == [
+        ("__repeated", "v1_repeated", False, 1), ("v", "not_null", False, 1),
+    ]
+    found = rows(compare.score_report(left, right, ["id"], "v"))
+    assert sorted(map(str, found)) == sorted(
+        map(str, [(False, False, False, 2), (False, True, None, 1), (True, False, None, 1)])
+    )
+
+
+@pytest.mark.parametrize("report", ["presence", "carry", "fields", "scores"])
+def test_reports_aggregate_in_fixed_width(spark, plan, report):
+    left = spark.createDataFrame([(1, "a", 1.0)], "id int, s string, v double")
+    found = {
+        "presence": lambda: compare.presence(left, left, ["id"]),
+        "carry": lambda: compare.presence(left, left, ["id"], ["s"]),
+        "fields": lambda: compare.field_report(left, left, ["id"], ["s", "v"], ["s"]),
+        "scores": lambda: compare.score_report(left, left, ["id"], "v"),
+    }[report]()
+    assert "SortAggregate" not in plan(found)
+
+
 def test_rank_rows_splits_groups(skewed):
     order = [F.col("v").desc(), F.col("i")]
     assert rows(ranking.rank_rows(skewed, ["g"], order)) == rows(by_window(skewed, ["g"], order))
