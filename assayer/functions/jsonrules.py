@@ -4,6 +4,10 @@ A record is a JSON object with string values at four places and, if a schema is
 given, conforms to it. The schema is a JSON-Schema document as a Python dict; its
 keywords become predicates on the parsed text, so the check runs in the JVM and
 nothing but the plan is shipped to executors.
+
+A definition that refers to itself, directly or over others, is compiled once. The
+values it applies to are found level by level: those in the document first, then
+those that these refer to, for as many levels as the document can have.
 """
 
 from __future__ import annotations
@@ -32,12 +36,20 @@ FORMATS = {"date-time": is_iso_datetime, "uri": is_nonblank_uri}
 
 ANNOTATIONS = {
     "$schema", "$id", "$comment", "id", "title", "description", "default",
-    "definitions", "examples", "version",
+    "definitions", "$defs", "examples", "version", "readOnly", "writeOnly", "deprecated",
 }
 
 Violation = tuple[Column, str]
 
 
+class Rules(dict):
+    """A whole schema with the pointers to its recursive definitions."""
+
+    def __init__(self, schema: Mapping) -> None:
+        super().__init__(schema)
+        self.recursive = _recursive(self)
+
+
 @dataclass(frozen=True)
 class Node:
     """A place in a parsed text: a variant column and a path below it."""
@@ -58,6 +70,18 @@ class Node:
             raise ValueError(f"property name with a quote: {name}")
         return Node(self.base, f"{self.path}['{name}']", f"{self.pointer}/{name}")
 
+    def item(self, index: int) -> Node:
+        return Node(self.base, f"{self.path}[{index}]", f"{self.pointer}/{index}")
+
+    @property
+    def items(self) -> Column:
+        return self.get("array<variant>")
+
+    @property
+    def entries(self) -> Column:
+        """Keys and values of an object; NULL for anything else."""
+        return F.map_entries(self.get("map<string,variant>"))
+
     @property
     def kind(self) -> Column:
         return F.schema_of_variant(self.value)
@@ -110,9 +134,11 @@ def string_at(node: Node) -> Column:
     return F.when(node.kind == "STRING", node.get("string"))
 
 
-def violations(schema: Mapping, node: Node, root: Mapping | None = None) -> list[Violation]:
+def violations(schema: Mapping | bool, node: Node, root: Rules | None = None) -> list[Violation]:
     """Conditions under which a value breaks a schema, in the order of its rules."""
-    root = schema if root is None else root
+    if isinstance(schema, bool):
+        return [] if schema else [(node.present, _message(node, "false"))]
+    root = Rules(schema) if root is None else root
     found: list[Violation] = []
     for keyword, rule in schema.items():
         if keyword in ANNOTATIONS:
@@ -137,14 +163,133 @@ def _message(node: Node, keyword: str) -> str:
 # reading of it is NULL. So only rules that count need to ask for presence.
 
 
-def resolved(schema: Mapping, root: Mapping) -> Mapping:
+def resolved(schema: Mapping | bool, root: Mapping) -> Mapping:
     """A schema or what it refers to."""
+    if isinstance(schema, bool):
+        return {}
     if "$ref" not in schema:
         return schema
-    pointer = schema["$ref"]
-    if not pointer.startswith("#/"):
+    return resolved(definition(schema["$ref"], root), root)
+
+
+def definition(pointer: str, root: Mapping) -> Mapping:
+    """What a pointer refers to; `#` is the whole schema."""
+    if pointer != "#" and not pointer.startswith("#/"):
         raise ValueError(f"only references within the document are supported: {pointer}")
-    return resolved(reduce(lambda doc, part: doc[part], pointer[2:].split("/"), root), root)
+    parts = [p.replace("~1", "/").replace("~0", "~") for p in pointer.split("/")[1:]]
+    return reduce(lambda doc, part: doc[int(part) if isinstance(doc, list) else part], parts, root)
+
+
+def _references(rule) -> set[str]:
+    """All pointers that a part of a schema mentions."""
+    if isinstance(rule, Mapping):
+        own = {rule["$ref"]} if isinstance(rule.get("$ref"), str) else set()
+        return own.union(*[_references(v) for k, v in rule.items() if k not in ("definitions", "$defs")])
+    return set().union(*[_references(v) for v in rule]) if isinstance(rule, list) else set()
+
+
+def _recursive(root: Mapping) -> list[str]:
+    """Pointers to definitions that refer to themselves, directly or over others."""
+    after: dict[str, set[str]] = {}
+    open_ = list(_references(root))
+    while open_:
+        pointer = open_.pop()
+        if pointer not in after:
+            after[pointer] = _references(definition(pointer, root))
+            open_ += after[pointer]
+    for _ in after:
+        for reached in after.values():
+            reached |= set().union(*[after[p] for p in reached])
+    return sorted(p for p, reached in after.items() if p in reached)
+
+
+def _none() -> Column:
+    return F.array().cast("array<variant>")
+
+
+def _all(found: list[Column]) -> Column:
+    """Arrays of values as one, without missing values."""
+    known = [F.coalesce(c, _none()) for c in found]
+    return F.filter(F.concat(*known), lambda v: v.isNotNull()) if known else _none()
+
+
+def referred(schema: Mapping | bool, node: Node, root: Mapping, pointer: str) -> list[Column]:
+    """Arrays of the values of a document to which a recursive definition applies,
+    as far as a schema says without going into recursive definitions.
+    """
+    if isinstance(schema, bool) or pointer not in _reach(schema, root):
+        return []
+
+    def each(values: Column, sub) -> list[Column]:
+        if pointer not in _reach(sub, root):
+            return []
+        return [F.flatten(F.transform(values, lambda v: _all(referred(sub, Node(v), root, pointer))))]
+
+    found: list[Column] = []
+    for keyword, rule in schema.items():
+        if keyword == "$ref":
+            if rule == pointer:
+                found.append(F.array(node.value))
+            elif rule not in root.recursive:
+                found += referred(definition(rule, root), node, root, pointer)
+        elif keyword == "properties":
+            found += [c for n, sub in rule.items() for c in referred(sub, node.child(n), root, pointer)]
+        elif keyword == "allOf":
+            found += [c for sub in rule for c in referred(sub, node, root, pointer)]
+        elif keyword in ("items", "prefixItems") and isinstance(rule, list):
+            found += [c for i, sub in enumerate(rule) for c in referred(sub, node.item(i), root, pointer)]
+        elif keyword == "items":
+            found += each(_rest(node.items, schema), rule)
+        elif keyword == "patternProperties":
+            for pattern, sub in rule.items():
+                found += each(_values(node, _named_like(pattern)), sub)
+        elif keyword == "additionalProperties":
+            found += each(_values(node, _not_named(schema)), rule)
+        elif keyword not in ANNOTATIONS and pointer in _reach(rule, root):
+            raise ValueError(f"recursion below {keyword} is not supported")
+    return found
+
+
+def _reach(rule, root: Mapping) -> set[str]:
+    """Recursive pointers that a part of a schema comes to without passing one."""
+    recursive, found, open_ = root.recursive, set(), list(_references(rule))
+    seen: set[str] = set()
+    while open_:
+        pointer = open_.pop()
+        if pointer in recursive:
+            found.add(pointer)
+        elif pointer not in seen:
+            seen.add(pointer)
+            open_ += _references(definition(pointer, root))
+    return found
+
+
+def _named_like(pattern: str):
+    return lambda key: key.rlike(pattern)
+
+
+def _not_named(schema: Mapping):
+    """Whether a key is additional: neither a property nor like a pattern."""
+    names = [F.lit(n) for n in schema.get("properties", {})]
+    patterns = list(schema.get("patternProperties", {}))
+    known = F.array(*names).cast("array<string>")
+
+    def test(key: Column) -> Column:
+        like = [key.rlike(p) for p in patterns]
+        return reduce(lambda a, b: a & ~b, like, ~F.array_contains(known, key))
+
+    return test
+
+
+def _values(node: Node, test) -> Column:
+    """Values of an object whose keys pass a test."""
+    return F.transform(F.filter(node.entries, lambda e: test(e["key"])), lambda e: e["value"])
+
+
+def _rest(items: Column, schema: Mapping) -> Column:
+    """Items behind those that `prefixItems` speaks of."""
+    first = len(schema.get("prefixItems", []))
+    return F.slice(items, first + 1, F.greatest(F.size(items), F.lit(1))) if first else items
 
 
 def scalar_hints(schema: Mapping, root: Mapping) -> list[str]:
@@ -155,6 +300,8 @@ def scalar_hints(schema: Mapping, root: Mapping) -> list[str]:
     """
     small = []
     for name, sub in schema.get("properties", {}).items():
+        if isinstance(sub, Mapping) and sub.get("$ref") in root.recursive:
+            continue
         kinds = resolved(sub, root).get("type", "object")
         if not {"object", "array"} & set([kinds] if isinstance(kinds, str) else kinds):
             small.append(name)
@@ -163,7 +310,8 @@ def scalar_hints(schema: Mapping, root: Mapping) -> list[str]:
 
 def is_present(node: Node, schema: Mapping, root: Mapping) -> Column:
     """Whether there is a value, by its small properties before all of it."""
-    hints = scalar_hints(resolved(schema, root), root)
+    recursive = isinstance(schema, Mapping) and schema.get("$ref") in root.recursive
+    hints = [] if recursive else scalar_hints(resolved(schema, root), root)
     return reduce(lambda a, b: a | b, [*[node.child(h).present for h in hints], node.present])
 
 
@@ -185,19 +333,98 @@ def _properties(rule, node, schema, root):
     return [v for name, sub in rule.items() for v in violations(sub, node.child(name), root)]
 
 
+def _broken(values: Column, rule, root) -> Column:
+    """Whether any of some values breaks a schema; NULL if there can be none."""
+    return F.exists(values, lambda v: ~complies(rule, Node(v), root))
+
+
 def _additional(rule, node, schema, root):
-    if rule is not False:
-        raise ValueError("additionalProperties is supported as false only")
-    allowed = F.array(*[F.lit(n) for n in schema.get("properties", {})]).cast("array<string>")
-    keys = F.map_keys(node.get("map<string,variant>"))
-    extra = F.array_size(F.array_except(keys, allowed)) > 0
     # Anything but an object has no keys, which makes the condition NULL.
+    extra = _broken(_values(node, _not_named(schema)), rule, root)
     return [(extra, _message(node, "additionalProperties"))]
 
 
+def _pattern_properties(rule, node, schema, root):
+    return [
+        (_broken(_values(node, _named_like(p)), sub, root), _message(node, "patternProperties"))
+        for p, sub in rule.items()
+    ]
+
+
+def _property_names(rule, node, schema, root):
+    keys = F.transform(node.entries, lambda e: e["key"])
+    # A name as a value of its own.
+    named = F.transform(keys, lambda k: F.parse_json(F.to_json(F.array(k))))
+    broken = F.exists(named, lambda v: ~complies(rule, Node(v, "$[0]"), root))
+    return [(broken, _message(node, "propertyNames"))]
+
+
+def _dependencies(rule, node, schema, root):
+    found = []
+    for name, needed in rule.items():
+        here = node.child(name).present
+        if isinstance(needed, list):
+            found += [
+                (here & ~node.child(n).present, _message(node, "dependencies")) for n in needed
+            ]
+        else:
+            found.append((here & ~complies(needed, node, root), _message(node, "dependencies")))
+    return found
+
+
+def _size_rule(keyword, part, broken):
+    def rule_violations(rule, node, schema, root):
+        return [(broken(F.array_size(part(node)), rule), _message(node, keyword))]
+
+    return rule_violations
+
+
+def _texts(values) -> list[str]:
+    """Values as a variant is written: objects with their keys in order."""
+    return [json.dumps(v, ensure_ascii=False, separators=(",", ":"), sort_keys=True) for v in values]
+
+
+def _equals(node: Node, values) -> Column:
+    """Whether a value is one of some; numbers by value, however they are written."""
+    numbers = [float(v) for v in values if isinstance(v, (int, float)) and not isinstance(v, bool)]
+    same = F.to_json(node.value).isin(*_texts(values))
+    if numbers:
+        number = F.when(is_type(node, "number"), node.get("double"))
+        same |= F.coalesce(number.isin(*numbers), F.lit(False))
+    return same
+
+
 def _enum(rule, node, schema, root):
-    texts = [json.dumps(v, ensure_ascii=False, separators=(",", ":")) for v in rule]
-    return [(~F.to_json(node.value).isin(*texts), _message(node, "enum"))]
+    return [(~_equals(node, rule), _message(node, "enum"))]
+
+
+def _const(rule, node, schema, root):
+    return [(~_equals(node, [rule]), _message(node, "const"))]
+
+
+def _not(rule, node, schema, root):
+    return [(complies(rule, node, root) & node.present, _message(node, "not"))]
+
+
+def _if(rule, node, schema, root):
+    holds = complies(rule, node, root)
+    found = []
+    for keyword, case in (("then", holds), ("else", ~holds)):
+        if keyword in schema:
+            broken = case & ~complies(schema[keyword], node, root) & node.present
+            found.append((broken, _message(node, keyword)))
+    return found
+
+
+def _unique_items(rule, node, schema, root):
+    texts = F.transform(node.items, lambda item: F.to_json(item))
+    repeated = F.array_size(F.array_distinct(texts)) < F.array_size(texts)
+    return [(repeated, _message(node, "uniqueItems"))] if rule else []
+
+
+def _contains(rule, node, schema, root):
+    some = F.exists(node.items, lambda item: complies(rule, Node(item), root))
+    return [(~some, _message(node, "contains"))]
 
 
 def _string_rule(keyword, broken):
@@ -225,21 +452,42 @@ def _minimum(number: Column, bound: float, schema: Mapping) -> Column:
     return number <= bound if schema.get("exclusiveMinimum") is True else number < bound
 
 
+def _multiple_of(number: Column, step: float, schema: Mapping) -> Column:
+    times = number / F.lit(float(step))
+    return F.abs(times - F.rint(times)) > 1e-9
+
+
 def _maximum(number: Column, bound: float, schema: Mapping) -> Column:
     return number >= bound if schema.get("exclusiveMaximum") is True else number > bound
 
 
+def _exclusive(keyword, broken):
+    """A bound of its own; true and false belong to `minimum` and `maximum`."""
+    own = _number_rule(keyword, lambda number, bound, schema: broken(number, bound))
+
+    def rule_violations(rule, node, schema, root):
+        return [] if isinstance(rule, bool) else own(rule, node, schema, root)
+
+    return rule_violations
+
+
 def _items(rule, node, schema, root):
-    broken = F.exists(
-        node.get("array<variant>"), lambda item: ~complies(rule, Node(item), root)
-    )
+    if isinstance(rule, list):
+        return _prefix_items(rule, node, schema, root)
     # Anything but an array reads as NULL, and so does the condition.
-    return [(broken, _message(node, "items"))]
+    return [(_broken(_rest(node.items, schema), rule, root), _message(node, "items"))]
+
+
+def _prefix_items(rule, node, schema, root):
+    return [v for i, sub in enumerate(rule) for v in violations(sub, node.item(i), root)]
 
 
-def _min_items(rule, node, schema, root):
-    short = F.array_size(node.get("array<variant>")) < rule
-    return [(short, _message(node, "minItems"))]
+def _additional_items(rule, node, schema, root):
+    first = schema.get("items")
+    if not isinstance(first, list):
+        return []
+    rest = F.slice(node.items, len(first) + 1, F.greatest(F.size(node.items), F.lit(1)))
+    return [(_broken(rest, rule, root), _message(node, "additionalItems"))]
 
 
 def _matches(rule, node, root) -> Column:
@@ -263,6 +511,9 @@ def _one_of(rule, node, schema, root):
 
 
 def _ref(rule, node, schema, root):
+    # Recursive definitions are checked apart, level by level.
+    if rule in root.recursive:
+        return []
     return violations(resolved({"$ref": rule}, root), node, root)
 
 
@@ -282,10 +533,28 @@ KEYWORDS = {
     "format": _string_rule("format", _format),
     "minimum": _number_rule("minimum", _minimum),
     "maximum": _number_rule("maximum", _maximum),
-    "exclusiveMinimum": _nothing,
-    "exclusiveMaximum": _nothing,
+    "exclusiveMinimum": _exclusive("exclusiveMinimum", lambda number, bound: number <= bound),
+    "exclusiveMaximum": _exclusive("exclusiveMaximum", lambda number, bound: number >= bound),
+    "multipleOf": _number_rule("multipleOf", _multiple_of),
     "items": _items,
-    "minItems": _min_items,
+    "prefixItems": _prefix_items,
+    "additionalItems": _additional_items,
+    "minItems": _size_rule("minItems", lambda node: node.items, lambda size, n: size < n),
+    "maxItems": _size_rule("maxItems", lambda node: node.items, lambda size, n: size > n),
+    "uniqueItems": _unique_items,
+    "contains": _contains,
+    "minProperties": _size_rule("minProperties", lambda node: node.entries, lambda size, n: size < n),
+    "maxProperties": _size_rule("maxProperties", lambda node: node.entries, lambda size, n: size > n),
+    "patternProperties": _pattern_properties,
+    "propertyNames": _property_names,
+    "dependencies": _dependencies,
+    "dependentRequired": _dependencies,
+    "dependentSchemas": _dependencies,
+    "const": _const,
+    "not": _not,
+    "if": _if,
+    "then": _nothing,
+    "else": _nothing,
     "allOf": _all_of,
     "anyOf": _any_of,
     "oneOf": _one_of,
@@ -293,14 +562,55 @@ KEYWORDS = {
 }
 
 
-def first_violation(schema: Mapping, parsed: Column) -> Column:
-    """Text of the first rule a parsed value breaks, NULL if it conforms."""
-    found = violations(schema, Node(parsed))
+def _first(found: list[Violation]) -> Column:
     if not found:
         return F.lit(None).cast("string")
     return F.coalesce(*[F.when(cond, F.lit(message)) for cond, message in found])
 
 
+def first_violation(schema: Mapping, parsed: Column) -> Column:
+    """Text of the first rule a parsed value breaks, NULL if it conforms.
+
+    Rules of recursive definitions come after all others; their pointers start at
+    the definition.
+    """
+    schema = Rules(schema)
+    own = _first(violations(schema, Node(parsed), schema))
+    pointers = schema.recursive
+    if not pointers:
+        return own
+    levels = [f"level{i}" for i in range(len(pointers))]
+    start = F.struct(
+        F.lit(None).cast("string").alias("found"),
+        *[_all(referred(schema, Node(parsed), schema, p)).alias(n) for p, n in zip(pointers, levels, strict=True)],
+    )
+
+    def check(pointer: str):
+        rules = definition(pointer, schema)
+        return lambda value: _first(violations(rules, Node(value, "$", pointer), schema))
+
+    def below(pointer: str, other: str):
+        rules = definition(pointer, schema)
+        return lambda value: _all(referred(rules, Node(value), schema, other))
+
+    def step(at: Column, _: Column) -> Column:
+        found, deeper = [], {p: [] for p in pointers}
+        for pointer, level in zip(pointers, levels, strict=True):
+            broken = F.filter(F.transform(at[level], check(pointer)), lambda m: m.isNotNull())
+            found.append(F.get(broken, F.lit(0)))
+            for other in _reach(definition(pointer, schema), schema):
+                deeper[other].append(F.flatten(F.transform(at[level], below(pointer, other))))
+        return F.struct(
+            F.coalesce(at["found"], *found).alias("found"),
+            *[_all(deeper[p]).alias(n) for p, n in zip(pointers, levels, strict=True)],
+        )
+
+    # An object or array opens each level, so there are no more levels than those.
+    opened = F.length(F.regexp_replace(F.to_json(parsed), r"[^\[{]", ""))
+    steps = F.sequence(F.lit(0), F.coalesce(opened, F.lit(0)))
+    return F.coalesce(own, F.aggregate(steps, start, step, lambda at: at["found"]))
+
+
 def is_object(parsed: Column) -> Column:
     """Whether a parsed text is a JSON object; false for text that is not JSON."""
     hints = [path.split(".")[1] for _, path, _ in REQUIRED_STRINGS]

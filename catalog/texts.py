@@ -231,6 +231,57 @@ def json_schema_rules(spark, sf_dir):
     return df.select("event_id", violation.alias("violation"))
 
 
+TREE_SCHEMA = {
+    "properties": {
+        "kind": {"const": "event"},
+        "k": {"not": {"multipleOf": 10}},
+        "tags": {"maxItems": 3, "uniqueItems": True},
+        "child": {"$ref": "#/definitions/node"},
+    },
+    "patternProperties": {"^x_": {"type": "string"}},
+    "additionalProperties": {"type": "string"},
+    "definitions": {
+        "node": {
+            "type": "object",
+            "properties": {"n": {"maximum": 4}, "child": {"$ref": "#/definitions/node"}},
+        }
+    },
+}
+
+
+@query(
+    "json_schema_keywords",
+    """WITH p AS (SELECT event_id AS i, json_extract(props, '$.k')::BIGINT AS k FROM events)
+    SELECT i AS event_id, CASE WHEN i % 11 = 0 THEN '{"pointer": "#/kind", "keyword": "const"}'
+      WHEN k % 10 = 0 THEN '{"pointer": "#/k", "keyword": "not"}'
+      WHEN i % 5 = 0 THEN '{"pointer": "#/tags", "keyword": "maxItems"}'
+      WHEN i % 3 = 0 THEN '{"pointer": "#/tags", "keyword": "uniqueItems"}'
+      WHEN i % 13 = 0 THEN '{"pointer": "#", "keyword": "patternProperties"}'
+      WHEN i % 17 = 0 THEN '{"pointer": "#", "keyword": "additionalProperties"}'
+      WHEN i % 7 > 4 OR i % 6 > 4 OR i % 8 > 4
+        THEN '{"pointer": "#/definitions/node/n", "keyword": "maximum"}' END AS violation
+    FROM p""",
+)
+def json_schema_keywords(spark, sf_dir):
+    """Constants, negation, sets, patterns of names and a definition that refers to itself."""
+    key = F.col("event_id")
+
+    def when(divisor: int, yes: str, no: str):
+        return F.when(key % divisor == 0, yes).otherwise(no)
+
+    document = F.concat(
+        F.lit('{"kind": "'), when(11, "other", "event"),
+        F.lit('", "k": '), F.get_json_object("props", "$.k"),
+        F.lit(', "tags": ["a"'), when(3, ', "a"', ', "b"'), when(5, ', "c", "d"', ""),
+        F.lit('], "x_1": '), when(13, "5", '"5"'), F.lit(', "extra": '), when(17, "5", '"5"'),
+        F.lit(', "child": {"n": '), key % 7, F.lit(', "child": {"n": '), key % 6,
+        F.lit(', "child": {"n": '), key % 8, F.lit("}}}}"),
+    )
+    df = table(spark, sf_dir, "events", "event_id", "props")
+    violation = first_violation(TREE_SCHEMA, F.try_parse_json(document))
+    return df.select("event_id", violation.alias("violation"))
+
+
 @query(
     "json_parse",
     f"""WITH {RECORDS_SQL}

@@ -191,4 +191,69 @@ def test_schema_rules(spark, record, pointer, keyword):
 
 def test_unsupported_schema_keyword(spark):
     with pytest.raises(ValueError, match="unsupported"):
-        first_violation({"patternProperties": {}}, F.col("v"))
+        first_violation({"unevaluatedProperties": False}, F.col("v"))
+
+
+KEYWORD_CASES = [
+    ({"const": 2}, ["2", "2.0"], ["3", '"2"', "null"]),
+    ({"const": {"b": 1, "a": [True]}}, ['{"a": [true], "b": 1}'], ['{"a": [true]}']),
+    ({"not": {"type": "string"}}, ["1", "{}"], ['"x"']),
+    ({"maxItems": 1}, ["[]", "[1]", '"text"', "{}"], ["[1, 2]"]),
+    ({"uniqueItems": True}, ["[1, 2]", '["1", 1]', "[]"], ["[1, 2, 1]", '[{"a": 1, "b": 2}, {"b": 2, "a": 1}]']),
+    ({"contains": {"const": 1}}, ["[0, 1]", '"x"'], ["[]", "[2]"]),
+    ({"minProperties": 1, "maxProperties": 2}, ['{"a": 1}', "[]"], ["{}", '{"a": 1, "b": 1, "c": 1}']),
+    ({"multipleOf": 0.1}, ["0.3", "7", '"x"'], ["0.35"]),
+    ({"exclusiveMinimum": 1, "exclusiveMaximum": 3}, ["2"], ["1", "3"]),
+    ({"minimum": 1, "exclusiveMinimum": False}, ["1"], ["0"]),
+    ({"patternProperties": {"^n_": {"type": "number"}}}, ['{"n_a": 1, "b": "x"}', "3"], ['{"n_a": "x"}']),
+    (
+        {"properties": {"a": {}}, "patternProperties": {"^n_": {}}, "additionalProperties": {"type": "string"}},
+        ['{"a": 1, "n_b": 2, "c": "x"}', "[]"],
+        ['{"c": 1}'],
+    ),
+    ({"patternProperties": {"^n_": {}}, "additionalProperties": False}, ['{"n_b": 2}'], ['{"c": 1}']),
+    ({"propertyNames": {"pattern": "^[a-z]+$"}}, ['{"ab": 1}', "1"], ['{"A": 1}']),
+    ({"dependencies": {"a": ["b"]}}, ['{"a": 1, "b": 1}', '{"c": 1}'], ['{"a": 1}']),
+    ({"dependentSchemas": {"a": {"required": ["b"]}}}, ['{"b": 1}'], ['{"a": 1}']),
+    ({"if": {"type": "number"}, "then": {"minimum": 5}, "else": {"minLength": 2}}, ["5", '"ab"'], ["4", '"a"']),
+    ({"items": [{"type": "string"}, {"type": "number"}], "additionalItems": False}, ['["a", 1]', '["a"]'], ["[1]", '["a", 1, 2]']),
+    ({"prefixItems": [{"type": "string"}], "items": {"type": "number"}}, ['["a", 1]', "[]", '["a"]'], ['["a", "b"]']),
+    ({"properties": {"a": False, "b": True}}, ['{"b": 1}', "{}"], ['{"a": 1}']),
+    ({"properties": {"id": {"$ref": "#/$defs/a~1b"}}, "$defs": {"a/b": {"type": "string"}}}, ['{"id": "x"}'], ['{"id": 1}']),
+]
+TREE = {
+    "properties": {"name": {"type": "string"}, "id": {"type": "integer"}, "more": {"items": {"$ref": "#"}}},
+    "additionalProperties": {"allOf": [{"$ref": "#/definitions/pair"}]},
+    "definitions": {
+        "pair": {
+            "required": ["left"],
+            "properties": {"left": {"type": ["number", "object"]}, "tree": {"$ref": "#"}},
+            "patternProperties": {"^p": {"$ref": "#/definitions/pair"}},
+        }
+    },
+}
+KEYWORD_CASES.append(
+    (
+        TREE,
+        ['{"name": "a", "more": [{"name": "b", "more": [{"more": []}, {}]}]}', '{"x": {"left": 1, "tree": {"id": 1}}}'],
+        [
+            '{"more": [{"name": "b", "more": [{}, {"more": [{"name": 1}]}]}]}',
+            '{"x": {"left": 1, "tree": {"id": "1"}}}',
+            '{"x": {"left": 1, "p1": {"left": 2, "p2": {"right": 3}}}}',
+            '{"more": [1, [{"more": 1}], {"more": [[], {"y": {}}]}]}',
+        ],
+    )
+)
+
+
+@pytest.mark.parametrize("schema, good, bad", KEYWORD_CASES)
+def test_schema_keywords(spark, schema, good, bad):
+    df = spark.createDataFrame([(t, t in good) for t in [*good, *bad]], "value string, good boolean")
+    message = first_violation(schema, F.try_parse_json("value")).isNull()
+    assert [r.value for r in df.filter(message != F.col("good")).collect()] == []
+
+
+def test_recursion_below_a_choice_is_refused():
+    schema = {"anyOf": [{"type": "string"}, {"items": {"$ref": "#"}}]}
+    with pytest.raises(ValueError, match="recursion below anyOf"):
+        first_violation(schema, F.col("v"))
