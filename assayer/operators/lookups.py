@@ -8,22 +8,27 @@ from pyspark.sql import functions as F
 from assayer.config import BROADCAST_BYTES
 from assayer.operators.ranking import first_per_key
 from assayer.session import scratch_path
-from assayer.sources.writers import save_and_read
+from assayer.sources.writers import save_and_read, size_of
 
+# Partitions that facts without a key are dealt to.
+KEYLESS = 256
 
-def text_bytes(df: DataFrame) -> int:
-    """Size of a frame as JSON text; one small job with a partial sum per task."""
-    length = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
-    return df.agg(F.coalesce(F.sum(length), F.lit(0))).first()[0]
 
+def settled(df: DataFrame) -> tuple[DataFrame, int]:
+    """A frame computed once, in one job, and its size in bytes.
 
-def bounded_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Mark a frame for broadcast if its measured size is within the bound.
-
-    Otherwise it stays unmarked and takes part in a shuffle join, where adaptive
-    execution splits the partitions of hot keys on the other side.
+    It is written to the shared folder as it is, without compression or
+    dictionaries, so that the size of the files is that of the values.
     """
-    return F.broadcast(df) if text_bytes(df) <= max_bytes else df
+    path = scratch_path(df.sparkSession, "lookup")
+    plain = {"compression": "none", "parquet.enable.dictionary": "false"}
+    return save_and_read(df, path, **plain), size_of(df.sparkSession, path)
+
+
+def bounded(df: DataFrame, max_bytes: int) -> DataFrame:
+    """A frame computed once, marked for broadcast if its size is within the bound."""
+    found, size = settled(df)
+    return F.broadcast(found) if size <= max_bytes else found
 
 
 def lookup_join(
@@ -37,17 +42,25 @@ def lookup_join(
 ) -> DataFrame:
     """Join a lookup on its key, made unique first so that no row multiplies.
 
-    `unique` says that it is already.
+    `unique` says that it is already. The lookup is computed once (`settled`).
 
     Only left-sided joins (left, inner, left_semi, left_anti) are allowed: in
-    those a hot key of the facts can be split over tasks.
+    those a hot key of the facts can be split over tasks, which adaptive execution
+    does. Facts without a key match nothing and are dealt over many tasks.
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"not a left-sided join: {how}")
     if not unique:
         lookup = first_per_key(lookup, [lookup_key])
-    right = bounded_broadcast(lookup, max_bytes)
-    return facts.join(right, fact_key == F.col(f"`{lookup_key}`"), how)
+    right, size = settled(lookup)
+    same = fact_key == F.col(f"`{lookup_key}`")
+    if size <= max_bytes:
+        return facts.join(F.broadcast(right), same, how)
+    some = F.pmod(F.monotonically_increasing_id(), F.lit(KEYLESS))
+    left = facts.withColumn("__dealt_to", F.when(fact_key.isNull(), some).otherwise(0))
+    right = right.withColumn("__dealt", F.lit(0).cast("bigint"))
+    found = left.join(right, same & (F.col("__dealt_to") == F.col("__dealt")), how)
+    return found.drop("__dealt", "__dealt_to")
 
 
 def keys_in(
@@ -58,9 +71,7 @@ def keys_in(
     The keys may take a pass over big tables to find, so they are written to the
     shared folder: measuring and joining them reads that table.
     """
-    found = keys.select(*on).distinct()
-    found = save_and_read(found, scratch_path(df.sparkSession, "keys"))
-    return df.join(bounded_broadcast(found, max_bytes), on, "left_semi")
+    return df.join(bounded(keys.select(*on).distinct(), max_bytes), on, "left_semi")
 
 
 def match_rate(
@@ -72,9 +83,7 @@ def match_rate(
     """
     counted = df.groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("n"))
     known = lookup.select(F.col(lookup_key).alias("known")).filter("known IS NOT NULL").distinct()
-    joined = counted.join(
-        bounded_broadcast(known, max_bytes), F.col("key") == F.col("known"), "left"
-    )
+    joined = counted.join(bounded(known, max_bytes), F.col("key") == F.col("known"), "left")
     return joined.groupBy(F.col("known").isNotNull().alias("matched")).agg(
         F.count(F.lit(1)).alias("n_keys"), F.sum("n").alias("n_rows")
     )

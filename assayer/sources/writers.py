@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def save(
@@ -43,6 +43,13 @@ def save_once(df: DataFrame, path: str) -> DataFrame:
     return save_and_read(df, path, mode="overwrite")
 
 
+def size_of(spark: SparkSession, path: str) -> int:
+    """Bytes of all files of a written table."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files.getContentSummary(where).getLength()
+
+
 def save_single_json(df: DataFrame, path: str) -> DataFrame:
     """One gzip-compressed JSON file; for small extracts only."""
     return save(df.coalesce(1), path, fmt="json", compression="gzip")

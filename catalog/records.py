@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from assayer.operators import checks, normalize
+from assayer.operators.lookups import lookup_join
 from assayer.plans.jobs import normalize_evidence
 from catalog.registry import query
 from catalog.views import RECORDS_SQL, records, references, table, text
@@ -229,3 +230,22 @@ register_check(
     "source_reason",
     "sourceID",
 )
+
+
+@query(
+    "lookup_hot_key",
+    """WITH facts AS (SELECT l_orderkey, l_linenumber, l_partkey,
+        CASE WHEN l_partkey % 3 = 0 THEN 'S7' WHEN l_partkey % 5 = 0 THEN NULL
+          ELSE 'S' || l_suppkey END AS accession FROM lineitem),
+    known AS (SELECT 'S' || s_suppkey AS accession, s_name FROM supplier WHERE s_suppkey % 4 <> 1)
+    SELECT l_orderkey, l_linenumber, l_partkey, facts.accession, s_name FROM facts
+    LEFT JOIN known ON facts.accession = known.accession""",
+)
+def lookup_hot_key(spark, sf_dir):
+    """A shuffled lookup by a key that a third of all rows have and a fifth lacks."""
+    part, own = F.col("l_partkey"), text("S", F.col("l_suppkey"))
+    accession = F.when(part % 3 == 0, "S7").when(part % 5 != 0, own).alias("accession")
+    facts = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", accession)
+    known = table(spark, sf_dir, "supplier").filter("s_suppkey % 4 <> 1")
+    known = known.select(text("S", F.col("s_suppkey")).alias("known"), "s_name")
+    return lookup_join(facts, known, F.col("accession"), "known", max_bytes=0).drop("known")

@@ -309,3 +309,13 @@ def test_rank_rows_moves_full_rows_once(spark):
     ranked = ranking.rank_rows(df, ["g"], [F.col("id")])
     plan = ranked._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
     assert len(re.findall(r"\) Exchange\nInput \[\d+\]: \[[^\]]*body#", plan)) == 1
+
+
+def test_lookups_are_computed_once(spark):
+    """The lookup is read from the table that was written to measure it."""
+    lookup = spark.range(50).select(F.col("id").cast("string").alias("k"), F.uuid().alias("x"))
+    facts = spark.createDataFrame([("1",), (None,), ("99",), ("1",)], "g string")
+    for max_bytes in (0, 1 << 20):
+        joined = lookups.lookup_join(facts, lookup, F.col("g"), "k", max_bytes=max_bytes)
+        assert "uuid" not in joined._jdf.queryExecution().toString()
+        assert sorted(str(r.k) for r in joined.collect()) == ["1", "1", "None", "None"]
