@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,6 +46,39 @@ def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(observation, F.count(F.lit(1)).alias("rows")), observation
 
 
+class StepLog:
+    """Rows and schema of the steps of a job, found out by the one action that runs it.
+
+    Each mark adds an observation to the plan, no pass of its own. The counts are
+    there when the action is done.
+    """
+
+    def __init__(self) -> None:
+        self.steps: list[tuple[str, Observation, str]] = []
+
+    def mark(self, df: DataFrame, step: str, passing: Column | None = None) -> DataFrame:
+        """Note a step: all its rows, and those for which `passing` holds (all without)."""
+        seen = Observation(f"{len(self.steps)} {step}")
+        good = F.lit(True) if passing is None else passing
+        self.steps.append((step, seen, df.schema.treeString()))
+        every = F.count(F.lit(1)).alias("rows")
+        return df.observe(seen, every, F.count_if(good).alias("passed"))
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        """One row a step, in their order; only after the action."""
+        rows = [
+            (i, step, seen.get["rows"], seen.get["passed"], schema)
+            for i, (step, seen, schema) in enumerate(self.steps)
+        ]
+        kind = "number int, step string, rows bigint, passed bigint, schema string"
+        return spark.createDataFrame(rows, kind)
+
+
+def steps_path(out: str) -> str:
+    """Where a job that writes to `out` puts the counts and schemas of its steps."""
+    return f"{out}/steps.parquet"
+
+
 def _open_identity(kind: T.StructType | str) -> tuple[T.StructType | str, list[str]]:
     """A schema whose identifying fields are a map with every key of a record.
 
@@ -115,14 +148,20 @@ def classify_evidence(
     json_schema: Mapping | None = None,
     schema: T.StructType | str | None = schemas.EVIDENCE,
     config: EvidenceConfig = EvidenceConfig(),
+    log: StepLog | None = None,
 ) -> DataFrame:
     """All records, valid or not, with the check that refused each and why.
 
-    One pass: `rejected_at` is the step of the first failed check ("none" for a
+    A log gets the rows and the schema of each step, and how many records no
+    check had refused by then. One pass: `rejected_at` is the step of the first failed check ("none" for a
     valid record), `reason` and `error` are its findings and `value` is the text
     of a record that never parsed into one.
     """
-    checked = checks.classify_lines(lines, json_schema)
+    def mark(df: DataFrame, step: str, passing: Column | None = None) -> DataFrame:
+        return df if log is None else log.mark(df, step, passing)
+
+    checked = checks.classify_lines(mark(lines, "read"), json_schema)
+    checked = mark(checked, "schema", F.col("reason").isNull())
     kind, listed = _open_identity(infer_json_type(lines) if schema is None else schema)
     parsed = checked.select(
         "value",
@@ -132,12 +171,16 @@ def classify_evidence(
         parsed_fields(F.col("value"), kind),
     )
     df = normalize_evidence(add_record_id(parsed, listed=listed), refs, config)
+    valid = F.col("reason:schema").isNull()
+    df = mark(df, "normalize", valid)
     for step, classify in (
         ("target_id", lambda d: checks.classify_targets(d, refs.genes, config)),
         ("disease_id", lambda d: checks.classify_diseases(d, refs.diseases, config)),
         ("data_source", lambda d: checks.classify_sources(d, config)),
     ):
         df = classify(df).withColumnRenamed("reason", f"reason:{step}")
+        valid &= F.col(f"reason:{step}").isNull()
+        df = mark(df, step, valid)
     reasons = {step: F.col(f"`reason:{step}`") for step in STEPS}
     step = F.coalesce(*[F.when(c.isNotNull(), name) for name, c in reasons.items()], F.lit(VALID))
     df = df.withColumns({"rejected_at": step, "reason": F.coalesce(*reasons.values())})
@@ -177,14 +220,16 @@ def prepare_evidence_tables(
 
     The records are computed once and written once, split by the check that
     refused them. Summaries and valid records are read back from that table:
-    the former touches three columns, the latter one partition.
+    the former touches three columns, the latter one partition. The rows and the
+    schema of each step, observed meanwhile, become a small table, too.
     """
-    path = f"{out}/evidence_classified.parquet"
+    path, log = f"{out}/evidence_classified.parquet", StepLog()
     classified = save_and_read(
-        classify_evidence(lines, refs, json_schema, schema, config),
+        classify_evidence(lines, refs, json_schema, schema, config, log),
         path,
         partition_by=("rejected_at",),
     )
+    save(log.table(lines.sparkSession), steps_path(out))
     summaries = step_summaries(classified)
     save(summaries, step_summaries_path(out), partition_by=("step",))
     valid = classified.filter(F.col("rejected_at") == VALID)

@@ -25,10 +25,11 @@ def save_and_read(df: DataFrame, path: str, **options: str) -> DataFrame:
     """Write a frame as Parquet and go on from the written table.
 
     What follows reads columns from the table instead of computing them again,
-    and a lost executor costs a re-read only.
+    and a lost executor costs a re-read only. The schema is known, so it is not
+    looked up in the files, of which an empty frame may have none.
     """
     save(df, path, **options)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def save_once(df: DataFrame, path: str) -> DataFrame:

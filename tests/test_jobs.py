@@ -234,6 +234,17 @@ def test_tables_hold_every_record(spark, lines, refs, prepared, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/evidence_classified.parquet").count() == len(LINES)
     summary = spark.read.parquet(f"{tmp_path}/errors/evidence_validation_summary.parquet")
     assert summary.filter("step = 'schema'").agg(F.sum("count")).first()[0] == len(LINES)
+    steps = spark.read.parquet(jobs.steps_path(str(tmp_path))).orderBy("number").collect()
+    assert [s.step for s in steps] == ["read", "schema", "normalize", "target_id", "disease_id", "data_source"]
+    assert all(s.rows == len(LINES) for s in steps) and steps[-1].passed == len(prepared)
+    assert [s.passed for s in steps] == sorted((s.passed for s in steps), reverse=True)
+    assert "disease" in steps[2].schema and "disease" not in steps[0].schema
+
+
+def test_no_texts_no_steps(spark, refs, tmp_path):
+    none = spark.createDataFrame([], "value string")
+    assert jobs.prepare_evidence_tables(none, refs, str(tmp_path), RULES).count() == 0
+    assert {s.rows for s in spark.read.parquet(jobs.steps_path(str(tmp_path))).collect()} == {0}
 
 
 def test_scores_from_texts(spark, lines, refs, tmp_path):
