@@ -33,6 +33,39 @@ def in_calls(
     return tuple(np.concatenate(p) for p in zip(*parts, strict=True))
 
 
+class Known:
+    """Ids of words met in earlier batches, of a bounded number of words.
+
+    When there are too many, the words of the present batch are kept, which holds
+    the frequent ones.
+    """
+
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int) -> None:
+        self.encode, self.most = encode, most
+        self.place: dict[str, int] = {}
+        self.sizes, self.values = np.empty(0, np.int64), np.empty(0, np.uint32)
+
+    def __call__(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Sizes and ids of distinct words."""
+        at = np.fromiter((self.place.get(w, -1) for w in words), np.int64, len(words))
+        new = np.flatnonzero(at < 0)
+        unknown = [words[i] for i in new.tolist()]
+        if unknown:
+            sizes, values = in_calls(unknown, self.encode)
+            at[new] = len(self.sizes) + np.arange(len(new))
+            self.sizes = np.concatenate([self.sizes, sizes])
+            self.values = np.concatenate([self.values, values])
+        sizes = self.sizes[at]
+        first = (np.cumsum(self.sizes) - self.sizes)[at]
+        values = self.values[np.repeat(first - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())]
+        if len(self.sizes) > self.most:
+            self.place = {w: i for i, w in enumerate(words)}
+            self.sizes, self.values = sizes, values
+        else:
+            self.place.update(zip(unknown, at[new].tolist(), strict=True))
+        return sizes, values
+
+
 class Chunks:
     """The chunks of texts: a dictionary, and for each text the entries it is made of."""
 

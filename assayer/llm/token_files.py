@@ -13,7 +13,8 @@ Files are written to a name of their own by each attempt of a task and then
 renamed, so a lost executor leaves no half file under a final name.
 
 Texts are cut where no token of a byte-level model crosses, and each distinct
-chunk of a batch is encoded once by the library. Batches with a NUL character or
+chunk of a batch is encoded once by the library, and only if the worker has not met
+it in earlier batches. Batches with a NUL character or
 the text of a special token go through the library as they are.
 
 NULL and empty texts have the end id only. Repeated rows and ids are all kept,
@@ -37,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from assayer.llm import common
-from assayer.llm.distinct import CUT, Chunks, close_each, flat, in_calls
+from assayer.llm.distinct import CUT, Chunks, Known, close_each, flat
 
 # Fixed values of the zstandard skippable and seekable formats.
 SKIPPABLE_INDEX = 0x184D2A50
@@ -47,8 +48,8 @@ CHECKSUM_FLAG = 0x80
 
 LEVEL = 3
 NO_ID = -(2**63)
-# Text bytes whose distinct chunks make one table.
-TABLE_BYTES = 12 << 20
+# Text bytes worked on at once, and words whose ids a worker keeps.
+TABLE_BYTES, WORDS = 6 << 20, 300_000
 # Words tokenized in one text.
 ROW = 200
 
@@ -81,6 +82,7 @@ class WordIds:
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         if (step.get("type"), step.get("add_prefix_space")) != ("ByteLevel", False):
             raise ValueError("the tokenizer does not cut texts by the byte-level pattern")
+        self.known = Known(self.words, WORDS)
 
     @classmethod
     def of(cls, path: str) -> WordIds:
@@ -127,7 +129,7 @@ class WordIds:
             parts = [np.array([*ids, end_id], "<u4") for ids in self.whole(texts.to_pylist())]
             return [p.tobytes() for p in parts]
         chunks = Chunks(texts, _CUTS)
-        values, ends = close_each(*chunks.ids(*in_calls(chunks.words, self.words)), end_id)
+        values, ends = close_each(*chunks.ids(*self.known(chunks.words)), end_id)
         content = values.astype("<u4").tobytes()
         return [content[4 * a : 4 * b] for a, b in itertools.pairwise(ends.tolist())]
 

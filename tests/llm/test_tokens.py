@@ -12,7 +12,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from assayer.llm import common, pieces, queries, token_files
+from assayer.llm import common, distinct, pieces, queries, token_files
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
@@ -38,6 +38,31 @@ def test_ids_are_the_libraries(extra):
     assert [np.frombuffer(f, "<u4").tolist() for f in found] == want
 
 
+@pytest.mark.parametrize("most", [0, 40, 10_000])
+def test_ids_kept_across_batches_are_the_same(most):
+    words = token_files.WordIds.of(BYTES)
+    known = distinct.Known(words.words, most)
+    for seed in range(5):
+        batch = sorted(set(noise(300)) | {f" word{i}" for i in range(seed, seed + 9)})
+        for found, want in zip(known(batch), words.words(batch), strict=True):
+            assert found.tolist() == want.tolist()
+        assert len(known.place) <= max(most, len(batch))
+    assert [len(x) for x in known([])] == [0, 0]
+
+
+def test_query_checksums(spark, docs):
+    """Every document's ids against the library's, all in ascending order of the ids."""
+    library, at = Tokenizer.from_file(BYTES), 0
+    texts = dict(docs.select("doc_id", "text").collect())
+    rows = sorted(queries.op9(spark, "/root/testdata/sf0.001").collect(), key=lambda r: r.doc_id)
+    assert len(rows) == len(texts)
+    for row in rows:
+        ids = [*library.encode(texts[row.doc_id] or "", add_special_tokens=False).ids, 2]
+        assert (row.start, row.n_tokens) == (at, len(ids))
+        assert row.ids_crc32 == zlib.crc32(np.array(ids, "<u4").tobytes())
+        at += len(ids)
+
+
 def test_pieces_keep_rows_and_columns(odd_docs, no_docs):
     found = pieces.encode_decode(odd_docs, PIECES)
     assert sorted(found.columns) == sorted([*odd_docs.columns, "decoded"])
@@ -55,6 +80,7 @@ def test_query_digests(spark, docs):
     for row in queries.op2(spark, "/root/testdata/sf0.001").collect():
         ids = [*model.encode(texts[row.doc_id] or ""), 2]
         assert row.n_tokens == len(ids)
+        assert row.decoded_sha256 == hashlib.sha256(model.decode(ids).encode()).hexdigest()
         assert row.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
 
 
