@@ -220,3 +220,17 @@ GENE = struct(
 DISEASE = struct(id=S, code=S, path_codes=array(array(S)))
 NON_REFERENCE = struct(reference=S, alternate=S)
 ECO_SCORE = struct(uri=S, code=S, score=D)
+
+
+# Protein entries as read from XML: attributes are `_x`, the text of an element with
+# attributes is `_VALUE`, and elements that repeat are arrays.
+ENTRY = """
+accession ARRAY<STRING>,
+name ARRAY<STRING>,
+comment ARRAY<STRUCT<_type: STRING, text: STRUCT<_VALUE: STRING, _evidence: STRING>>>,
+feature ARRAY<STRUCT<
+  _type: STRING, _description: STRING,
+  location: STRUCT<
+    begin: STRUCT<_position: BIGINT>, end: STRUCT<_position: BIGINT>, position: STRUCT<_position: BIGINT>>>>,
+sequence STRUCT<_VALUE: STRING, _length: BIGINT>
+"""

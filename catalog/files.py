@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from assayer.operators import profile
+from assayer.operators.entries import entry_report
 from assayer.session import scratch_path
 from assayer.sources import readers, schemas, writers
 from catalog.registry import query
@@ -198,6 +199,59 @@ def xml_source(spark, sf_dir):
     )
 
 
+@query(
+    "xml_entry_report",
+    """WITH c AS (
+      SELECT p_partkey AS k, 'function' AS type, p_name AS t FROM part UNION ALL
+      SELECT p_partkey, CASE WHEN p_size % 2 = 0 THEN 'domain' ELSE 'pathway' END,
+        CASE WHEN p_size % 3 = 0 THEN p_brand END FROM part WHERE p_partkey % 6 <> 5),
+    f AS (SELECT p_partkey AS k, 'chain' AS type, 1 AS b, p_size AS e FROM part UNION ALL
+      SELECT p_partkey, 'site', 20 + p_partkey % 40, 20 + p_partkey % 40 FROM part WHERE p_size % 4 = 0),
+    covered AS (SELECT k, count(DISTINCT pos) AS n FROM (
+      SELECT k, unnest(generate_series(b, e)) AS pos FROM f) GROUP BY k),
+    facts AS (
+      SELECT 'entries' AS section, 'all' AS label, true AS filled FROM part
+      UNION ALL SELECT 'accessions', CASE WHEN p_size % 5 = 0 THEN '2' ELSE '1' END, true FROM part
+      UNION ALL SELECT DISTINCT ON (k, type) 'comment_type', type, true FROM c
+      UNION ALL SELECT 'comment_text', type, t IS NOT NULL FROM c
+      UNION ALL SELECT 'comment_types', string_agg(DISTINCT type, ',' ORDER BY type), true FROM c GROUP BY k
+      UNION ALL SELECT 'feature_type', type, true FROM f
+      UNION ALL SELECT 'coverage', CAST(CAST(ceil((100.0 * n / 60) / 10) * 10 AS BIGINT) AS VARCHAR), true FROM covered),
+    g AS (SELECT section, label, count(*) AS n, count(*) FILTER (WHERE filled) AS m FROM facts GROUP BY ALL)
+    SELECT section, label, n, round(n * 100.0 / (SELECT count(*) FROM part), 2)::DOUBLE AS pct_entries,
+      CAST(ceil(m * 100.0 / n) AS BIGINT) AS pct_filled FROM g""",
+)
+def xml_entry_report(spark, sf_dir):
+    """All sections of the profile of entries that come as XML files."""
+    key, size = F.col("p_partkey"), F.col("p_size").cast("bigint")
+
+    def position(value):
+        return F.struct(value.cast("bigint").alias("_position"))
+
+    def comment(kind, body):
+        said = F.when(body.isNotNull(), F.struct(body.alias("_VALUE"), F.lit("1").alias("_evidence")))
+        return F.struct(kind.alias("_type"), said.alias("text"))
+
+    def feature(kind, begin, end, at):
+        none = F.lit(None).cast("struct<_position:bigint>")
+        where = F.struct(*[(none if c is None else position(c)).alias(n) for n, c in (("begin", begin), ("end", end), ("position", at))])
+        return F.struct(F.lit(kind).alias("_type"), F.lit("made").alias("_description"), where.alias("location"))
+
+    second = F.when(size % 2 == 0, "domain").otherwise("pathway")
+    comments = F.array(comment(F.lit("function"), F.col("p_name")), comment(second, F.when(size % 3 == 0, F.col("p_brand"))))
+    features = F.array(feature("chain", F.lit(1), size, None), feature("site", None, None, 20 + key % 40))
+    df = table(spark, sf_dir, "part").select(
+        F.slice(F.array(text("P", key), text("Q", key)), 1, F.when(size % 5 == 0, 2).otherwise(1)).alias("accession"),
+        F.array(F.col("p_type")).alias("name"),
+        F.slice(comments, 1, F.when(key % 6 == 5, 1).otherwise(2)).alias("comment"),
+        F.slice(features, 1, F.when(size % 4 == 0, 2).otherwise(1)).alias("feature"),
+        F.struct(F.lit("MKV").alias("_VALUE"), F.lit(60).cast("bigint").alias("_length")).alias("sequence"),
+    )
+    out = path(spark, "protein-entries")
+    writers.save(df, out, fmt="xml", rowTag="entry", rootTag="entries")
+    return entry_report(readers.read_xml(spark, out, "entry", schemas.ENTRY))
+
+
 @query(
     "xml_inferred",
     "SELECT n_nationkey AS key, n_name AS name FROM nation",
