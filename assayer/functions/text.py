@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping
+from types import MappingProxyType
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -68,7 +69,7 @@ def add_record_id(
     fields: str = "unique_association_fields",
     source: str = "sourceID",
     source_as: str = "datasource",
-    listed: Sequence[str] = (),
+    listed: Mapping[str, T.DataType] = MappingProxyType({}),
 ) -> DataFrame:
     """Add the MD5 of a record's identifying fields as its id.
 
@@ -78,7 +79,8 @@ def add_record_id(
     that are NULL stay out of the JSON text, so only keys a record has count.
 
     Identifying fields may also be a map, which has every key of a record,
-    whatever the schema: all of them count, and those `listed` make the struct.
+    whatever the schema: all of them count, and those `listed` make the struct, with
+    their types.
     """
     if isinstance(df.schema[fields].dataType, T.MapType):
         return _add_id_of_map(df, name, fields, source, source_as, listed)
@@ -92,7 +94,7 @@ def add_record_id(
 
 
 def _add_id_of_map(
-    df: DataFrame, name: str, fields: str, source: str, source_as: str, listed: Sequence[str]
+    df: DataFrame, name: str, fields: str, source: str, source_as: str, listed: Mapping[str, T.DataType]
 ) -> DataFrame:
     entries, keys = F.map_entries(fields), F.map_keys(fields)
 
@@ -109,10 +111,17 @@ def _add_id_of_map(
     every = F.concat(
         F.coalesce(own, F.slice(origin, 1, 0)), F.when(F.col(source).isNull(), F.slice(origin, 1, 0)).otherwise(origin)
     )
+    def typed(field: str) -> Column:
+        value, kind = F.col(fields)[field], listed[field]
+        if isinstance(kind, T.StringType):
+            return value
+        nested = isinstance(kind, (T.StructType, T.ArrayType, T.MapType))
+        return F.from_json(value, kind) if nested else value.try_cast(kind)
+
     ordered = F.transform(F.array_sort(every), lambda e: F.struct(e["key"], e["value"]))
     struct = F.struct(
         *[
-            F.col(source).alias(source_as) if f == source else F.col(fields)[f].alias(f)
+            F.col(source).alias(source_as) if f == source else typed(f).alias(f)
             for f in sorted({*listed, source} - {source_as})
         ]
     )

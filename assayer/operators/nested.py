@@ -49,6 +49,23 @@ def type_at(schema: T.StructType, path: str) -> T.DataType:
     return kind
 
 
+def aligned_type(found: T.DataType, needed: T.DataType) -> T.DataType:
+    """A type found in data with the fields of one that is needed.
+
+    Fields that only the former has are kept, those it lacks come behind them, and
+    where both have a value of another kind the needed one counts.
+    """
+    if isinstance(found, T.StructType) and isinstance(needed, T.StructType):
+        wanted = {f.name: f.dataType for f in needed}
+        own = [
+            T.StructField(f.name, aligned_type(f.dataType, wanted.pop(f.name, f.dataType))) for f in found
+        ]
+        return T.StructType([*own, *[T.StructField(n, t) for n, t in wanted.items()]])
+    if isinstance(found, T.ArrayType) and isinstance(needed, T.ArrayType):
+        return T.ArrayType(aligned_type(found.elementType, needed.elementType))
+    return needed
+
+
 def has_path(schema: T.StructType, path: str) -> bool:
     try:
         type_at(schema, path)

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from assayer.config import EvidenceConfig, ScoringConfig
 from assayer.functions.text import add_record_id
 from assayer.operators import associate, checks, normalize
-from assayer.operators.nested import same_schema
+from assayer.operators.nested import aligned_type, same_schema
 from assayer.sources import schemas
 from assayer.sources.readers import (
     infer_json_type,
@@ -79,26 +79,33 @@ def steps_path(out: str) -> str:
     return f"{out}/steps.parquet"
 
 
-def _open_identity(kind: T.StructType | str) -> tuple[T.StructType | str, list[str]]:
+def _open_identity(kind: T.StructType | str) -> tuple[T.StructType, dict[str, T.DataType]]:
     """A schema whose identifying fields are a map with every key of a record.
 
     A schema lists the fields that are read. All fields a record has identify
-    it, though, so the listed ones, all of them texts, are taken from the map.
+    it, though, so the listed ones, with their types, are taken from the map.
     """
     name = "unique_association_fields"
-    if isinstance(kind, str) or name not in kind.names:
-        return kind, []
-    own = kind[name].dataType
-    if not isinstance(own, T.StructType) or any(f.dataType != T.StringType() for f in own):
-        return kind, []
+    found = T.DataType.fromDDL(kind) if isinstance(kind, str) else kind
+    if name not in found.names or not isinstance(found[name].dataType, T.StructType):
+        return found, {}
     every = T.MapType(T.StringType(), T.StringType())
-    fields = [T.StructField(f.name, every if f.name == name else f.dataType) for f in kind]
-    return T.StructType(fields), own.names
+    fields = [T.StructField(f.name, every if f.name == name else f.dataType) for f in found]
+    return T.StructType(fields), {f.name: f.dataType for f in found[name].dataType}
+
+
+def record_kind(lines: DataFrame, schema: T.StructType | str | None) -> T.StructType | str:
+    """The type to read records by: the one given, or else the one the texts have,
+    with the paths that the steps need and no text has.
+    """
+    if schema is not None:
+        return schema
+    return aligned_type(T.DataType.fromDDL(infer_json_type(lines)), schemas.EVIDENCE)
 
 
 def parse_evidence(lines: DataFrame, schema: T.StructType | str | None = schemas.EVIDENCE):
     """JSON texts as nested records with their id."""
-    kind, listed = _open_identity(infer_json_type(lines) if schema is None else schema)
+    kind, listed = _open_identity(record_kind(lines, schema))
     return add_record_id(parse_json(lines, kind), listed=listed)
 
 
@@ -162,7 +169,7 @@ def classify_evidence(
 
     checked = checks.classify_lines(mark(lines, "read"), json_schema)
     checked = mark(checked, "schema", F.col("reason").isNull())
-    kind, listed = _open_identity(infer_json_type(lines) if schema is None else schema)
+    kind, listed = _open_identity(record_kind(lines, schema))
     parsed = checked.select(
         "value",
         F.col("reason").alias("reason:schema"),

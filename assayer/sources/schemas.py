@@ -6,6 +6,8 @@ keeps the columns the same whatever records happen to be present.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import types as T
 
 S, L, D, B = T.StringType(), T.LongType(), T.DoubleType(), T.BooleanType()
@@ -15,8 +17,8 @@ def struct(**fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
 
 
-def strings(names: str) -> dict[str, T.DataType]:
-    return {name: S for name in names.split()}
+def strings(names: Iterable[str]) -> dict[str, T.DataType]:
+    return {name: S for name in names}
 
 
 def array(kind: T.DataType) -> T.ArrayType:
@@ -171,18 +173,61 @@ EVIDENCE_BODY = struct(
 )
 
 # --- fixed values: fields that identify an association; hashed for its id --
-ASSOCIATION_FIELDS = """
-    alleleOrigin cases chembl_molecule clinvarAccession comparison_name dbSnps
-    disease_acronym disease_id disease_iri disease_phenodigm_id disease_uri
-    efo_id gene geneID gene_name gene_set model_description model_gene_id
-    model_genetic_background mutationDescription mutation_type mutations
-    odds_ratio original_disease_label original_disease_name panel_diseasegroup
-    panel_diseasesubgroup panel_id panel_name panel_version pathway_id
-    phenotype pmid predictionModel previous_code probe_id publication_id
-    pubmed_refs pvalue_annotation reaction_activity reaction_id score study_id
-    study_name symbol target target_id tumor_type tumor_type_acronym
-    uniprot_release url variant variant_id
-"""
+ASSOCIATION_FIELDS = (
+    "alleleOrigin",
+    "cases",
+    "chembl_molecule",
+    "clinvarAccession",
+    "comparison_name",
+    "dbSnps",
+    "disease_acronym",
+    "disease_id",
+    "disease_iri",
+    "disease_phenodigm_id",
+    "disease_uri",
+    "efo_id",
+    "gene",
+    "geneID",
+    "gene_name",
+    "gene_set",
+    "model_description",
+    "model_gene_id",
+    "model_genetic_background",
+    "mutationDescription",
+    "mutation_type",
+    "mutations",
+    "odds_ratio",
+    "original_disease_label",
+    "original_disease_name",
+    "panel_diseasegroup",
+    "panel_diseasesubgroup",
+    "panel_id",
+    "panel_name",
+    "panel_version",
+    "pathway_id",
+    "phenotype",
+    "pmid",
+    "predictionModel",
+    "previous_code",
+    "probe_id",
+    "publication_id",
+    "pubmed_refs",
+    "pvalue_annotation",
+    "reaction_activity",
+    "reaction_id",
+    "score",
+    "study_id",
+    "study_name",
+    "symbol",
+    "target",
+    "target_id",
+    "tumor_type",
+    "tumor_type_acronym",
+    "uniprot_release",
+    "url",
+    "variant",
+    "variant_id",
+)
 
 EVIDENCE = struct(
     access_level=S,

@@ -366,3 +366,22 @@ def record_id_open_fields(spark, sf_dir):
     source = F.concat(F.lit("s"), F.col("l_suppkey") % 3).alias("sourceID")
     lines = df.select(F.to_json(F.struct(source, own)).alias("value"))
     return jobs.parse_evidence(lines).groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "record_id_typed_fields",
+    """SELECT md5('{"lab":"' || (l_linenumber % 3) || '","pmid":"' || l_partkey ||
+      '","datasource":"s' || (l_suppkey % 3) || '"}') AS id, l_partkey AS pmid, count(*) AS n
+    FROM lineitem GROUP BY ALL""",
+)
+def record_id_typed_fields(spark, sf_dir):
+    """The same with a schema in DDL that lists a number among the identifying fields."""
+    df = table(spark, sf_dir, "lineitem", "l_linenumber", "l_partkey", "l_suppkey")
+    own = F.struct(
+        F.col("l_partkey").alias("pmid"), (F.col("l_linenumber") % 3).cast("string").alias("lab")
+    ).alias("unique_association_fields")
+    source = F.concat(F.lit("s"), F.col("l_suppkey") % 3).alias("sourceID")
+    lines = df.select(F.to_json(F.struct(source, own)).alias("value"))
+    found = jobs.parse_evidence(lines, "sourceID STRING, unique_association_fields STRUCT<pmid: BIGINT>")
+    key = F.col("unique_association_fields.pmid").alias("pmid")
+    return found.groupBy("id", key).agg(F.count(F.lit(1)).alias("n"))

@@ -601,7 +601,7 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def record_type() -> T.StructType:
     """The evidence schema with the stale field that the id must not use."""
-    unique = schemas.strings(schemas.ASSOCIATION_FIELDS + " datasource")
+    unique = schemas.strings((*schemas.ASSOCIATION_FIELDS, "datasource"))
     return T.StructType(
         [
             T.StructField(f.name, schemas.struct(**unique))

@@ -4,6 +4,7 @@ import re
 import pytest
 from pyspark.sql import Row, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from assayer.operators import compare, lookups, nested, profile, ranking
 
@@ -319,3 +320,11 @@ def test_lookups_are_computed_once(spark):
         joined = lookups.lookup_join(facts, lookup, F.col("g"), "k", max_bytes=max_bytes)
         assert "uuid" not in joined._jdf.queryExecution().toString()
         assert sorted(str(r.k) for r in joined.collect()) == ["1", "1", "None", "None"]
+
+
+def test_aligned_type_keeps_both(spark):
+    found = T.DataType.fromDDL("a BIGINT, s STRUCT<x: STRING, y: BIGINT>, l ARRAY<STRUCT<p: STRING>>")
+    needed = T.DataType.fromDDL("s STRUCT<y: DOUBLE, z: STRING>, l ARRAY<STRUCT<q: INT>>, t STRING")
+    assert nested.aligned_type(found, needed).simpleString() == (
+        "struct<a:bigint,s:struct<x:string,y:double,z:string>,l:array<struct<p:string,q:int>>,t:string>"
+    )
