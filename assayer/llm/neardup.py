@@ -33,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assayer.llm import common
@@ -356,17 +356,27 @@ def near_duplicates(
 def one_of_each(
     docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """The rows of the documents that stay; of rows with one id the first by text."""
-    found = near_duplicates(docs, words, percent, doc_id, text)
-    gone = found.filter("NOT kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias(doc_id))
-    gone = common.settle(gone.distinct())
-    kept = common.without(docs, gone, doc_id)
-    repeated = docs.filter(F.col(doc_id).isNotNull()).groupBy(doc_id).count().filter("count > 1")
-    repeated = common.settle(repeated.select(doc_id))
+    """One row of each group of near duplicates, and all rows without words.
+
+    Rows are told apart by the hash of their id and text, so only texts decide: rows
+    that share an id or have none are compared like all others. Of rows alike in both
+    one stays.
+    """
+    key = common.free_name(docs, "key")
+    keyed = docs.withColumn(key, F.xxhash64(doc_id, text))
+    found = common.settle(near_duplicates(keyed, words, percent, key, text))
+    # Of a group the row of the smallest id stays; one without an id only if none has one.
+    ids = keyed.select(key, F.col(doc_id).cast("long").alias("id")).distinct()
+    groups = found.select(F.col("doc_id").alias(key), "component_id").distinct().join(ids, key)
+    place = F.struct(F.col("id").isNull(), "id", key)
+    first = groups.groupBy("component_id").agg(F.min(place)[key].alias("stays"), F.count("*").alias("n"))
+    gone = groups.join(first.filter("n > 1"), "component_id").filter(F.col(key) != F.col("stays"))
+    gone = common.settle(gone.select(key))
+    kept = common.without(keyed, gone, key)
+    own = found.filter("n_shingles > 0").groupBy(F.col("doc_id").alias(key)).count()
+    repeated = common.settle(own.filter("count > 1").select(key))
     if repeated.isEmpty():
-        return kept
-    place = common.free_name(docs, "place")
-    first = Window.partitionBy(doc_id).orderBy(F.xxhash64(text), text)
-    single = common.without(kept, repeated, doc_id)
-    several = kept.join(repeated, doc_id, "left_semi").withColumn(place, F.row_number().over(first))
-    return single.unionByName(several.filter(F.col(place) == 1).drop(place))
+        return kept.drop(key)
+    single = common.without(kept, repeated, key)
+    several = kept.join(repeated, key, "left_semi").dropDuplicates([key])
+    return single.unionByName(several).drop(key)

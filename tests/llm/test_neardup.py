@@ -65,7 +65,22 @@ def test_one_row_of_each_stays(spark):
     rows = [(1, "a b c d e f"), (1, "a b c d e f"), (2, "a b c d e f"), (3, "x y"), (3, "x z")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "7 AS place")
     kept = neardup.one_of_each(docs).collect()
-    assert sorted(r.doc_id for r in kept) == [1, 3]
+    assert sorted(r.doc_id for r in kept) == [1, 3, 3]
+    # Both texts of id 3 stay: sharing an id does not make rows copies.
+
+
+def test_only_texts_decide_what_stays(spark):
+    """Rows that share an id or have none are compared like all others."""
+    words = [f"w{i}" for i in range(60)]
+    one, two, near = " ".join(words[:30]), " ".join(words[30:]), " ".join([*words[:29], "other"])
+    rows = [(1, one, 1), (1, two, 2), (None, one, 3), (None, two, 4), (None, None, 5), (2, near, 6)]
+    rows += [(3, two, 7), (3, two, 8), (4, "", 9), (4, "", 10), (None, "alone among all these words", 11)]
+    rows += [(None, "alone among all these words", 12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, key int")
+    kept = sorted(r.key for r in neardup.one_of_each(docs).collect())
+    assert kept[:2] == [1, 2] and kept[2:-1] == [5, 9, 10] and kept[-1] in (11, 12) and len(kept) == 6
+    assert neardup.one_of_each(docs).columns == docs.columns
+    assert neardup.one_of_each(docs.filter("false")).count() == 0
 
 
 def test_components_of_chains_and_stars(spark):
