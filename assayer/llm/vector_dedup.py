@@ -14,14 +14,19 @@ compared in blocks of bounded size, and a block gives counts and the smallest
 linked id for each vector in it, never pairs. A pair that only one side meets
 counts for both, which the block can tell from the cells the other one visits.
 
-NULL and empty vectors, zero vectors, those with NULL or non-finite components
-and those of another length than most have link with nothing. Rows without an id
-link with nothing and have no component. Repeated rows are vectors of their own.
+Vectors of different lengths do not link. Each length that many vectors have gets an
+index of its own; vectors of any other length lie in one cell and are all compared.
+
+NULL and empty vectors, zero vectors and those with NULL or non-finite components
+link with nothing. Rows without an id link with nothing and have no component.
+Repeated rows are vectors of their own; of rows of one id with different vectors the
+largest number of links counts.
 Extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 
@@ -46,7 +51,10 @@ SEED = 7
 # Indexed and looking vectors of a block, on average.
 BLOCK = 512
 
-_INDEXED = "id long, copies long, vector binary, cell int, probes array<int>"
+# Vectors of a length that are all compared, without an index.
+FEW = 4096
+
+_INDEXED = "length int, id long, copies long, vector binary, cell int, probes array<int>"
 _FOUND = "id long, n long, linked long"
 
 
@@ -143,14 +151,14 @@ def usable(rows: DataFrame, vec_id: str, vector: str) -> DataFrame:
         & F.forall("values", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < math.inf))
         & F.exists("values", lambda x: x != 0)
     )
-    lengths = good.groupBy(F.size("values").alias("length")).count()
-    most = lengths.orderBy(F.desc("count"), "length").first()
-    good = good.filter(F.size("values") == (most["length"] if most else 0))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            flat = batch.column("values").flatten().to_numpy().reshape(batch.num_rows, -1)
-            blobs = pa.array([v.tobytes() for v in flat], pa.binary())
+            values = batch.column("values")
+            ends = values.offsets.to_numpy()
+            flat = values.values.to_numpy().tobytes()
+            places = itertools.pairwise((8 * ends.astype(np.int64)).tolist())
+            blobs = pa.array([flat[i:j] for i, j in places], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("id"), blobs], names=["id", "vector"])
 
     return good.mapInArrow(pack, "id long, vector binary")
@@ -164,6 +172,8 @@ def fit(classes: DataFrame, count: int, threshold: float, recall: float = TARGET
 
 
 def _indexed(classes: DataFrame, grid: Grid) -> DataFrame:
+    """Vectors of one length with their cell and the cells they visit."""
+
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from assayer.llm.vector_dedup import stacked, unit
 
@@ -171,13 +181,30 @@ def _indexed(classes: DataFrame, grid: Grid) -> DataFrame:
             for k in range(0, batch.num_rows, 1000):
                 part = batch.slice(k, 1000)
                 cells, probes = grid.place(unit(stacked(part.column("vector").to_pylist())))
-                columns = [part.column(c) for c in ("id", "copies", "vector")]
+                columns = [part.column(c) for c in ("length", "id", "copies", "vector")]
                 columns += [pa.array(cells), pa.array(list(probes), pa.list_(pa.int32()))]
                 yield pa.RecordBatch.from_arrays(
-                    columns, names=["id", "copies", "vector", "cell", "probes"]
+                    columns, names=["length", "id", "copies", "vector", "cell", "probes"]
                 )
 
-    return classes.select("id", "copies", "vector").mapInArrow(place, _INDEXED)
+    return classes.select("length", "id", "copies", "vector").mapInArrow(place, _INDEXED)
+
+
+def _index(classes: DataFrame, threshold: float) -> DataFrame:
+    """All vectors, those of each frequent length by a grid of their own."""
+    sizes = classes.groupBy("length").agg(F.count(F.lit(1)).alias("n"))
+    # There are at most as many of them as vectors divided by FEW.
+    many = sizes.filter(F.col("n") > FEW).orderBy("length").collect()
+    lengths = [r["length"] for r in many]
+    rest = classes if not lengths else classes.filter(~F.col("length").isin(lengths))
+    index = rest.select(
+        "length", "id", "copies", "vector",
+        F.lit(0).alias("cell"), F.array(F.lit(0)).alias("probes"),
+    )
+    for row in many:
+        own = classes.filter(F.col("length") == row["length"])
+        index = index.unionByName(_indexed(own, fit(own, row["n"], threshold)))
+    return common.settle(index)
 
 
 def _compare(rows: pd.DataFrame, threshold: float) -> pd.DataFrame:
@@ -215,21 +242,22 @@ def _compare(rows: pd.DataFrame, threshold: float) -> pd.DataFrame:
 def _found(index: DataFrame, threshold: float) -> DataFrame:
     """Counts and links of all blocks: (id, n, linked), several rows for an id."""
     looks = index.select(
-        "id", "copies", "vector", F.col("cell").alias("from"), F.explode("probes").alias("cell")
+        "length", "id", "copies", "vector", F.col("cell").alias("from"), F.explode("probes").alias("cell")
     )
-    sizes = index.groupBy("cell").agg(F.count(F.lit(1)).alias("indexed"))
-    visits = looks.groupBy("cell").agg(F.count(F.lit(1)).alias("looking"))
+    at = ["length", "cell"]
+    sizes = index.groupBy(*at).agg(F.count(F.lit(1)).alias("indexed"))
+    visits = looks.groupBy(*at).agg(F.count(F.lit(1)).alias("looking"))
     blocks = common.settle(
-        sizes.join(visits, "cell").select(
-            "cell",
+        sizes.join(visits, at).select(
+            *at,
             F.ceil(F.col("indexed") / BLOCK).cast("int").alias("parts"),
             F.ceil(F.col("looking") / (4 * BLOCK)).cast("int").alias("groups"),
         )
     )
     part, group = (F.pmod(F.xxhash64("id"), F.col(c).cast("long")) for c in ("parts", "groups"))
     none = F.lit(None).cast("array<int>")
-    left = looks.join(blocks, "cell").select(
-        "cell",
+    left = looks.join(blocks, at).select(
+        *at,
         F.explode(F.expr("sequence(0L, parts - 1L)")).alias("part"),
         group.alias("group"),
         F.lit(True).alias("looks"),
@@ -239,8 +267,8 @@ def _found(index: DataFrame, threshold: float) -> DataFrame:
         "from",
         none.alias("probes"),
     )
-    right = index.join(blocks, "cell").select(
-        "cell",
+    right = index.join(blocks, at).select(
+        *at,
         part.alias("part"),
         F.explode(F.expr("sequence(0L, groups - 1L)")).alias("group"),
         F.lit(False).alias("looks"),
@@ -257,7 +285,7 @@ def _found(index: DataFrame, threshold: float) -> DataFrame:
         return _compare(rows.rename(columns={"cell": "block", "from": "cell"}), threshold)
 
     both = left.unionByName(right)
-    return both.groupBy("cell", "part", "group").applyInPandas(compare, _FOUND)
+    return both.groupBy(*at, "part", "group").applyInPandas(compare, _FOUND)
 
 
 def linked_vectors(
@@ -274,7 +302,7 @@ def linked_vectors(
     if not count:
         none = F.lit(None).cast("long")
         return _result(names.withColumns({"n_links": none, "component": none}))
-    index = common.settle(_indexed(classes, fit(classes, count, threshold)))
+    index = _index(classes.withColumn("length", (F.octet_length("vector") / 8).cast("int")), threshold)
     found = common.settle(
         _found(index, threshold).groupBy("id", "linked").agg(F.sum("n").alias("n"))
     )
@@ -290,7 +318,7 @@ def linked_vectors(
         F.col("id").alias("vec_id"),
         (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
     )
-    # Rows of one id with different vectors count their links together.
+    # An id with different vectors has the links of the one that has most.
     links = links.groupBy("vec_id").agg(F.max("n_links").alias("n_links"))
     return _result(
         names.join(links, "vec_id", "left")

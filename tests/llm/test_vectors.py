@@ -1,6 +1,7 @@
 """Linked vectors against all pairs."""
 
 import numpy as np
+import pytest
 
 from assayer.llm import vector_dedup
 
@@ -31,6 +32,28 @@ def test_unusable_vectors_and_none(spark):
     found = {r.vec_id: (r.n_links, r.component_id) for r in vector_dedup.linked_vectors(frame).collect()}
     assert found[0] == (1, 0) and found[1] == (1, 0)
     assert all(found[k] == (0, k) for k in range(2, 9))
+    # The vector of one component has none of its length to link with.
     assert found[None] == (0, None)
     assert vector_dedup.linked_vectors(frame.filter("vec_id = 2")).count() == 1
     assert vector_dedup.linked_vectors(frame.filter("false")).count() == 0
+
+
+@pytest.mark.parametrize("few", [4096, 100])
+def test_every_length_links(spark, monkeypatch, few):
+    """Vectors link with those of their own length, however few have it."""
+    monkeypatch.setattr(vector_dedup, "FEW", few)
+    random = np.random.default_rng(3)
+    rows = [(i, random.normal(size=3).tolist(), 7) for i in range(400)]
+    rows += [(1000 + i, (random.normal(size=5) * 0.01 + i % 40).tolist(), 7) for i in range(200)]
+    rows += [(2000, [1.0, 2.0], 7), (2001, [1.0, 2.0], 7), (2002, [2.0, 4.0], 7), (2003, [2.0, -1.0], 7), (2004, [3.0] * 5000, 7)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, vector int")
+    frame = frame.selectExpr("*", "'x' AS id", "1 AS cell", "2 AS length")
+    found = {r.vec_id: r for r in vector_dedup.linked_vectors(frame, 0.9).collect()}
+    assert [found[i].n_links for i in range(2000, 2005)] == [2, 2, 2, 0, 0]
+    assert found[2002].component_id == 2000 and not found[2002].kept and found[2004].kept
+    for low, high, size in ((0, 400, 3), (1000, 1200, 5)):
+        vectors = vector_dedup.unit(np.array([r[1] for r in rows if low <= r[0] < high]))
+        near = vectors @ vectors.T >= 0.9
+        want = near.sum() - len(vectors)
+        got = sum(found[i].n_links for i in range(low, high))
+        assert 0.95 * want <= got <= want and (few < 400 or got == want)
