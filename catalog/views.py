@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from assayer.config import EvidenceConfig, ScoringConfig
 from assayer.operators import checks
 from assayer.plans.jobs import ReferenceTables, parse_evidence
+from assayer.session import scratch_path
 from assayer.sources import schemas
 from assayer.sources.readers import spread
 
@@ -575,8 +576,25 @@ def record_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Where texts were written that would else be made anew for each query.
+_WRITTEN: dict[str, str] = {}
+
+
+def write_texts(spark: SparkSession, sf_dir: str) -> None:
+    """Write the records' texts once, so that queries read them like any input."""
+    path = scratch_path(spark, "texts")
+    _record_lines(spark, sf_dir).write.parquet(path)
+    _WRITTEN[sf_dir] = path
+
+
 def record_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Evidence records as JSON texts, one in fifty faulty in each of six ways."""
+    if sf_dir in _WRITTEN:
+        return spark.read.parquet(_WRITTEN[sf_dir])
+    return _record_lines(spark, sf_dir)
+
+
+def _record_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = ["disease", "evidence", "sourceID", "target", "type", "unique_association_fields"]
     df = record_rows(spark, sf_dir)
     record = F.to_json(F.struct(*parts))

@@ -44,24 +44,26 @@ def mutations(*pairs):
 
 
 CASES = [
-    ("known_drug", "chembl", {"drug2clinic": rs(0.7), "target2drug": rs(1)}, None, 0.7),
-    ("animal_model", "phenodigm", {"disease_model_association": rs(0.61)}, None, 0.61),
+    ("known_drug", "chembl", {"drug2clinic": rs(0.4), "target2drug": rs(2)}, None, 0.8),
+    ("animal_model", "phenodigm", {"disease_model_association": rs(0.25)}, None, 0.25),
     (
         "rna_expression", "expression_atlas",
-        {**rs(1.04e-13), "log2_fold_change": {"value": 1.5, "percentile_rank": 98}}, None, 0.147,
+        # Half of the decades of the p-value, 4 of 10 and 50 of 100.
+        {**rs(1e-5), "log2_fold_change": {"value": 4, "percentile_rank": 50}}, None, 0.5 * 0.4 * 0.5,
     ),
     (
         "rna_expression", "expression_atlas",
         {**rs(1e-12), "log2_fold_change": {"value": -40, "percentile_rank": 100}}, None, 1.0,
     ),
-    ("affected_pathway", "slapenrich", rs(1.29e-14, "pvalue"), None, 0.994470),
+    # Half way between 1e-4 and 1e-14, in the upper half.
+    ("affected_pathway", "slapenrich", rs(1e-9, "pvalue"), None, 0.75),
     ("affected_pathway", "reactome", rs(0.4, "probability"), None, 0.4),
     ("literature", "europepmc", rs(37), None, 0.37),
     ("literature", "europepmc", rs(370), None, 1.0),
     ("literature", "other", rs(37), None, 37.0),
-    ("somatic_mutation", "intogen", {**rs(0.75), "known_mutations": mutations((2, 31))}, None, 0.379032),
-    ("somatic_mutation", "intogen", rs(0.75), None, 0.75),
-    ("somatic_mutation", "intogen", {**rs(0.75), "known_mutations": []}, None, 0.75),
+    ("somatic_mutation", "intogen", {**rs(0.8), "known_mutations": mutations((4, 25))}, None, 0.8 * (0.5 + 0.2 / 18)),
+    ("somatic_mutation", "intogen", rs(0.8), None, 0.8),
+    ("somatic_mutation", "intogen", {**rs(0.8), "known_mutations": []}, None, 0.8),
     (
         "somatic_mutation", "intogen",
         {**rs(1.0), "known_mutations": mutations((None, 900), (50, 10), (3, 20))}, None,
@@ -71,11 +73,11 @@ CASES = [
     ("genetic_association", "uniprot", rs(1e-5, "pvalue"), None, 0.5),
     (
         "genetic_association", "eva",
-        {"gene2variant": rs(0.7), "variant2disease": rs(1e-7, "pvalue")}, None, 0.49,
+        {"gene2variant": rs(0.2), "variant2disease": rs(1e-3, "pvalue")}, None, 0.3 * 0.2,
     ),
     (
         "genetic_association", "eva",
-        {"gene2variant": rs(0.7), "variant2disease": rs(0.5, "probability")}, None, 0.35,
+        {"gene2variant": rs(0.2), "variant2disease": rs(0.5, "probability")}, None, 0.1,
     ),
     (
         "genetic_association", "gwas_catalog",
