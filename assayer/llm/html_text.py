@@ -66,6 +66,13 @@ ASIDE_NAMES = set(
     "breadcrumbs widget popup modal overlay subscribe newsletter signup login search pagination "
     "toolbar".split()
 )
+COMMENTS = set("comment comments disqus reply replies".split())
+# What an inline element is called that holds no part of its sentence.
+INLINE_ASIDE = set("ad ads advert advertisement promo sponsored".split())
+# A name that begins so says what a page has or lacks, not what the element is.
+ABOUT = set("with without no has is hide show".split())
+# A header of these is part of the text.
+OWN = set("entry article post page content story".split())
 MAIN = ("article", "main")
 LISTED = {"li": "li", "dt": "dt dd", "dd": "dt dd", "tr": "tr", "td": "td th", "th": "td th",
           "option": "option"}
@@ -82,17 +89,60 @@ _SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "aside", "main", "children")
+    __slots__ = ("tag", "aside", "main", "children", "comments", "unsure")
 
     def __init__(self, tag: str, rest: str = "") -> None:
         self.tag, self.children = tag, []
         marks = {k.lower(): v.strip("\"'").lower() for k, v in _MARKS.findall(rest)} if rest else {}
-        names = set(_NAME.findall(f"{marks.get('class', '')} {marks.get('id', '')}"))
+        names = aside_names(tag, f"{marks.get('class', '')} {marks.get('id', '')}") if marks else set()
         role = marks.get("role", "")
-        self.main = tag in MAIN or role == "main" or role == "article"
-        self.aside = not self.main and (
-            tag in ASIDE or role in ASIDE_ROLES or (tag not in ("html", "body") and bool(names & ASIDE_NAMES))
-        )
+        # A reader's comment is often an article of its own.
+        self.comments = bool(names & COMMENTS)
+        self.main = not self.comments and (tag in MAIN or role == "main" or role == "article")
+        declared = tag in ASIDE or role in ASIDE_ROLES
+        self.aside = not self.main and (declared or bool(names))
+        # Not if it holds most of the page after all.
+        self.unsure = self.aside and not self.comments and (not declared or tag == "form")
+
+
+def aside_names(tag: str, marks: str) -> set[str]:
+    """What the classes and the id of an element say it is, if it is no main text."""
+    found: set[str] = set()
+    if tag in ("html", "body"):
+        return found
+    for token in marks.split():
+        parts = _NAME.findall(token)
+        names = ASIDE_NAMES.intersection(parts)
+        if not names or parts[0] in ABOUT or (names == {"header"} and OWN.intersection(parts)):
+            continue
+        if tag not in INLINE or names & COMMENTS or token in INLINE_ASIDE:
+            found |= names
+    return found
+
+
+def keep_large(root: Node) -> None:
+    """Elements that only their names set aside are kept if they hold most of the text."""
+    sizes: dict[int, int] = {}
+
+    def measure(node: Node) -> int:
+        size = 0
+        for child in node.children:
+            size += len(child.strip()) if isinstance(child, str) else measure(child)
+        if node.unsure:
+            sizes[id(node)] = size
+        return size
+
+    whole = measure(root)
+
+    def decide(node: Node) -> None:
+        for child in node.children:
+            if not isinstance(child, str):
+                if child.unsure and 2 * sizes[id(child)] > whole:
+                    child.aside = False
+                decide(child)
+
+    if sizes:
+        decide(root)
 
 
 def parse(page: str) -> Node:
@@ -125,13 +175,21 @@ def parse(page: str) -> Node:
             close(tuple(LISTED[tag].split()), True)
         if tag in MAIN:  # never inside an unclosed menu or the like
             for k in range(1, len(stack)):
-                if stack[k].aside:
+                if stack[k].comments:
+                    break
+                if stack[k].aside and not stack[k].unsure:
                     del stack[k:]
                     break
         node = Node(tag, token["rest"])
         stack[-1].children.append(node)
-        if tag not in VOID and not token["rest"].endswith("/") and len(stack) < DEEPEST:
+        if tag not in VOID and not token["rest"].endswith("/"):
+            if len(stack) >= DEEPEST and not node.aside:
+                # What is in it stands behind it, so that no tree is too deep to walk.
+                node = Node(tag)
+                node.aside = node.main = node.unsure = False
+                node.children = stack[-1].children
             stack.append(node)
+    keep_large(root)
     return root
 
 

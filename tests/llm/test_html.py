@@ -1,5 +1,7 @@
 """Main texts of pages."""
 
+import pytest
+
 from assayer.llm import html_text
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style></head><body>
@@ -66,3 +68,32 @@ def test_simple_tree_matching():
     pairs = html_text.align(one, two)
     assert len(pairs) == 4 and ((1, 0), (0, 0)) in pairs and ((2,), (2,)) in pairs
     assert html_text.skeleton(html_text.parse('<ul><li>a<li>b</ul><p>x'))[0] == ['#', ['ul', ['*li']], ['p']]
+
+
+BODY = "<p>Words of the text that matter here.</p>" * 3
+
+
+@pytest.mark.parametrize(
+    "page, has, lacks",
+    [
+        (f'<div class="layout with-sidebar"><div class="sidebar">Side links</div>{BODY}</div>', "matter", "Side links"),
+        (f'<div id="page" class="no-menu">{BODY}</div>', "matter", "nothing"),
+        (f'<div class="widget">{BODY}</div><p>rest</p>', "matter", "nothing"),
+        (f'<form id="all"><div>{BODY}</div><input name="q"></form>', "matter", "nothing"),
+        (f'<article><div class="entry-header"><h1>Head line</h1></div>{BODY}</article>', "Head line", "nothing"),
+        ('<article><p>A <span class="side">small</span> word stays.</p></article>', "A small word stays.", "nothing"),
+        ('<article><p>Text <span class="ad">Buy it</span> goes on.</p></article>', "goes on.", "Buy it"),
+        (
+            f'<article>{BODY}</article><div id="comments"><article class="comment-body"><p>Nice one</p></article></div>',
+            "matter", "Nice one",
+        ),
+        (f'<main>{BODY}<div class="post-comments"><p>Nice one</p></div></main>', "matter", "Nice one"),
+        (
+            "<div>" * 300 + f'{BODY}<nav><ul><li>Menu item</li></ul></nav><div class="footer">Foot note</div>' + "</div>" * 300,
+            "matter", "Menu item",
+        ),
+    ],
+)
+def test_names_do_not_lose_text(page, has, lacks):
+    found = html_text.extract(page, None, None)
+    assert has in found and lacks not in found and "Foot note" not in found
