@@ -1,6 +1,9 @@
 """Differencing by hand and over documents."""
 
-from assayer.llm import shard
+import zlib
+from collections import Counter, defaultdict
+
+from assayer.llm import queries, shard
 
 
 def test_difference_evens_sums():
@@ -31,3 +34,22 @@ def test_rows_groups_and_slots(odd_docs, no_docs):
     assert len(empty) == 3 and len({r.shard for r in empty}) == 1
     assert len({r.shard for r in rows if r.doc_id == 2}) == 1
     assert shard.shard_by_bytes(no_docs, 8).count() == 0
+
+
+def test_query_against_the_texts(spark, docs):
+    """Sizes, checksums, groups, slots and balance of the query's rows, from the texts."""
+    texts = dict(docs.select("doc_id", "text").collect())
+    rows = queries.op1(spark, "/root/testdata/sf0.001").collect()
+    assert sorted(r.doc_id for r in rows) == sorted(texts)
+    shard_of, total, groups, slots = {}, Counter(), Counter(), defaultdict(list)
+    for row in rows:
+        body = (texts[row.doc_id] or "").encode()
+        assert (row.size, row.text_crc32) == (len(body) + 1, zlib.crc32(body))
+        assert row.law == "bytes" and 0 <= row.shard < 8 and row.grown_shard is None
+        assert shard_of.setdefault(body, row.shard) == row.shard
+        total[row.shard] += row.size
+        groups[body] += row.size
+        slots[row.shard].append(row.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    # No other dealing of whole groups comes closer than the largest group allows.
+    assert max(total.values()) <= max(max(groups.values()), sum(total.values()) / 8 * 1.001)
