@@ -60,7 +60,7 @@ def test_odd_documents(spark, odd_docs):
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_against_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "benchmark"):
+    for table in ("documents", "benchmark", "embeddings"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     want = con.execute(queries.ORACLES[name])
     columns = [c[0] for c in want.description]
