@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assayer.llm import alignment, common, decontaminate, hard_negatives, html_text, labelled, neardup, pieces, quality, secret_scan, shard, suffix_dedup, token_files, toxicity, vector_dedup
@@ -112,10 +112,12 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents", "doc_id", "text")
     found = secret_scan.scan(docs).drop("text")
     fixed = F.filter("spans", lambda s: s["kind"] < 3)
-    counts = {
-        f"n_{name}": F.size(F.filter("spans", lambda s, i=i: s["kind"] == i)).cast("long")
-        for i, name in enumerate(secret_scan.KINDS[:3])
-    }
+
+    def count(kind: int) -> Column:
+        # Of one argument: `filter` gives a second one the place in the array.
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    counts = {f"n_{name}": count(i) for i, name in enumerate(secret_scan.KINDS[:3])}
     return found.select(
         "doc_id",
         *[count.alias(name) for name, count in counts.items()],

@@ -1,5 +1,6 @@
 """Spans against regular expressions, and random strings among words."""
 
+import hashlib
 import random
 import re
 from collections import Counter
@@ -7,7 +8,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from assayer.llm import secret_scan
+from assayer.llm import queries, secret_scan
 
 ASSIGN = re.compile(
     r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -96,3 +97,16 @@ def test_redaction(spark):
     found = secret_scan.scan(frame)
     texts = [r[0] for r in found.select(secret_scan.redacted(F.col("text"), F.col("spans"))).collect()]
     assert texts == ["a [secret] b [secret]", "x", None]
+
+
+def test_counts_of_the_query(spark, tmp_path):
+    # Spans whose kind is not their place among the spans, and the other way round.
+    made = ["AKIA" + "A" * 16, "f" * 24, "token=abcdef " * 3, "f" * 24 + " AKIA" + "A" * 16 + " token=abcdef", "", None]
+    rows = list(enumerate(made + texts()))
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r.doc_id: r for r in queries.op7(spark, str(tmp_path)).collect()}
+    for i, text in rows:
+        spans, r = fixed(text or ""), found[i]
+        assert [r.n_assign, r.n_access, r.n_hex] == [sum(s[1] == k for s in spans) for k in range(3)], text
+        joined = ",".join(f"{secret_scan.KINDS[k]}:{a}:{b}" for a, k, b in spans)
+        assert r.base_sha256 == hashlib.sha256(joined.encode()).hexdigest(), text
