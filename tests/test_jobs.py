@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from assayer.config import EvidenceConfig, ScoringConfig
-from assayer.operators import normalize
+from assayer.operators import associate, normalize
 from assayer.plans import jobs
 from assayer.sources import schemas
 
@@ -280,3 +280,13 @@ def test_non_reference_lookup(spark):
 def test_accession_lookup_keeps_primary_without_others(refs):
     found = {tuple(r) for r in normalize.accession_lookup(refs.genes).collect()}
     assert found == {("ENSG01", "P1"), ("ENSG01", "Q1"), ("ENSG01", "Q2"), ("ENSG03", "P3")}
+
+
+def test_ranks_read_written_rows(spark, lines, refs, tmp_path, monkeypatch):
+    # Ranking reads its rows several times; each must be a read of a table, not the whole job.
+    seen, rank = [], associate.evidence_scores
+    monkeypatch.setattr(associate, "evidence_scores", lambda df, config: seen.append(df) or rank(df, config))
+    frame = jobs.prepare_scores(jobs.prepare_evidence(lines, refs))
+    jobs.calculate_scores(frame, str(tmp_path), save_evidence_scores=True, config=ScoringConfig(on_invalid="null"))
+    assert "from_json" not in seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert all("/expanded-" in path for path in seen[0].inputFiles())
