@@ -1,12 +1,14 @@
 import math
+from functools import partial
 
 import pytest
 from pyspark.sql import functions as F
 
-from assayer.functions import text
+from assayer.functions import jsonrules, text
 from assayer.functions.jsonrules import first_violation
 from assayer.functions.lookup import weight_of
 from assayer.functions.numeric import clip, p_value_score, rescale
+from assayer.operators import checks
 
 
 def values(spark, *columns):
@@ -257,3 +259,61 @@ def test_recursion_below_a_choice_is_refused():
     schema = {"anyOf": [{"type": "string"}, {"items": {"$ref": "#"}}]}
     with pytest.raises(ValueError, match="recursion below anyOf"):
         first_violation(schema, F.col("v"))
+
+
+RULES = {
+    "type": "object",
+    "required": ["type", "target", "evidence"],
+    "properties": {
+        "type": {"type": "string", "enum": ["a", "b\"c", 5]},
+        "no": False,
+        "target": {"type": "object", "required": ["id"], "properties": {"id": {"type": "string", "minLength": 2}}},
+        "evidence": {
+            "type": "object",
+            "properties": {
+                "codes": {"type": "array", "items": {"type": "string"}},
+                "date": {"type": "string", "format": "date-time"},
+                "score": {"type": "object", "properties": {"value": {"type": ["number", "null"], "minimum": 0}}},
+            },
+        },
+    },
+}
+DOCUMENTS = [
+    "", "null", "5", "[]", "{}", "{", '{"a":1,"a":2}', '{"type":"a"}',
+    *[
+        '{"sourceID":"s\\u00e9\\n","disease":{"id":%s},"type":%s,"target":%s,"evidence":%s}' % (disease, kind, target, evidence)
+        for disease in ('"d"', "5", "null")
+        for kind in ('"a"', '"b\\"c"', '"d"', "5", "null", '""', '"\\\\"')
+        for target in ('{"id":"xy"}', '{"id":"x"}', '{"id":7}', "{}", "null", '"t"', "[]", '{"ID":"xy"}')
+        for evidence in (
+            "{}", "null", "[]", '{"codes":["a"]}', '{"codes":["a",1]}', '{"codes":"a"}', '{"date":"2019-10-30"}',
+            '{"date":"no"}', '{"date":null}', '{"score":null}', '{"score":{"value":-1}}', '{"score":{"value":null}}',
+            '{"score":{"value":"1"}}', '{"score":{"value":1.5}}',
+        )
+    ],
+    '{"sourceID":"s","disease":{"id":"d"},"type":"a","target":{"id":"xy"},"evidence":{},"no":1}',
+]
+
+
+def test_outline_tells_what_all_rules_tell(spark):
+    df = spark.createDataFrame([(t,) for t in DOCUMENTS], "value string")
+    parsed = df.select("value", F.try_parse_json("value").alias("parsed"))
+    for schema in (None, RULES, {**RULES, "minProperties": 4}, {"properties": {"target": True, "type": {"const": "a"}}}):
+        at_once = F.transform(F.array("parsed"), partial(jsonrules.findings, schema))
+        each = F.struct(
+            jsonrules.is_object(F.col("parsed")).alias("is_object"),
+            *[
+                F.when(F.schema_of_variant(F.try_variant_get("parsed", path, "variant")) == "STRING",
+                       F.try_variant_get("parsed", path, "string")).alias(name)
+                for name, path, _ in jsonrules.REQUIRED_STRINGS
+            ],
+            (F.lit(None) if schema is None else jsonrules.first_violation(schema, F.col("parsed"))).alias("violation"),
+        )
+        for text, a, b in parsed.select("value", at_once[0], each).collect():
+            assert a == b, (schema, text)
+
+
+def test_parsed_text_stays_in_the_generator(spark, plan):
+    checked = checks.classify_lines(spark.createDataFrame([("{}",)], "value string"), RULES)
+    assert "variant" not in str(checked._jdf.queryExecution().optimizedPlan().output())
+    assert "parsed#" not in plan(checked)
