@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Elements in an XML file, which is read by one task, however large it is.
+XML_ROWS = 16384
+
 
 def save(
     df: DataFrame,
@@ -51,6 +54,19 @@ def size_of(spark: SparkSession, path: str) -> int:
     return files.getContentSummary(where).getLength()
 
 
+def save_xml(
+    df: DataFrame, path: str, row_tag: str, root_tag: str, rows_per_file: int = XML_ROWS
+) -> DataFrame:
+    """XML files of a bounded number of elements each.
+
+    Spark does not split an XML file, so a task that wrote all of its rows to one
+    would have all of them read by one task, too.
+    """
+    return save(
+        df, path, fmt="xml", rowTag=row_tag, rootTag=root_tag, maxRecordsPerFile=str(rows_per_file)
+    )
+
+
 def save_single_json(df: DataFrame, path: str) -> DataFrame:
     """One gzip-compressed JSON file; for small extracts only."""
     return save(df.coalesce(1), path, fmt="json", compression="gzip")

@@ -178,7 +178,7 @@ def xml_source(spark, sf_dir):
     """Entries written as XML elements with attributes and lists."""
     key, size = F.col("p_partkey"), F.col("p_size")
     both = F.array(text("P", key), text("Q", key))
-    df = table(spark, sf_dir, "part").select(
+    df = readers.spread(table(spark, sf_dir, "part")).select(
         F.slice(both, 1, F.when(size % 2 == 0, 2).otherwise(1)).alias("accession"),
         text("ENTRY", key).alias("name"),
         F.struct(F.col("p_type").alias("_VALUE"), F.lit("scientific").alias("_type")).alias(
@@ -187,7 +187,7 @@ def xml_source(spark, sf_dir):
         F.struct(size.alias("_position")).alias("begin"),
     )
     out = path(spark, "entries")
-    writers.save(df, out, fmt="xml", rowTag="entry", rootTag="entries")
+    writers.save_xml(df, out, "entry", "entries")
     schema = """accession ARRAY<STRING>, name STRING,
       organism STRUCT<_VALUE: STRING, _type: STRING>, begin STRUCT<_position: INT>"""
     read = readers.read_xml(spark, out, "entry", schema)
@@ -240,7 +240,7 @@ def xml_entry_report(spark, sf_dir):
     second = F.when(size % 2 == 0, "domain").otherwise("pathway")
     comments = F.array(comment(F.lit("function"), F.col("p_name")), comment(second, F.when(size % 3 == 0, F.col("p_brand"))))
     features = F.array(feature("chain", F.lit(1), size, None), feature("site", None, None, 20 + key % 40))
-    df = table(spark, sf_dir, "part").select(
+    df = readers.spread(table(spark, sf_dir, "part")).select(
         F.slice(F.array(text("P", key), text("Q", key)), 1, F.when(size % 5 == 0, 2).otherwise(1)).alias("accession"),
         F.array(F.col("p_type")).alias("name"),
         F.slice(comments, 1, F.when(key % 6 == 5, 1).otherwise(2)).alias("comment"),
@@ -248,7 +248,7 @@ def xml_entry_report(spark, sf_dir):
         F.struct(F.lit("MKV").alias("_VALUE"), F.lit(60).cast("bigint").alias("_length")).alias("sequence"),
     )
     out = path(spark, "protein-entries")
-    writers.save(df, out, fmt="xml", rowTag="entry", rootTag="entries")
+    writers.save_xml(df, out, "entry", "entries")
     return entry_report(readers.read_xml(spark, out, "entry", schemas.ENTRY))
 
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from assayer.operators.entries import covered_positions, entry_report
-from assayer.sources import readers, schemas
+from assayer.sources import readers, schemas, writers
 
 XML = """<?xml version="1.0"?>
 <entries>
@@ -50,3 +50,11 @@ def test_report_from_xml(spark, tmp_path):
 def test_positions_covered_within_a_record(spark, spans, n):
     df = spark.createDataFrame([(spans,)], "s array<struct<begin:bigint,end:bigint>>")
     assert df.select(covered_positions(F.col("s")).alias("n")).first().n == n
+
+
+def test_xml_files_are_bounded(spark, tmp_path):
+    rows = spark.range(50).coalesce(1).select(F.array(F.col("id").cast("string")).alias("accession"))
+    writers.save_xml(rows, str(tmp_path / "xml"), "entry", "entries", rows_per_file=10)
+    found = readers.read_xml(spark, str(tmp_path / "xml"), "entry", schemas.ENTRY)
+    assert len(found.inputFiles()) == 5
+    assert sorted(int(r.accession[0]) for r in found.collect()) == list(range(50))
