@@ -267,7 +267,7 @@ def differences(
     no difference, in whatever order they come. What is left of a key on both sides
     is numbered by all fields and compared one by one, so a record too many on one
     side is missing on the other. The unequal records are written to the shared
-    folder once, as a rule a small part of the frames.
+    folder once, as a rule a small part of the frames, and so is what is left of them.
     """
     if left.schema.simpleString() != right.schema.simpleString():
         raise AssertionError(
@@ -278,7 +278,11 @@ def differences(
     path = scratch_path(left.sparkSession, "unequal")
     unequal = save_and_read(unequal_records(left, right, keys), path)
     near = any(kinds[f].startswith(REALS) for f in fields) and tolerance > 0
-    rest = _without_near(unequal, keys, kinds, tolerance) if near else unequal
+    # Each side is read several times to be numbered, which must not match it anew.
+    rest = unequal
+    if near:
+        path = scratch_path(left.sparkSession, "rest")
+        rest = save_and_read(_without_near(unequal, keys, kinds, tolerance), path)
 
     def side(where: str, name: str) -> DataFrame:
         one = F.explode(F.sequence(F.lit(1).cast("bigint"), F.abs("__n"))).alias("__copy")
