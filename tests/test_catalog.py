@@ -1,13 +1,14 @@
 """The registered queries: contract, and all of the library's against DuckDB."""
 
 import math
+import re
 
 import duckdb
 import pytest
 from conftest import SF_DIR
 
 import __spark_entry__ as driver
-from catalog import ORACLES, QUERIES
+from catalog import ORACLES, QUERIES, views
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -52,3 +53,18 @@ def test_query_matches_sql(spark, duck, name):
     found = comparable(df.columns, df.collect())
     cursor = duck.execute(driver.oracle_sql()[name])
     assert found == comparable([d[0] for d in cursor.description], cursor.fetchall())
+
+
+def test_record_texts_are_made_by_compiled_code(spark, plan, capsys):
+    lines = views._record_lines(spark, SF_DIR)
+    # The parts of a record are no function of an array's element, which is interpreted.
+    assert "biological_model" in plan(lines)
+    assert "lambdafunction(named_struct" not in plan(lines)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        views._record_lines(spark, SF_DIR).explain("codegen")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    # Longer methods are never compiled by the JVM.
+    assert sizes and max(sizes) < 8000
