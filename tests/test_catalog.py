@@ -59,7 +59,7 @@ def test_record_texts_are_made_by_compiled_code(spark, plan, capsys):
     lines = views._record_lines(spark, SF_DIR)
     # The parts of a record are no function of an array's element, which is interpreted.
     assert "biological_model" in plan(lines)
-    assert "lambdafunction(named_struct" not in plan(lines)
+    assert "lambdafunction(struct(" not in plan(lines)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         views._record_lines(spark, SF_DIR).explain("codegen")
