@@ -317,3 +317,26 @@ def test_parsed_text_stays_in_the_generator(spark, plan):
     checked = checks.classify_lines(spark.createDataFrame([("{}",)], "value string"), RULES)
     assert "variant" not in str(checked._jdf.queryExecution().optimizedPlan().output())
     assert "parsed#" not in plan(checked)
+
+
+def test_lines_are_told_by_compiled_steps_as_by_all_rules(spark, plan):
+    lines = spark.createDataFrame([(t,) for t in DOCUMENTS], "value string")
+    schemas = (None, RULES, {**RULES, "minProperties": 4})
+    for schema in schemas:
+        found = F.transform(F.array(F.try_parse_json("value")), partial(jsonrules.findings, schema))
+        each = {r.value: r for r in lines.select("value", F.inline(found)).collect()}
+        for row in checks.classify_lines(lines, schema).collect():
+            told, reason = each[row.value], None
+            if not told.is_object:
+                reason = jsonrules.CORRUPT
+            elif told.violation is not None:
+                reason = jsonrules.NONCOMPLIANT
+            missing = [m for name, _, m in jsonrules.REQUIRED_STRINGS if told[name] is None]
+            if told.is_object and missing:
+                reason = missing[0]
+            assert (row.reason, row.is_valid) == (reason, reason is None), (schema, row.value)
+            assert [row[n] for n, _, _ in jsonrules.REQUIRED_STRINGS] == [told[n] for n, _, _ in jsonrules.REQUIRED_STRINGS]
+            if reason == jsonrules.NONCOMPLIANT:
+                assert row.error == told.violation
+    # What is read of a text is no function of an array's element, which is interpreted.
+    assert "inline(array(struct(at, try_variant_get(" in plan(checks.classify_lines(lines, RULES))
