@@ -1,8 +1,11 @@
+import hashlib
+import json
 import math
 from functools import partial
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from assayer.functions import jsonrules, text
 from assayer.functions.jsonrules import first_violation
@@ -340,3 +343,25 @@ def test_lines_are_told_by_compiled_steps_as_by_all_rules(spark, plan):
                 assert row.error == told.violation
     # What is read of a text is no function of an array's element, which is interpreted.
     assert "inline(array(struct(at, try_variant_get(" in plan(checks.classify_lines(lines, RULES))
+
+
+def test_id_counts_all_keys_whether_listed_or_not(spark, plan):
+    maps = [
+        {"b": "1", "a": "x\"y"}, {"b": "1", "zz": "2"}, {"b": None, "zz": "2"}, {"datasource": "old", "a": "1"},
+        {"sourceID": "old", "b": "1"}, {}, None, {"b": None}, {"n": "07", "a": "\u00e9"},
+    ]
+    rows = [(i, source, m) for i, m in enumerate(maps) for source in ("s", None)]
+    df = spark.createDataFrame(rows, "i int, sourceID string, unique_association_fields map<string,string>")
+    kinds = {"datasource": T.StringType(), "b": T.StringType(), "a": T.StringType(), "n": T.IntegerType()}
+    listed = text.add_record_id(df, listed=kinds)
+    for row in listed.collect():
+        own = {k: v for k, v in (maps[row.i] or {}).items() if v is not None and k not in ("sourceID", "datasource")}
+        if row.sourceID is not None:
+            own["sourceID"] = row.sourceID
+        key = json.dumps(
+            {"datasource" if k == "sourceID" else k: own[k] for k in sorted(own)}, ensure_ascii=False, separators=(",", ":")
+        )
+        assert row.id == hashlib.md5(key.encode()).hexdigest(), (maps[row.i], key)
+        unique = row.unique_association_fields
+        assert unique.datasource == row.sourceID and unique.n == (7 if "n" in own else None)
+    assert "id:texts" in plan(listed)
