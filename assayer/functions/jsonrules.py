@@ -719,12 +719,47 @@ def _signs(
             plain = _is_plain(sub, root)
             found += _signs(sub, at[name], outline[name], root, strings, here) if plain else [(True, F.lit(False))]
         else:
-            broken = _broken_rule(sub, at[name], here, root, strings.get(here))
             compiled = here in strings and not set(resolved(sub, root)) - COMPILED
-            found.append((compiled, at[name].isNull() | broken.isNull()))
+            sign = None if here in strings else _compiled_sign(sub, Node(at[name]), root)
+            if sign is None:
+                sign = _broken_rule(sub, at[name], here, root, strings.get(here)).isNull()
+            else:
+                compiled = True
+            found.append((compiled, at[name].isNull() | sign))
     return found
 
 
+# Rules of a number that take no function of an array's element.
+NUMERIC = ANNOTATIONS | {
+    "type", "minimum", "maximum", "exclusiveMinimum", "exclusiveMaximum", "multipleOf",
+}
+
+
+def _compiled_sign(schema: Mapping | bool, node: Node, root: Rules) -> Column | None:
+    """A sign that tells in compiled code that a present value conforms for certain:
+    a number, a list of strings or an object of such values. None if there is none.
+    """
+    if isinstance(schema, bool) or "$ref" in schema and set(schema) - ANNOTATIONS - {"$ref"}:
+        return None
+    if schema.get("$ref") in root.recursive:
+        return None
+    rules = resolved(schema, root)
+    kind, keywords = rules.get("type"), set(rules) - ANNOTATIONS
+    if kind in ("number", "integer", "boolean") and not keywords - NUMERIC:
+        return _first(violations(rules, node, root)).isNull()
+    if kind == "array" and keywords == {"type", "items"} and rules["items"] == {"type": "string"}:
+        # Nulls among strings do not show in the type, so a list with such a text is none for certain.
+        return (node.kind == "ARRAY<STRING>") & ~F.to_json(node.value).contains("null")
+    if kind == "object" and keywords == {"type", "properties"}:
+        children = {name: node.child(name) for name in rules["properties"]}
+        signs = {n: _compiled_sign(rules["properties"][n], child, root) for n, child in children.items()}
+        if any(sign is None for sign in signs.values()):
+            return None
+        is_object = is_type(node, "object", hints=scalar_hints(rules, root))
+        return is_object & _every(~children[n].present | sign for n, sign in signs.items())
+    return None
+
+
 def _every(conditions: Iterable[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions, F.lit(True))
 

@@ -86,7 +86,7 @@ def _told_by_outline(lines: DataFrame, outline: jsonrules.Outline) -> DataFrame:
             F.try_parse_json("value"), lambda parsed: jsonrules.first_violation(outline.schema, parsed)
         )
         # A text that is no object or lacks a string is refused for that.
-        complete = [F.col(name).isNotNull() for name in ["at", *names]]
+        complete = [F.col("is_object"), *[F.col(name).isNotNull() for name in names]]
         violation = F.when(reduce(and_, complete) & ~(F.col("sure") & rest), all_rules)
     return df.select("value", "is_object", *names, _once(violation.alias("violation")))
 

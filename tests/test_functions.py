@@ -365,3 +365,34 @@ def test_id_counts_all_keys_whether_listed_or_not(spark, plan):
         unique = row.unique_association_fields
         assert unique.datasource == row.sourceID and unique.n == (7 if "n" in own else None)
     assert "id:texts" in plan(listed)
+
+
+def test_lists_and_objects_are_told_by_compiled_steps(spark):
+    string, number = {"type": "string"}, {"type": "number", "minimum": 0, "exclusiveMaximum": 9}
+    schema = {
+        "type": "object",
+        "properties": {
+            "codes": {"type": "array", "items": string},
+            "score": {"$ref": "#/definitions/score"},
+            "size": {"type": "integer"},
+        },
+        "definitions": {"score": {"type": "object", "properties": {"value": number, "flag": {"type": "boolean"}}}},
+    }
+    outline = jsonrules.Outline(schema)
+    df = spark.range(1).select(outline.read(F.try_parse_json(F.lit("{}"))).alias("at"))
+    strings = {pointer: F.lit(None).cast("string") for pointer in outline.strings()}
+    _, rest = outline.signs(F.col("at"), strings)
+    # No rule is left to functions of an array's element, which are interpreted.
+    assert df.select(rest.alias("rest")).first().rest is True and "exists" not in str(rest)
+    codes = ["[]", '["a"]', '["a", null]', '["null"]', '["a", 1]', "[1]", "[null]", '"a"', "null", "{}", '[["a"]]']
+    scores = ["{}", '{"value": 1}', '{"value": -1}', '{"value": 9}', '{"value": "1"}', '{"value": null}',
+              '{"flag": true, "value": 1e0}', '{"flag": 1}', "[]", "5", "null", '{"other": "x"}']
+    sizes = ["1", "1.5", "1e2", '"1"', "null"]
+    found = [("codes", v) for v in codes] + [("score", v) for v in scores] + [("size", v) for v in sizes]
+    base = '{"sourceID": "s", "type": "t", "target": {"id": "x"}, "disease": {"id": "y"}, '
+    texts = [(f'{base}"{name}": {value}}}',) for name, value in found]
+    lines = spark.createDataFrame(texts, "value string")
+    told = {r.value: r.error for r in checks.classify_lines(lines, schema).collect()}
+    every = lines.select("value", first_violation(schema, F.try_parse_json("value")).alias("error"))
+    assert told == {r.value: r.error for r in every.collect()}
+    assert sum(error is None for error in told.values()) == 9
