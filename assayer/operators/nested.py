@@ -66,6 +66,24 @@ def aligned_type(found: T.DataType, needed: T.DataType) -> T.DataType:
     return needed
 
 
+def pruned_type(kind: T.StructType, paths: Iterable[str]) -> T.StructType:
+    """A type with the fields at some dotted paths only, in their order; KeyError if
+    there is none. A path that ends at a struct keeps all of it.
+    """
+    below: dict[str, list[str]] = {}
+    for path in paths:
+        type_at(kind, path)
+        first, _, rest = path.partition(".")
+        below.setdefault(first, []).append(rest)
+    return T.StructType(
+        [
+            f if "" in below[f.name] else T.StructField(f.name, pruned_type(f.dataType, below[f.name]))
+            for f in kind
+            if f.name in below
+        ]
+    )
+
+
 def has_path(schema: T.StructType, path: str) -> bool:
     try:
         type_at(schema, path)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from assayer.config import EvidenceConfig, ScoringConfig
 from assayer.functions.text import add_record_id
 from assayer.operators import associate, checks, normalize
-from assayer.operators.nested import aligned_type, same_schema
+from assayer.operators.nested import aligned_type, pruned_type, same_schema
 from assayer.session import scratch_path
 from assayer.sources import schemas
 from assayer.sources.readers import (
@@ -110,6 +110,19 @@ def parse_evidence(lines: DataFrame, schema: T.StructType | str | None = schemas
     return add_record_id(parse_json(lines, kind), listed=listed)
 
 
+def parse_fields(
+    lines: DataFrame, paths: Iterable[str], schema: T.StructType | str | None = schemas.EVIDENCE
+) -> DataFrame:
+    """The fields of nested records at some paths, without their id.
+
+    Spark does not prune what a generator parses, and a record's many other fields
+    cost more to make and to copy than those that a job of few fields needs.
+    """
+    kind = record_kind(lines, schema)
+    found = T.DataType.fromDDL(kind) if isinstance(kind, str) else kind
+    return parse_json(lines, pruned_type(found, paths))
+
+
 def normalize_evidence(
     df: DataFrame, refs: ReferenceTables, config: EvidenceConfig = EvidenceConfig()
 ) -> DataFrame:

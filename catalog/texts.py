@@ -292,16 +292,16 @@ def json_schema_keywords(spark, sf_dir):
     FROM parsed""",
 )
 def json_parse(spark, sf_dir):
-    return rounded(
-        records(spark, sf_dir).select(
-            "type",
-            F.col("sourceID").alias("source_id"),
-            F.col("disease.id").alias("disease_url"),
-            F.col("evidence.target2drug.resource_score.value").alias("target2drug"),
-            F.col("evidence.drug2clinic.resource_score.value").alias("drug2clinic"),
-            F.col("evidence.variant2disease.gwas_sample_size").alias("sample_size"),
-        )
-    )
+    paths = {
+        "type": "type",
+        "source_id": "sourceID",
+        "disease_url": "disease.id",
+        "target2drug": "evidence.target2drug.resource_score.value",
+        "drug2clinic": "evidence.drug2clinic.resource_score.value",
+        "sample_size": "evidence.variant2disease.gwas_sample_size",
+    }
+    df = records(spark, sf_dir, *paths.values())
+    return rounded(df.select(*[F.col(path).alias(name) for name, path in paths.items()]))
 
 
 @query(

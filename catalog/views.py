@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from assayer.config import EvidenceConfig, ScoringConfig
 from assayer.operators import checks
-from assayer.plans.jobs import ReferenceTables, parse_evidence
+from assayer.plans.jobs import ReferenceTables, parse_evidence, parse_fields
 from assayer.session import scratch_path
 from assayer.sources import schemas
 from assayer.sources.readers import spread
@@ -627,10 +627,13 @@ def _record_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("l_orderkey", "l_linenumber", value.alias("value"))
 
 
-def records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The records that pass the schema check, parsed, with their ids."""
+def records(spark: SparkSession, sf_dir: str, *paths: str) -> DataFrame:
+    """The records that pass the schema check, parsed, with their ids; given paths,
+    only the fields there.
+    """
     checked = checks.classify_lines(record_lines(spark, sf_dir), RECORD_SCHEMA)
-    return parse_evidence(checks.passed(checked), record_type())
+    valid = checks.passed(checked)
+    return parse_fields(valid, paths, record_type()) if paths else parse_evidence(valid, record_type())
 
 
 def record_type() -> T.StructType:

@@ -68,3 +68,14 @@ def test_record_texts_are_made_by_compiled_code(spark, plan, capsys):
     sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
     # Longer methods are never compiled by the JVM.
     assert sizes and max(sizes) < 8000
+
+
+@pytest.mark.parametrize(
+    "name",
+    [
+        "json_parse",
+    ],
+)
+def test_records_are_parsed_by_the_fields_in_use(spark, plan, name):
+    text = plan(driver.queries()[name](spark, SF_DIR))
+    assert "from_json" in text and "mined_sentences" not in text

@@ -290,3 +290,26 @@ def test_ranks_read_written_rows(spark, lines, refs, tmp_path, monkeypatch):
     jobs.calculate_scores(frame, str(tmp_path), save_evidence_scores=True, config=ScoringConfig(on_invalid="null"))
     assert "from_json" not in seen[0]._jdf.queryExecution().optimizedPlan().toString()
     assert all("/expanded-" in path for path in seen[0].inputFiles())
+
+
+def test_fields_at_paths_are_those_of_whole_records(spark, plan):
+    odd = [
+        BASE,
+        {"target": {}, "disease": 5, "evidence": {"gene2variant": {}, "variant2disease": "x"}},
+        {"target": {"id": 7, "tier": [1]}, "disease": {"id": None}, "evidence": {"gene2variant": {
+            "resource_score": {"value": "high", "type": 1}, "evidence_codes": [1, None]}}},
+        {"disease": {"id": "d", "name": {"a": 1}}, "evidence": [], "type": ["t"], "more": 1},
+    ]
+    lines = spark.createDataFrame([(json.dumps(r),) for r in odd], "value string")
+    paths = [
+        "disease.id", "evidence.gene2variant.evidence_codes", "evidence.gene2variant.resource_score",
+        "evidence.variant2disease.gwas_sample_size", "target.id", "type",
+    ]
+    some, whole = jobs.parse_fields(lines, paths), jobs.parse_evidence(lines)
+    assert some.columns == ["disease", "evidence", "target", "type"]
+    assert [str(r) for r in some.select(*paths).collect()] == [str(r) for r in whole.select(*paths).collect()]
+    present = [F.col(p).isNotNull() for p in ("disease", "evidence.gene2variant", "evidence.variant2disease")]
+    assert some.select(*present).collect() == whole.select(*present).collect()
+    assert "mined_sentences" in plan(whole.select("type")) and "mined_sentences" not in plan(some)
+    with pytest.raises(KeyError):
+        jobs.parse_fields(lines, ["target.none"])
