@@ -226,7 +226,9 @@ register_check(
 )
 register_check(
     "source",
-    lambda spark, sf_dir: checks.classify_sources(records(spark, sf_dir)),
+    lambda spark, sf_dir: checks.classify_sources(
+        records(spark, sf_dir, "target.target_name", "sourceID")
+    ),
     "source_reason",
     "sourceID",
 )

@@ -74,6 +74,7 @@ def test_record_texts_are_made_by_compiled_code(spark, plan, capsys):
     "name",
     [
         "json_parse",
+        "validate_source_summary",
     ],
 )
 def test_records_are_parsed_by_the_fields_in_use(spark, plan, name):
