@@ -13,10 +13,15 @@ from catalog.views import RECORDS_SQL, records, references, table, text
 NAME_SQL = "l_orderkey || '-' || l_linenumber AS target_name"
 
 
+# The fields that steps read, with the name by which records are compared.
+TARGET_PATHS = ("target.activity", "target.id", "target.target_name", "target.target_type")
+
+
 def targeted(spark, sf_dir):
     refs = references(spark, sf_dir)
     accessions = normalize.accession_lookup(refs.genes)
-    return normalize.normalize_targets(records(spark, sf_dir), accessions, refs.non_reference)
+    df = records(spark, sf_dir, *TARGET_PATHS)
+    return normalize.normalize_targets(df, accessions, refs.non_reference)
 
 
 def normalized(spark, sf_dir):
