@@ -66,7 +66,7 @@ def lookup_rewrite_left(spark, sf_dir):
     refs = references(spark, sf_dir)
     none = refs.non_reference.filter("false")
     df = normalize.normalize_targets(
-        records(spark, sf_dir), normalize.accession_lookup(refs.genes), none
+        records(spark, sf_dir, *TARGET_PATHS), normalize.accession_lookup(refs.genes), none
     )
     return df.select(
         "target.target_name", F.col("target.id").alias("target_id"), "context.target_id_uniprot"
