@@ -179,7 +179,8 @@ def checked_targets(spark, sf_dir):
 
 
 def checked_diseases(spark, sf_dir):
-    df = normalize.normalize_diseases(records(spark, sf_dir))
+    df = records(spark, sf_dir, "target.target_name", "disease.id", "sourceID")
+    df = normalize.normalize_diseases(df)
     return checks.classify_diseases(df, references(spark, sf_dir).diseases)
 
 

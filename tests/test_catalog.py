@@ -76,6 +76,8 @@ def test_record_texts_are_made_by_compiled_code(spark, plan, capsys):
         "json_parse",
         "lookup_rewrite_chain",
         "lookup_rewrite_left",
+        "validate_disease",
+        "validate_disease_summary",
         "validate_source_summary",
     ],
 )
