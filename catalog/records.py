@@ -15,6 +15,18 @@ NAME_SQL = "l_orderkey || '-' || l_linenumber AS target_name"
 
 # The fields that steps read, with the name by which records are compared.
 TARGET_PATHS = ("target.activity", "target.id", "target.target_name", "target.target_type")
+CODE_PATHS = (
+    "target.target_name",
+    "evidence.biological_model.evidence_codes",
+    "evidence.drug2clinic.evidence_codes",
+    "evidence.evidence_codes",
+    "evidence.gene2variant.evidence_codes",
+    "evidence.gene2variant.functional_consequence",
+    "evidence.target2drug.evidence_codes",
+    "evidence.variant2disease.evidence_codes",
+)
+SCORE_PATHS = ("evidence.gene2variant.resource_score", "evidence.resource_score.value")
+NORMALIZED_PATHS = (*TARGET_PATHS, *CODE_PATHS, *SCORE_PATHS, "disease.id", "sourceID", "type")
 
 
 def targeted(spark, sf_dir):
@@ -25,7 +37,7 @@ def targeted(spark, sf_dir):
 
 
 def normalized(spark, sf_dir):
-    return normalize_evidence(records(spark, sf_dir), references(spark, sf_dir))
+    return normalize_evidence(records(spark, sf_dir, *NORMALIZED_PATHS), references(spark, sf_dir))
 
 
 @query(
@@ -110,7 +122,8 @@ def lookup_rewrite_counts(spark, sf_dir):
     FROM classified""",
 )
 def type_reassignment(spark, sf_dir):
-    df = normalize.normalize_types(normalize.normalize_diseases(records(spark, sf_dir)))
+    df = records(spark, sf_dir, "target.target_name", "disease.id", "type")
+    df = normalize.normalize_types(normalize.normalize_diseases(df))
     return df.select("target.target_name", "type", "context.type_assignment")
 
 
@@ -129,7 +142,7 @@ def type_reassignment(spark, sf_dir):
     FROM parsed""",
 )
 def code_aggregation(spark, sf_dir):
-    df = normalize.normalize_evidence_codes(records(spark, sf_dir))
+    df = normalize.normalize_evidence_codes(records(spark, sf_dir, *CODE_PATHS))
     return df.select(
         "target.target_name",
         "context.evidence_codes_source",
