@@ -313,3 +313,14 @@ def test_fields_at_paths_are_those_of_whole_records(spark, plan):
     assert "mined_sentences" in plan(whole.select("type")) and "mined_sentences" not in plan(some)
     with pytest.raises(KeyError):
         jobs.parse_fields(lines, ["target.none"])
+
+
+def test_scores_parse_only_the_fields_in_use(lines, refs, plan):
+    whole = jobs.prepare_scores(jobs.prepare_evidence(lines, refs, RULES))
+    found = jobs.prepare_evidence(lines, refs, RULES, fields=jobs.SCORE_FIELDS)
+    scores = jobs.prepare_scores(found)
+    assert "mechanism_of_action" in plan(whole)
+    assert "mechanism_of_action" not in plan(scores) and "zygosity" not in plan(scores)
+    assert found.schema["context"].dataType == jobs.prepare_evidence(lines, refs).schema["context"].dataType
+    rows = sorted(scores.collect(), key=lambda r: r.id)
+    assert len(rows) == 16 and rows == sorted(whole.collect(), key=lambda r: r.id)
